@@ -1,120 +1,12 @@
-"""Named queries over the driver tables and their DuckDB twins.
+"""Every registered query: ``QUERIES[name](spark, sf_dir)`` and ``ORACLE[name]``.
 
-``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name] -> SQL``.
-Each query's docstring lists the SURVEY operator IDs it covers. Queries
-without an ``ORACLE`` entry (hash sampling, model training, streaming) are
-checked by their own tests against a brute-force answer instead.
+Importing the query modules fills the two dictionaries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from songgraph.plans import explore_queries  # noqa: F401
+from songgraph.plans import graph_queries  # noqa: F401
+from songgraph.plans.base import ORACLE, QUERIES  # noqa: F401
 
-from pyspark.sql import DataFrame, SparkSession
-
-from songgraph.operators import explore
-from songgraph.sources import adapters as A
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def cte(**views: str) -> str:
-    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in views.items()) + "\n"
-
-
-# ---------------------------------------------------------------------------
-# Step 1-2: exploration (SRC1, PRJ1, PRJ2, FLT4, FLT5, AG1-AG3, TK1-TK4, SC3,
-# SC6, SRC8)
-# ---------------------------------------------------------------------------
-
-@register("missing_year_pct", cte(tracks=A.SQL_TRACKS) + """
-SELECT CAST(round(count(CASE WHEN "year" = 0 THEN 1 END) * 100.0 / count(*), 2) AS DOUBLE)
-       AS pct_missing
-FROM tracks""")
-def q_missing_year_pct(spark, sf_dir):
-    """AG1 AG3 SC3 SC6 SRC1 PRJ2"""
-    return explore.missing_year_pct(A.tracks(spark, sf_dir))
-
-
-@register("oldest_songs", cte(tracks=A.SQL_TRACKS) + """
-SELECT title, "year" FROM tracks WHERE "year" <> 0
-ORDER BY "year" ASC, song_id ASC LIMIT 10""")
-def q_oldest_songs(spark, sf_dir):
-    """TK1 FLT4 PRJ1"""
-    return explore.oldest_songs(A.tracks(spark, sf_dir))
-
-
-@register("newest_songs", cte(tracks=A.SQL_TRACKS) + """
-SELECT title, "year" FROM tracks WHERE "year" <> 0
-ORDER BY "year" DESC, song_id ASC LIMIT 10""")
-def q_newest_songs(spark, sf_dir):
-    """TK2 FLT4"""
-    return explore.newest_songs(A.tracks(spark, sf_dir))
-
-
-@register("hottest_shortest", cte(tracks=A.SQL_TRACKS) + """
-SELECT title, song_hotttnesss, duration, CAST(NULL AS DOUBLE) AS energy, tempo
-FROM tracks WHERE song_hotttnesss IS NOT NULL AND NOT isnan(song_hotttnesss)
-ORDER BY song_hotttnesss DESC, duration ASC NULLS LAST, energy DESC NULLS LAST,
-         tempo ASC NULLS LAST, song_id ASC
-LIMIT 10""")
-def q_hottest_shortest(spark, sf_dir):
-    """TK3 FLT5"""
-    return explore.hottest_shortest(A.tracks(spark, sf_dir))
-
-
-@register("biggest_albums", cte(songs=A.SQL_SONGS) + """
-SELECT "release", count("release") AS ntrack FROM songs
-GROUP BY "release" ORDER BY ntrack DESC, "release" ASC NULLS LAST LIMIT 10""")
-def q_biggest_albums(spark, sf_dir):
-    """AG2 TK4"""
-    return explore.biggest_albums(A.songs(spark, sf_dir))
-
-
-@register("longest_songs", cte(songs=A.SQL_SONGS) + """
-SELECT artist_name, duration FROM songs
-ORDER BY duration DESC NULLS LAST, song_id ASC LIMIT 10""")
-def q_longest_songs(spark, sf_dir):
-    """TK2; the top-k runs on tracks, only 10 rows meet the artists"""
-    return explore.longest_songs_late_join(A.tracks(spark, sf_dir),
-                                           A.artists(spark, sf_dir))
-
-
-def _profile_sql() -> str:
-    cols = [("song_id", "long", True, False), ("artist_id", "long", True, False),
-            ("title", "string", False, False), ("artist_name", "string", False, False),
-            ("release", "string", False, False), ("year", "integer", True, False),
-            ("duration", "double", True, True), ("song_hotttnesss", "double", True, True),
-            ("tempo", "double", True, True)]
-    parts = []
-    for name, t, numeric, frac in cols:
-        q = f'"{name}"'
-        nan = f"count(CASE WHEN isnan({q}) THEN 1 END)" if frac else "CAST(0 AS BIGINT)"
-        zero = f"count(CASE WHEN {q} = 0 THEN 1 END)" if numeric else "CAST(0 AS BIGINT)"
-        parts.append(
-            f"SELECT '{name}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, "
-            f"count(*) - count({q}) AS n_null, {nan} AS n_nan, {zero} AS n_zero FROM songs")
-    return cte(songs=A.SQL_SONGS) + "\nUNION ALL\n".join(parts)
-
-
-PROFILE_COLUMNS = ["song_id", "artist_id", "title", "artist_name", "release",
-                   "year", "duration", "song_hotttnesss", "tempo"]
-
-
-@register("profile_songs", _profile_sql())
-def q_profile_songs(spark, sf_dir):
-    """SRC8 AG1"""
-    return explore.profile(A.songs(spark, sf_dir).select(*PROFILE_COLUMNS))
 FLAGSHIP = "missing_year_pct"

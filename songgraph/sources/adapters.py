@@ -148,7 +148,7 @@ def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_SIMILARITY = """
-SELECT a.o_custkey AS target, b.o_custkey AS similar
+SELECT a.o_custkey AS target, b.o_custkey AS "similar"
 FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1
 WHERE a.o_orderpriority = '1-URGENT' AND a.o_custkey <> b.o_custkey
 """
