@@ -8,6 +8,7 @@ from __future__ import annotations
 from songgraph.plans import explore_queries  # noqa: F401
 from songgraph.plans import graph_queries  # noqa: F401
 from songgraph.plans import recommend_queries  # noqa: F401
+from songgraph.plans import segment_queries  # noqa: F401
 from songgraph.plans.base import ORACLE, QUERIES  # noqa: F401
 
 FLAGSHIP = "recommend_batch"

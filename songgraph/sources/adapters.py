@@ -156,7 +156,8 @@ WHERE a.o_orderpriority = '1-URGENT' AND a.o_custkey <> b.o_custkey
 
 # --------------------------------------------------------------------------
 # segments: line items are the segments of their order's track, long form
-# (song_id, seg, x0..x11); pitches are a squashed copy of the same dims
+# (song_id, seg, x0..x11). Every dim is integer-valued, so sums and means are
+# exact in both engines; pitches fold the same dims onto 12 semitones.
 # --------------------------------------------------------------------------
 
 def _timbre_dims() -> list[Column]:
@@ -164,32 +165,32 @@ def _timbre_dims() -> list[Column]:
     ship = l("l_shipdate")
     return [
         l("l_quantity"),
-        l("l_extendedprice") / 1000.0,
-        l("l_discount") * 100.0,
-        l("l_tax") * 100.0,
+        F.floor(l("l_extendedprice") / 100.0).cast("double"),
+        F.round(l("l_discount") * 100.0),
+        F.round(l("l_tax") * 100.0),
         l("l_linenumber").cast("double"),
         ((F.year(ship) - 1990) * 12 + F.month(ship)).cast("double"),
         F.dayofweek(ship).cast("double"),
-        l("l_partkey").cast("double") / 1000.0,
-        l("l_suppkey").cast("double") / 100.0,
-        l("l_extendedprice") * (1 - l("l_discount")) / 1000.0,
-        l("l_quantity") * l("l_tax"),
+        F.floor(l("l_partkey") / 100).cast("double"),
+        F.floor(l("l_suppkey") / 10).cast("double"),
+        F.floor(l("l_extendedprice") * (1 - l("l_discount")) / 100.0).cast("double"),
+        l("l_quantity") * F.round(l("l_tax") * 100.0),
         F.when(l("l_returnflag") == "R", 1.0).otherwise(0.0),
     ]
 
 
 _SQL_TIMBRE_DIMS = [
     "l_quantity",
-    "l_extendedprice / 1000.0",
-    "l_discount * 100.0",
-    "l_tax * 100.0",
+    "CAST(floor(l_extendedprice / 100.0) AS DOUBLE)",
+    "round(l_discount * 100.0)",
+    "round(l_tax * 100.0)",
     "CAST(l_linenumber AS DOUBLE)",
     "CAST((year(l_shipdate) - 1990) * 12 + month(l_shipdate) AS DOUBLE)",
     "CAST(dayofweek(l_shipdate) + 1 AS DOUBLE)",   # Spark: Sunday = 1
-    "CAST(l_partkey AS DOUBLE) / 1000.0",
-    "CAST(l_suppkey AS DOUBLE) / 100.0",
-    "l_extendedprice * (1 - l_discount) / 1000.0",
-    "l_quantity * l_tax",
+    "CAST(floor(l_partkey / 100) AS DOUBLE)",
+    "CAST(floor(l_suppkey / 10) AS DOUBLE)",
+    "CAST(floor(l_extendedprice * (1 - l_discount) / 100.0) AS DOUBLE)",
+    "l_quantity * round(l_tax * 100.0)",
     "CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END",
 ]
 
@@ -198,7 +199,7 @@ def segments(spark: SparkSession, sf_dir: str, kind: str = "timbre") -> DataFram
     li = table(spark, sf_dir, "lineitem")
     dims = _timbre_dims()
     if kind == "pitches":
-        dims = [d / (1.0 + F.abs(d)) for d in dims]
+        dims = [d % 12.0 for d in dims]
     return li.select(F.col("l_orderkey").alias("song_id"),
                      F.col("l_linenumber").alias("seg"),
                      *[d.alias(f"x{i}") for i, d in enumerate(dims)])
@@ -207,7 +208,7 @@ def segments(spark: SparkSession, sf_dir: str, kind: str = "timbre") -> DataFram
 def sql_segments(kind: str = "timbre") -> str:
     dims = _SQL_TIMBRE_DIMS
     if kind == "pitches":
-        dims = [f"({d}) / (1.0 + abs({d}))" for d in dims]
+        dims = [f"(({d}) % 12.0)" for d in dims]
     cols = ", ".join(f"{d} AS x{i}" for i, d in enumerate(dims))
     return f"SELECT l_orderkey AS song_id, l_linenumber AS seg, {cols} FROM lineitem"
 
