@@ -33,8 +33,8 @@ def explode_matrix(df: DataFrame, id_col: str, matrix_col: str) -> DataFrame:
                         for i in range(N_DIMS)]))
 
 
-def _aggs(prefix: str = "") -> list:
-    xs = [F.coalesce(F.col(f"x{i}").cast("double"), F.lit(0.0)) for i in range(N_DIMS)]
+def _aggs(prefix: str = "", src: str = "x") -> list:
+    xs = [F.coalesce(F.col(f"{src}{i}").cast("double"), F.lit(0.0)) for i in range(N_DIMS)]
     n = F.count(F.lit(1))
     out = []
     for i, x in enumerate(xs):
@@ -61,13 +61,32 @@ def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "co
         F.array(*[F.col(f"c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
 
 
+def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
+    """Several matrices that share their segments (e.g. timbre ``x*`` and
+    pitches ``p*`` of the same rows) in ONE grouped pass. ``kinds`` maps a
+    column prefix to the (stats, cov) output names."""
+    aggs = []
+    for src, _ in kinds.items():
+        aggs += _aggs(prefix=f"{src}_", src=src)
+    wide = segs.groupBy("song_id").agg(*aggs)
+    outs = []
+    for src, (stats_col, cov_col) in kinds.items():
+        outs.append(F.array(*[F.col(f"{src}_s{i}_{s}") for i in range(N_DIMS)
+                              for s in STAT_NAMES]).alias(stats_col))
+        outs.append(F.array(*[F.col(f"{src}_c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
+    return wide.select("song_id", *outs)
+
+
 def with_empty(ids: DataFrame, arrays: DataFrame, stats_col: str = "stats",
                cov_col: str = "cov") -> DataFrame:
     """SC8: songs without segments get ``array_repeat(0.0, n)``."""
     j = ids.select("song_id").join(arrays, "song_id", "left")
-    return j.select("song_id",
-                    F.coalesce(stats_col, F.array_repeat(F.lit(0.0), N_STATS)).alias(stats_col),
-                    F.coalesce(cov_col, F.array_repeat(F.lit(0.0), N_COV)).alias(cov_col))
+    return j.select("song_id", *zero_fill(stats_col, cov_col))
+
+
+def zero_fill(stats_col: str, cov_col: str) -> list:
+    return [F.coalesce(stats_col, F.array_repeat(F.lit(0.0), N_STATS)).alias(stats_col),
+            F.coalesce(cov_col, F.array_repeat(F.lit(0.0), N_COV)).alias(cov_col)]
 
 
 def _r(c, digits: int):
