@@ -90,8 +90,9 @@ def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
             break
         prev2, prev = prev, nxt
     edges.unpersist()
-    if include_root:
-        levels.insert(0, start.withColumn("degree", F.lit(0)))
+    if include_root or not levels:
+        root_rows = start.withColumn("degree", F.lit(0))
+        levels.insert(0, root_rows if include_root else root_rows.limit(0))
     return reduce(DataFrame.unionByName, levels)
 
 

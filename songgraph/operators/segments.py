@@ -5,9 +5,10 @@ value missing from a short segment is 0.0, as in the original ingest. One
 ``groupBy(song_id)`` computes all 72 statistics (mean, median, min, max,
 population std, count for each dim, array index ``dim*6 + stat``) and the 78
 sample covariances of the upper triangle (row-major) in a single pass; no
-self-join, no pair explosion. Mean, min, max, std and covariance combine
-partially before the shuffle; the exact median keeps each song's values of a
-dim in one buffer (a song has a bounded number of segments).
+self-join, no pair explosion. Mean, std and covariance come from plain sums
+(of x and of x_i * x_j), which combine partially before the shuffle; the
+exact median keeps each song's values of a dim in one buffer (a song has a
+bounded number of segments).
 
 A song without segments gets 72 and 78 zeros; a song with one segment has
 covariance NaN (0/0), as computed by the original; features fill it with 0.
@@ -33,23 +34,44 @@ def explode_matrix(df: DataFrame, id_col: str, matrix_col: str) -> DataFrame:
                         for i in range(N_DIMS)]))
 
 
-def _aggs(prefix: str = "", src: str = "x") -> list:
+def _raw_aggs(prefix: str = "", src: str = "x") -> list:
+    """Plain sums (12 of x, 78 of x_i * x_j), min, max, exact median and n:
+    simple aggregates that stay inside generated code and combine partially
+    before the shuffle (Spark's ``covar_samp`` keeps five buffers per pair and
+    measured ~4.5x slower here)."""
     xs = [F.coalesce(F.col(f"{src}{i}").cast("double"), F.lit(0.0)) for i in range(N_DIMS)]
-    n = F.count(F.lit(1))
-    out = []
+    out = [F.count(F.lit(1)).alias(f"{prefix}n")]
     for i, x in enumerate(xs):
-        stats = {"mean": F.avg(x), "median": F.median(x), "min": F.min(x), "max": F.max(x),
-                 "std": F.stddev_pop(x), "count": n.cast("double")}
+        out += [F.sum(x).alias(f"{prefix}sum{i}"), F.min(x).alias(f"{prefix}min{i}"),
+                F.max(x).alias(f"{prefix}max{i}"), F.median(x).alias(f"{prefix}med{i}")]
+    for i, j in PAIRS:
+        out.append(F.sum(xs[i] * xs[j]).alias(f"{prefix}sp{i}_{j}"))
+    return out
+
+
+def _final(prefix: str = "") -> list:
+    """Statistics from the sums: mean = S/n, population std =
+    sqrt((Q - S^2/n) / n), sample covariance = (P - S_i S_j / n) / (n - 1)
+    (NaN for one segment, as 0/0 in the original)."""
+    n = F.col(f"{prefix}n").cast("double")
+    S = [F.col(f"{prefix}sum{i}") for i in range(N_DIMS)]
+    out = []
+    for i in range(N_DIMS):
+        q = F.col(f"{prefix}sp{i}_{i}")
+        var_pop = F.greatest(F.lit(0.0), (q - S[i] * S[i] / n) / n)
+        stats = {"mean": S[i] / n, "median": F.col(f"{prefix}med{i}"),
+                 "min": F.col(f"{prefix}min{i}"), "max": F.col(f"{prefix}max{i}"),
+                 "std": F.sqrt(var_pop), "count": n}
         out += [stats[s].alias(f"{prefix}s{i}_{s}") for s in STAT_NAMES]
     for i, j in PAIRS:
-        c = F.when(n > 1, F.covar_samp(xs[i], xs[j])).otherwise(F.lit(float("nan")))
-        out.append(c.alias(f"{prefix}c{i}_{j}"))
+        cov = (F.col(f"{prefix}sp{i}_{j}") - S[i] * S[j] / n) / (n - 1)
+        out.append(F.when(n > 1, cov).otherwise(F.lit(float("nan"))).alias(f"{prefix}c{i}_{j}"))
     return out
 
 
 def segment_stats_wide(segs: DataFrame) -> DataFrame:
     """One row per song: ``s{dim}_{stat}`` and ``c{i}_{j}`` columns."""
-    return segs.groupBy("song_id").agg(*_aggs())
+    return segs.groupBy("song_id").agg(*_raw_aggs()).select("song_id", *_final())
 
 
 def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "cov") -> DataFrame:
@@ -65,10 +87,11 @@ def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFra
     """Several matrices that share their segments (e.g. timbre ``x*`` and
     pitches ``p*`` of the same rows) in ONE grouped pass. ``kinds`` maps a
     column prefix to the (stats, cov) output names."""
-    aggs = []
+    aggs, finals = [], []
     for src, _ in kinds.items():
-        aggs += _aggs(prefix=f"{src}_", src=src)
-    wide = segs.groupBy("song_id").agg(*aggs)
+        aggs += _raw_aggs(prefix=f"{src}_", src=src)
+        finals += _final(prefix=f"{src}_")
+    wide = segs.groupBy("song_id").agg(*aggs).select("song_id", *finals)
     outs = []
     for src, (stats_col, cov_col) in kinds.items():
         outs.append(F.array(*[F.col(f"{src}_s{i}_{s}") for i in range(N_DIMS)

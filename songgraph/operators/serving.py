@@ -74,20 +74,23 @@ def recs_json(paths: DataFrame, k: int) -> DataFrame:
     ``k`` rows per root."""
     top = nearest(paths, k)
     pairs = F.sort_array(F.collect_list(F.struct(
-        F.col("degree").cast("long").alias("d"), F.col("v").cast("long").alias("i"))))
+        F.col("degree").cast("long").alias("d"), F.col("v").alias("i"))))
+
+    def pair_json(x):
+        # the id's own JSON form (quoted if a string), then the degree
+        id_json = F.regexp_extract(F.to_json(F.array(x["i"])), r"^\[(.*)\]$", 1)
+        return F.concat(F.lit("["), id_json, F.lit(","), x["d"].cast("string"), F.lit("]"))
     return (top.groupBy("root").agg(pairs.alias("p"))
                .select(F.concat(F.lit("artist:"), F.col("root").cast("string"),
                                 F.lit(":recs")).alias("key"),
-                       F.to_json(F.transform("p", lambda x: F.array(x["i"], x["d"])))
-                        .alias("recs_json")))
-
-
-RECS_SCHEMA = T.ArrayType(T.ArrayType(T.LongType()))
+                       F.concat(F.lit("["), F.array_join(F.transform("p", pair_json), ","),
+                                F.lit("]")).alias("recs_json")))
 
 
-def parse_recs(df: DataFrame, col: str = "recs_json") -> DataFrame:
+def parse_recs(df: DataFrame, col: str = "recs_json", id_type: str = "long") -> DataFrame:
     """SC13: decode the JSON list back into ``(key, pos, v, degree)`` rows."""
-    arr = F.from_json(F.col(col), RECS_SCHEMA)
+    arr = F.from_json(F.col(col), T.ArrayType(T.ArrayType(T.StringType())))
     return (df.select("key", F.posexplode(arr).alias("pos", "pair"))
               .select("key", (F.col("pos") + 1).alias("pos"),
-                      F.get("pair", 0).alias("v"), F.get("pair", 1).alias("degree")))
+                      F.get("pair", 0).cast(id_type).alias("v"),
+                      F.get("pair", 1).cast("long").alias("degree")))
