@@ -35,7 +35,9 @@ def song_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = _both(A.segments(spark, sf_dir, "timbre"))
     arrays = SG.record_arrays(both, {"x": ("segments_timbre", "timbre_cov"),
                                      "p": ("segments_pitches", "pitch_cov")})
-    j = songs.join(arrays, "song_id", "left")
+    # one row per song on both sides: never broadcast the arrays (their
+    # compressed shuffle size understates the in-memory table many times)
+    j = songs.join(arrays.hint("merge"), "song_id", "left")
     return j.select(*songs.columns,
                     *SG.zero_fill("segments_timbre", "timbre_cov"),
                     *SG.zero_fill("segments_pitches", "pitch_cov"))

@@ -7,8 +7,8 @@ population std, count for each dim, array index ``dim*6 + stat``) and the 78
 sample covariances of the upper triangle (row-major) in a single pass; no
 self-join, no pair explosion. Mean, std and covariance come from plain sums
 (of x and of x_i * x_j), which combine partially before the shuffle; the
-exact median keeps each song's values of a dim in one buffer (a song has a
-bounded number of segments).
+exact median needs each song's values of a dim together (a song has a
+bounded number of segments) and runs as a second pass joined on the song key.
 
 A song without segments gets 72 and 78 zeros; a song with one segment has
 covariance NaN (0/0), as computed by the original; features fill it with 0.
@@ -34,22 +34,51 @@ def explode_matrix(df: DataFrame, id_col: str, matrix_col: str) -> DataFrame:
                         for i in range(N_DIMS)]))
 
 
+def _xs(src: str) -> list:
+    return [F.coalesce(F.col(f"{src}{i}").cast("double"), F.lit(0.0)) for i in range(N_DIMS)]
+
+
 def _raw_aggs(prefix: str = "", src: str = "x") -> list:
-    """Plain sums (12 of x, 78 of x_i * x_j), min, max, exact median and n:
-    simple aggregates that stay inside generated code and combine partially
-    before the shuffle (Spark's ``covar_samp`` keeps five buffers per pair and
-    measured ~4.5x slower here)."""
-    xs = [F.coalesce(F.col(f"{src}{i}").cast("double"), F.lit(0.0)) for i in range(N_DIMS)]
+    """Plain sums (12 of x, 78 of x_i * x_j), min, max and n: simple
+    aggregates that stay in generated code and combine partially before the
+    shuffle (Spark's ``covar_samp`` keeps five buffers per pair and measured
+    ~4.5x slower here)."""
+    xs = _xs(src)
     out = [F.count(F.lit(1)).alias(f"{prefix}n")]
     for i, x in enumerate(xs):
         out += [F.sum(x).alias(f"{prefix}sum{i}"), F.min(x).alias(f"{prefix}min{i}"),
-                F.max(x).alias(f"{prefix}max{i}"), F.median(x).alias(f"{prefix}med{i}")]
+                F.max(x).alias(f"{prefix}max{i}")]
     for i, j in PAIRS:
         out.append(F.sum(xs[i] * xs[j]).alias(f"{prefix}sp{i}_{j}"))
     return out
 
 
-def _final(prefix: str = "") -> list:
+def _pick(i: int):
+    return lambda r: r[i]
+
+
+def _medians(segs: DataFrame, srcs: list[str]) -> DataFrame:
+    """Exact medians (mean of the middle two for an even count). The song's
+    segment rows are gathered once (the matrix of one song, as in the source
+    record) and each dim is sorted; a separate pass, because an object
+    aggregate next to the sums would take the sums off the fast hash path."""
+    rows = [F.array(*_xs(src)) for src in srcs]
+    g = segs.groupBy("song_id").agg(
+        *[F.collect_list(r).alias(f"_m{k}") for k, r in enumerate(rows)])
+    out = []
+    for k, src in enumerate(srcs):
+        m = F.col(f"_m{k}")
+        n = F.size(m)
+        half = (n / 2).cast("int")
+        for i in range(N_DIMS):
+            v = F.array_sort(F.transform(m, _pick(i)))
+            med = F.when(n % 2 == 1, F.get(v, half)) \
+                   .otherwise((F.get(v, half - 1) + F.get(v, half)) / 2.0)
+            out.append(med.alias(f"{src}_med{i}"))
+    return g.select("song_id", *out)
+
+
+def _final(prefix: str = "", src: str = "x") -> list:
     """Statistics from the sums: mean = S/n, population std =
     sqrt((Q - S^2/n) / n), sample covariance = (P - S_i S_j / n) / (n - 1)
     (NaN for one segment, as 0/0 in the original)."""
@@ -59,7 +88,7 @@ def _final(prefix: str = "") -> list:
     for i in range(N_DIMS):
         q = F.col(f"{prefix}sp{i}_{i}")
         var_pop = F.greatest(F.lit(0.0), (q - S[i] * S[i] / n) / n)
-        stats = {"mean": S[i] / n, "median": F.col(f"{prefix}med{i}"),
+        stats = {"mean": S[i] / n, "median": F.col(f"{src}_med{i}"),
                  "min": F.col(f"{prefix}min{i}"), "max": F.col(f"{prefix}max{i}"),
                  "std": F.sqrt(var_pop), "count": n}
         out += [stats[s].alias(f"{prefix}s{i}_{s}") for s in STAT_NAMES]
@@ -69,9 +98,22 @@ def _final(prefix: str = "") -> list:
     return out
 
 
+def _wide(segs: DataFrame, srcs: list[str]) -> DataFrame:
+    aggs, finals = [], []
+    for src in srcs:
+        aggs += _raw_aggs(prefix=f"{src}_", src=src)
+        finals += _final(prefix=f"{src}_", src=src)
+    sums = segs.groupBy("song_id").agg(*aggs)
+    # Both sides hold one row per song and are already hash-partitioned by
+    # song_id: a sort-merge join needs no exchange. Pin it, so AQE never
+    # broadcasts a side whose compressed shuffle size looks small.
+    both = sums.hint("merge").join(_medians(segs, srcs), "song_id")
+    return both.select("song_id", *finals)
+
+
 def segment_stats_wide(segs: DataFrame) -> DataFrame:
-    """One row per song: ``s{dim}_{stat}`` and ``c{i}_{j}`` columns."""
-    return segs.groupBy("song_id").agg(*_raw_aggs()).select("song_id", *_final())
+    """One row per song: ``x_s{dim}_{stat}`` and ``x_c{i}_{j}`` columns."""
+    return _wide(segs, ["x"])
 
 
 def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "cov") -> DataFrame:
@@ -79,19 +121,16 @@ def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "co
     wide = segment_stats_wide(segs)
     return wide.select(
         "song_id",
-        F.array(*[F.col(f"s{i}_{s}") for i in range(N_DIMS) for s in STAT_NAMES]).alias(stats_col),
-        F.array(*[F.col(f"c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
+        F.array(*[F.col(f"x_s{i}_{s}") for i in range(N_DIMS) for s in STAT_NAMES])
+         .alias(stats_col),
+        F.array(*[F.col(f"x_c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
 
 
 def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
     """Several matrices that share their segments (e.g. timbre ``x*`` and
     pitches ``p*`` of the same rows) in ONE grouped pass. ``kinds`` maps a
     column prefix to the (stats, cov) output names."""
-    aggs, finals = [], []
-    for src, _ in kinds.items():
-        aggs += _raw_aggs(prefix=f"{src}_", src=src)
-        finals += _final(prefix=f"{src}_")
-    wide = segs.groupBy("song_id").agg(*aggs).select("song_id", *finals)
+    wide = _wide(segs, list(kinds))
     outs = []
     for src, (stats_col, cov_col) in kinds.items():
         outs.append(F.array(*[F.col(f"{src}_s{i}_{s}") for i in range(N_DIMS)
@@ -103,7 +142,7 @@ def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFra
 def with_empty(ids: DataFrame, arrays: DataFrame, stats_col: str = "stats",
                cov_col: str = "cov") -> DataFrame:
     """SC8: songs without segments get ``array_repeat(0.0, n)``."""
-    j = ids.select("song_id").join(arrays, "song_id", "left")
+    j = ids.select("song_id").join(arrays.hint("merge"), "song_id", "left")
     return j.select("song_id", *zero_fill(stats_col, cov_col))
 
 
@@ -122,7 +161,7 @@ def stats_long(segs: DataFrame, digits: int = 6) -> DataFrame:
     wide = segment_stats_wide(segs)
     per_dim = F.explode(F.array(*[
         F.struct(F.lit(i).alias("dim"),
-                 *[F.col(f"s{i}_{s}").alias(s) for s in STAT_NAMES])
+                 *[F.col(f"x_s{i}_{s}").alias(s) for s in STAT_NAMES])
         for i in range(N_DIMS)])).alias("d")
     return (wide.select("song_id", per_dim)
                 .select("song_id", "d.dim",
@@ -133,7 +172,7 @@ def cov_long(segs: DataFrame, digits: int = 6) -> DataFrame:
     """AG12/AG13 one row per (song, i, j), i <= j."""
     wide = segment_stats_wide(segs)
     cells = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"c{i}_{j}").alias("cov"))
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"x_c{i}_{j}").alias("cov"))
         for i, j in PAIRS])).alias("c")
     return (wide.select("song_id", cells)
                 .select("song_id", "c.i", "c.j", _r("c.cov", digits).alias("cov")))
