@@ -10,6 +10,7 @@ from songgraph.plans import graph_queries  # noqa: F401
 from songgraph.plans import recommend_queries  # noqa: F401
 from songgraph.plans import segment_queries  # noqa: F401
 from songgraph.plans import year_queries  # noqa: F401
+from songgraph.plans import ingest_queries  # noqa: F401
 from songgraph.plans.base import ORACLE, QUERIES  # noqa: F401
 
 FLAGSHIP = "recommend_batch"

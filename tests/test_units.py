@@ -229,3 +229,44 @@ def test_hash_split_stable_under_column_order(spark):
     b, _ = Y.hash_split(df.select("x", "song_id"))
     assert {r[0] for r in a.select("song_id").collect()} == \
            {r[0] for r in b.select("song_id").collect()}
+
+
+def test_scan_dir_suffix_and_corrupt_files(spark, tmp_path):
+    from songgraph.sources import files as FS
+    root = tmp_path / "land"
+    spark.range(10).write.parquet(str(root / "a" / "b"))
+    (root / "a" / "broken.parquet").write_bytes(b"not parquet at all")
+    (root / "readme.txt").write_text("x")
+    df = FS.scan_dir(spark, str(root), ".parquet", schema="id long")
+    assert sorted(r["id"] for r in df.collect()) == list(range(10))
+
+
+def test_rejects_keep_bad_records(spark, tmp_path):
+    from pyspark.sql import types as T
+    from songgraph.sources import files as FS
+    p = tmp_path / "r.json"
+    p.write_text('{"a": 1}\n{broken\n{"a": 3}\n')
+    good, bad = FS.read_with_rejects(spark, str(p), T.StructType([T.StructField("a", T.LongType())]))
+    assert sorted(r["a"] for r in good.collect()) == [1, 3]
+    assert [r["raw_record"] for r in bad.collect()] == ["{broken"]
+
+
+def test_compact_sizes_output(spark, tmp_path):
+    from songgraph.sources import files as FS
+    src = str(tmp_path / "src")
+    spark.range(1000).repartition(20).write.parquet(src)
+    df = spark.read.parquet(src)
+    assert FS.compact(df, str(tmp_path / "o1"), size_hint=10) == 1
+    assert FS.compact(df, str(tmp_path / "o2"), size_hint=3000, target_file_bytes=1000) == 3
+    assert FS.compact(df, str(tmp_path / "o3"), single_file=True) == 1
+    assert spark.read.parquet(str(tmp_path / "o2")).count() == 1000
+
+
+def test_read_songs_conforms_schema(spark, tmp_path):
+    from songgraph.schema import SONG
+    from songgraph.sources import files as FS
+    spark.createDataFrame([("s1", 1999)], "song_id string, year int") \
+        .write.parquet(str(tmp_path / "s"))
+    df = FS.read_songs(spark, str(tmp_path / "s"))
+    assert df.schema == SONG
+    assert df.first()["song_id"] == "s1" and df.first()["artist_id"] is None
