@@ -39,6 +39,7 @@ from pyspark.sql.window import Window
 
 from songgraph.functions.scalar import PEAK_AGE, nostalgia_score
 from songgraph.operators.graph import nearest
+from songgraph.session import materialize
 
 SIMILAR_N = 10          # similar artists read from the cache per anchor
 BAND = 200              # |year - peak| > BAND  ->  score == 0.0 exactly
@@ -166,7 +167,8 @@ def recommend(requests: DataFrame, songs: DataFrame, paths: DataFrame,
     degree)``. Returns ``(req_id, rank, song_id, title, artist_name, year,
     score, source)`` with ``source`` in {similar, fallback}.
     """
-    resolved = resolve(requests, songs)
+    # resolved requests feed four branches: compute them once
+    resolved = materialize(resolve(requests, songs), "requests")
     ok = resolved.where((F.col("status") == "ok") & F.col("anchor_artist").isNotNull()
                         & (F.col("top_k") >= 1))
     kmax = ok.agg(F.max("top_k")).first()[0] or 0
@@ -176,11 +178,12 @@ def recommend(requests: DataFrame, songs: DataFrame, paths: DataFrame,
     keyed = similar_ranked(ok, base, paths, kf)
     sim = (ok.join(keyed.drop("rank"), ["anchor_artist", "birth_year"])
              .where(F.col("anchor_song").isNull() | (F.col("song_id") != F.col("anchor_song"))))
-    served = sim.select("req_id").distinct()
     sim = _rank(sim, ["req_id"], kf).where(F.col("rank") <= F.col("top_k")) \
         .withColumn("source", F.lit("similar"))
+    sim = materialize(sim, "similar")
+    served = sim.select("req_id").distinct()       # top_k >= 1: a candidate -> a row
 
-    fb_req = ok.join(served, "req_id", "left_anti")
+    fb_req = materialize(ok.join(served, "req_id", "left_anti"), "fallback-requests")
     fb_keyed = fallback_ranked(fb_req, base, kf)
     fb = fb_req.join(fb_keyed.drop("rank"), "birth_year")
     if exclude_anchor_in_fallback:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +67,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                                dir=os.environ.get("SONGGRAPH_SCRATCH", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the checkpoint folder and read it back:
+    the result is computed once, its lineage is cut, and every later use reads
+    files from the shared folder (no recomputation after an executor loss)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
