@@ -1,14 +1,14 @@
 """Segment statistics of n x 12 matrices (AG9-AG13, SC8, SC9).
 
 Input is long form, one row per segment: ``(song_id, seg, x0..x11)``; a
-value missing from a short segment is 0.0, as in the original ingest. One
-``groupBy(song_id)`` computes all 72 statistics (mean, median, min, max,
-population std, count for each dim, array index ``dim*6 + stat``) and the 78
-sample covariances of the upper triangle (row-major) in a single pass; no
-self-join, no pair explosion. Mean, std and covariance come from plain sums
-(of x and of x_i * x_j), which combine partially before the shuffle; the
-exact median needs each song's values of a dim together (a song has a
-bounded number of segments) and runs as a second pass joined on the song key.
+value missing from a short segment is 0.0, as in the original ingest. The 72
+statistics (mean, median, min, max, population std, count for each dim,
+array index ``dim*6 + stat``) and the 78 sample covariances of the upper
+triangle (row-major) need no self-join and no pair explosion: mean, std and
+covariance come from plain sums (of x and of x_i * x_j) in one hash
+aggregate that combines partially before the shuffle; the exact median needs
+each song's values of a dim together (a song has a bounded number of
+segments) and runs as a second pass joined on the song key.
 
 A song without segments gets 72 and 78 zeros; a song with one segment has
 covariance NaN (0/0), as computed by the original; features fill it with 0.

@@ -270,3 +270,20 @@ def test_read_songs_conforms_schema(spark, tmp_path):
     df = FS.read_songs(spark, str(tmp_path / "s"))
     assert df.schema == SONG
     assert df.first()["song_id"] == "s1" and df.first()["artist_id"] is None
+
+
+def test_model_save_load_and_impute_invariants(spark, tmp_path):
+    from songgraph.functions.scalar import valid_year
+    from songgraph.operators import features as FT
+    recs = FT.song_records(spark, "/root/testdata/sf0.001").cache()
+    model = Y.train(recs, maxIter=2, maxDepth=2)
+    Y.save_model(model, str(tmp_path / "m"))
+    loaded = Y.load_model(str(tmp_path / "m"))
+    out = Y.impute(recs, loaded)
+    assert out.count() == recs.count()
+    before = {r["song_id"]: r["year"] for r in recs.where(valid_year("year")).collect()}
+    after = {r["song_id"]: r["year"] for r in out.collect()}
+    assert all(after[k] == v for k, v in before.items())
+    assert sum(1 for v in after.values() if v is None or v == 0) == 0
+    m = Y.evaluate(loaded, recs).first()
+    assert m["n"] > 0 and m["rmse"] >= 0
