@@ -7,6 +7,12 @@ already reached. Each level is checkpointed to the reliable checkpoint folder,
 which cuts the lineage (the next level reads files, not the whole plan again)
 and survives executor loss.
 
+A hub (a vertex with a large share of all edges) would put its whole join
+into one task; since the edge list is pre-partitioned, AQE cannot split it.
+So vertices above ``|E| / HOT_K`` edges (fewer than HOT_K of them, a proven
+bound, broadcast) are joined on ``(vertex, salt)``: their edges split
+``SALTS`` ways, the frontier rows at them replicated ``SALTS`` times.
+
 Pruning needs only the two previous levels: in an undirected graph a
 neighbour of a level-(d-1) vertex lies at level d-2, d-1 or d, so an
 anti-join with levels d-1 and d-2 removes exactly the visited pairs. The
@@ -47,13 +53,51 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 def prepare_edges(sym: DataFrame) -> DataFrame:
     """Hash-partition the edge list by ``src`` once and keep it; every level
     joins on ``src`` and reuses this partitioning instead of shuffling the
-    edges again."""
+    edges again. ``bfs`` reuses an edge list that is already persisted (the
+    caller then owns it), so roots derived from the same edges do not
+    recompute them."""
     n = int(sym.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return sym.repartition(n, "src").persist(StorageLevel.MEMORY_AND_DISK)
 
 
+HOT_K = 1000            # a vertex is hot above |E| / HOT_K edges: < HOT_K such vertices
+MIN_HOT_DEGREE = 10000  # below this a vertex is never worth splitting
+SALTS = 16              # ways a hot vertex's edges are split
+
+
+def hot_vertices(edges: DataFrame, hot_k: int = HOT_K,
+                 min_hot_degree: int = MIN_HOT_DEGREE) -> DataFrame:
+    """Vertices whose degree exceeds ``max(|E| / hot_k, min_hot_degree)``.
+    Degrees sum to |E|, so fewer than ``hot_k`` vertices qualify: a proven
+    bound, which makes the set safe to broadcast."""
+    n_edges = edges.count()
+    limit = max(n_edges / float(hot_k), float(min_hot_degree))
+    return (edges.groupBy("src").count().where(F.col("count") > limit)
+                 .select(F.col("src").alias("hot")))
+
+
+def _expand(prev: DataFrame, edges: DataFrame, hot: DataFrame | None,
+            hot_edges: DataFrame | None, salts: int) -> DataFrame:
+    """Frontier x edges. Rows at a hot vertex are replicated ``salts`` times
+    and meet that vertex's edges split ``salts`` ways (by a hash of the far
+    end), so one hub becomes ``salts`` tasks; every other row joins the edges
+    on their existing ``src`` partitioning."""
+    if hot is None:
+        return prev.join(edges, prev["v"] == edges["src"]).select("root", F.col("dst").alias("v"))
+    tagged = prev.join(F.broadcast(hot), prev["v"] == F.col("hot"), "left")
+    cold = tagged.where(F.col("hot").isNull()).drop("hot")
+    warm = (tagged.where(F.col("hot").isNotNull()).drop("hot")
+                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    a = cold.join(edges, cold["v"] == edges["src"]).select("root", F.col("dst").alias("v"))
+    b = (warm.join(hot_edges, (warm["v"] == hot_edges["src"]) & (warm["salt"] == hot_edges["salt"]))
+             .select("root", F.col("dst").alias("v")))
+    return a.unionByName(b)
+
+
 def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
-        mode: str = "bfs", include_root: bool = False) -> DataFrame:
+        mode: str = "bfs", include_root: bool = False, split_hot: bool = True,
+        hot_k: int = HOT_K, min_hot_degree: int = MIN_HOT_DEGREE,
+        salts: int = SALTS) -> DataFrame:
     """GR1/GR2: bounded BFS from every row of ``roots`` (column ``root``).
 
     Returns ``(root, v, degree)``; ``degree`` is the hop distance (1..max).
@@ -67,18 +111,28 @@ def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
     """
     if mode not in ("bfs", "walk"):
         raise ValueError(f"mode must be 'bfs' or 'walk', not {mode!r}")
-    edges = prepare_edges(sym)
-    verts = vertices(sym)
+    owned = not sym.storageLevel.useMemory and not sym.storageLevel.useDisk
+    edges = prepare_edges(sym) if owned else sym
+    verts = vertices(edges)
     start = (roots.select("root").where(F.col("root").isNotNull()).distinct()
                   .join(verts, F.col("root") == F.col("v"), "left_semi")
                   .select("root", F.col("root").alias("v")))
     start = _checkpoint(start)
+    hot = hot_edges = None
+    if split_hot:
+        hot = _checkpoint(hot_vertices(edges, hot_k, min_hot_degree))
+        if hot.isEmpty():
+            hot = None
+        else:
+            n = int(sym.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            hot_edges = (edges.join(F.broadcast(hot), edges["src"] == F.col("hot"), "left_semi")
+                              .withColumn("salt", F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int"))
+                              .repartition(n, "src", "salt")
+                              .persist(StorageLevel.MEMORY_AND_DISK))
     levels = []
     prev, prev2 = start, None
     for d in range(1, max_degree + 1):
-        nxt = (prev.join(edges, prev["v"] == edges["src"])
-                   .select("root", F.col("dst").alias("v"))
-                   .distinct())
+        nxt = _expand(prev, edges, hot, hot_edges, salts).distinct()
         if mode == "bfs":
             seen = prev if prev2 is None else prev.unionByName(prev2)
             nxt = nxt.join(seen, ["root", "v"], "left_anti")
@@ -89,7 +143,10 @@ def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
         if nxt.isEmpty():
             break
         prev2, prev = prev, nxt
-    edges.unpersist()
+    if owned:
+        edges.unpersist()
+    if hot_edges is not None:
+        hot_edges.unpersist()
     if include_root or not levels:
         root_rows = start.withColumn("degree", F.lit(0))
         levels.insert(0, root_rows if include_root else root_rows.limit(0))

@@ -25,6 +25,25 @@ def sym_edges(spark, sf_dir):
     return G.symmetrize(A.similarity(spark, sf_dir))
 
 
+def run_bfs(spark, sf_dir, roots_of, **kw):
+    """BFS with the symmetric edges partitioned by ``src`` and kept for the
+    roots, the vertex list and every level; released once the (checkpointed)
+    levels exist."""
+    sym = G.prepare_edges(sym_edges(spark, sf_dir))
+    try:
+        return G.bfs(sym, roots_of(sym), DEPTH, **kw)
+    finally:
+        sym.unpersist()
+
+
+def _all_roots(sym):
+    return G.vertices(sym).select(F.col("v").alias("root"))
+
+
+def _first_root(sym):
+    return G.first_vertex(G.vertices(sym))
+
+
 _E = cte(sim=A.SQL_SIMILARITY) + """,
 e AS (SELECT target AS src, "similar" AS dst FROM sim
         WHERE target IS NOT NULL AND "similar" IS NOT NULL
@@ -71,31 +90,27 @@ def q_vertices(spark, sf_dir):
 @register("bfs_multi", _E + _ALL_ROOTS + _WALKS_FROM + "SELECT root, v, degree FROM bfs")
 def q_bfs_multi(spark, sf_dir):
     """GR2 JN1 JN3 JN4 AG7 FLT10 ST1 ST3: BFS to depth 3 from every artist"""
-    sym = sym_edges(spark, sf_dir)
-    return G.bfs(sym, G.vertices(sym).select(F.col("v").alias("root")), DEPTH)
+    return run_bfs(spark, sf_dir, _all_roots)
 
 
 @register("bfs_single", _E + _FIRST_ROOT + _WALKS_FROM + "SELECT v, degree FROM bfs")
 def q_bfs_single(spark, sf_dir):
     """GR1 JN1 JN3 FLT10: BFS from the smallest artist id"""
-    sym = sym_edges(spark, sf_dir)
-    return G.bfs(sym, G.first_vertex(G.vertices(sym)), DEPTH).select("v", "degree")
+    return run_bfs(spark, sf_dir, _first_root).select("v", "degree")
 
 
 @register("bfs_single_as_coded", _E + _FIRST_ROOT + _WALK_LEVELS + """
 SELECT v, CAST(min(degree) AS INTEGER) AS degree FROM walks GROUP BY v""")
 def q_bfs_single_as_coded(spark, sf_dir):
     """GR1 walk mode, AG4 AG5: the root comes back at degree 2"""
-    sym = sym_edges(spark, sf_dir)
-    walks = G.bfs(sym, G.first_vertex(G.vertices(sym)), DEPTH, mode="walk")
+    walks = run_bfs(spark, sf_dir, _first_root, mode="walk")
     return G.min_degree(walks).select("v", "degree")
 
 
 @register("bfs_walk_cache", _E + _ALL_ROOTS + _WALK_LEVELS + "SELECT root, v, degree FROM walks")
 def q_bfs_walk_cache(spark, sf_dir):
     """GR2 walk mode, ST3 as coded: a neighbour at several degrees, root inside"""
-    sym = sym_edges(spark, sf_dir)
-    return G.bfs(sym, G.vertices(sym).select(F.col("v").alias("root")), DEPTH, mode="walk")
+    return run_bfs(spark, sf_dir, _all_roots, mode="walk")
 
 
 @register("nearest_n", _E + _FIRST_ROOT + _WALKS_FROM + f"""
@@ -103,8 +118,7 @@ SELECT v, degree, CAST(row_number() OVER (ORDER BY degree, v) AS INTEGER) AS ran
 FROM bfs QUALIFY rank <= {TOP}""")
 def q_nearest_n(spark, sf_dir):
     """TK5 SM2 (id tie-break): the 10 nearest artists of one artist"""
-    sym = sym_edges(spark, sf_dir)
-    paths = G.bfs(sym, G.first_vertex(G.vertices(sym)), DEPTH)
+    paths = run_bfs(spark, sf_dir, _first_root)
     return G.nearest(paths, TOP).select("v", "degree", "rank")
 
 
@@ -112,9 +126,7 @@ def q_nearest_n(spark, sf_dir):
 def q_bfs_sample(spark, sf_dir):
     """SM1 JN4 GR2: BFS from 5 artists picked by a seeded hash (no SQL twin:
     DuckDB has no xxhash64; tests check it against the all-roots answer)"""
-    sym = sym_edges(spark, sf_dir)
-    roots = G.sample_roots(G.vertices(sym), 5, seed=42)
-    return G.bfs(sym, roots, DEPTH)
+    return run_bfs(spark, sf_dir, lambda sym: G.sample_roots(G.vertices(sym), 5, seed=42))
 
 
 _TOPK = _E + _ALL_ROOTS + _WALKS_FROM + f""",
@@ -127,8 +139,7 @@ topk AS (SELECT root, v, degree,
 @register("cache_top_k", _TOPK + "SELECT root, v, degree, rank FROM topk")
 def q_cache_top_k(spark, sf_dir):
     """WN1 AG6: first 10 cached neighbours per artist, ordered (degree, id)"""
-    sym = sym_edges(spark, sf_dir)
-    paths = G.bfs(sym, G.vertices(sym).select(F.col("v").alias("root")), DEPTH)
+    paths = run_bfs(spark, sf_dir, _all_roots)
     return G.nearest(paths, TOP)
 
 
@@ -139,8 +150,7 @@ SELECT 'artist:' || CAST(root AS VARCHAR) || ':recs' AS "key",
 FROM topk GROUP BY root""")
 def q_cache_json(spark, sf_dir):
     """SC12 SC14 AG6: the cache value, JSON [[id, degree], ...] of the first 10"""
-    sym = sym_edges(spark, sf_dir)
-    paths = G.bfs(sym, G.vertices(sym).select(F.col("v").alias("root")), DEPTH)
+    paths = run_bfs(spark, sf_dir, _all_roots)
     return S.recs_json(paths, TOP)
 
 
@@ -149,8 +159,7 @@ SELECT 'artist:' || CAST(root AS VARCHAR) || ':recs' AS "key", CAST(rank AS INTE
        v, CAST(degree AS BIGINT) AS degree FROM topk""")
 def q_cache_json_roundtrip(spark, sf_dir):
     """SC13: the JSON value decoded back into rows"""
-    sym = sym_edges(spark, sf_dir)
-    paths = G.bfs(sym, G.vertices(sym).select(F.col("v").alias("root")), DEPTH)
+    paths = run_bfs(spark, sf_dir, _all_roots)
     return S.parse_recs(S.recs_json(paths, TOP))
 
 
@@ -164,8 +173,7 @@ SELECT 'artist:' || CAST(root AS VARCHAR) || ':recs' AS "key",
 def q_cache_dump(spark, sf_dir):
     """SNK3 SRC10 SC14: write the serving table (overwrite, bucketed by
     artist), read it back, list every key with its entries"""
-    sym = sym_edges(spark, sf_dir)
-    paths = G.bfs(sym, G.vertices(sym).select(F.col("v").alias("root")), DEPTH)
+    paths = run_bfs(spark, sf_dir, _all_roots)
     path = _serving_path(spark)
     S.write_serving_table(paths, path)
     return S.dump(S.read_serving_table(spark, path))
@@ -184,8 +192,7 @@ def q_cache_lookup(spark, sf_dir):
     """SRC9 SC10 WN1 JN4: artist-anchored requests read their first top_k
     cached neighbours; BFS roots are the requested artists only"""
     req = A.requests(spark, sf_dir).where(F.col("artist_id").isNotNull())
-    sym = sym_edges(spark, sf_dir)
-    paths = G.bfs(sym, req.select(F.col("artist_id").alias("root")), DEPTH)
+    paths = run_bfs(spark, sf_dir, lambda sym: req.select(F.col("artist_id").alias("root")))
     path = _serving_path(spark)
     S.write_serving_table(paths, path)
     return S.lookup_many(S.read_serving_table(spark, path), req)

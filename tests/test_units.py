@@ -287,3 +287,17 @@ def test_model_save_load_and_impute_invariants(spark, tmp_path):
     assert sum(1 for v in after.values() if v is None or v == 0) == 0
     m = Y.evaluate(loaded, recs).first()
     assert m["n"] > 0 and m["rmse"] >= 0
+
+
+def test_bfs_hot_vertex_split_equals_plain(spark):
+    # a star: hub h linked to 40 leaves, leaves linked in a ring
+    edges = [("h", f"l{i}") for i in range(40)] + [(f"l{i}", f"l{(i + 1) % 40}") for i in range(40)]
+    sym = G.symmetrize(spark.createDataFrame(edges, "target string, similar string"))
+    roots = G.vertices(sym).select(F.col("v").alias("root"))
+    plain = {tuple(r) for r in G.bfs(sym, roots, 3, split_hot=False)
+             .select("root", "v", "degree").collect()}
+    salted = {tuple(r) for r in G.bfs(sym, roots, 3, hot_k=5, min_hot_degree=1, salts=5)
+              .select("root", "v", "degree").collect()}
+    hot = [r["hot"] for r in G.hot_vertices(sym, 5, 1).collect()]
+    assert hot == ["h"]
+    assert plain == salted
