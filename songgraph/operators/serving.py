@@ -13,6 +13,8 @@ entries), which is what the readers consume.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,10 +29,21 @@ def bucket_of(col) -> F.Column:
 
 
 def write_serving_table(paths: DataFrame, path: str, n_buckets: int = N_BUCKETS) -> None:
-    """SNK3: replace the whole table (overwrite), one directory per bucket."""
+    """SNK3: replace the whole table (overwrite), one directory per bucket.
+
+    Each bucket is split over ``k`` write tasks by a second hash of the root,
+    with ``k`` chosen so that all buckets together use as many tasks as the
+    session's shuffle partitions: the write parallelism grows with the
+    cluster instead of stopping at ``n_buckets`` tasks, and one root still
+    lands in one file."""
+    spark = paths.sparkSession
+    tasks = max(n_buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    k = max(1, math.ceil(tasks / n_buckets))
     b = F.pmod(F.xxhash64("root"), F.lit(n_buckets)).alias("bucket")
-    (paths.select("root", "v", "degree", b)
-          .repartition("bucket")
+    part = F.pmod(F.xxhash64(F.col("root"), F.lit(7)), F.lit(k)).alias("_part")
+    (paths.select("root", "v", "degree", b, part)
+          .repartition(n_buckets * k, "bucket", "_part")
+          .drop("_part")
           .sortWithinPartitions("root", "degree", "v")
           .write.mode("overwrite").partitionBy("bucket").parquet(path))
 
