@@ -11,6 +11,7 @@ from songgraph.operators import years as Y
 from songgraph.plans.base import cte, register
 from songgraph.plans.segment_queries import _SQL_AGG, _cov
 from songgraph.schema import N_DIMS, SCALAR_FEATURES, STAT_NAMES
+from songgraph.session import materialize
 from songgraph.sources import adapters as A
 
 # The year model settings used by the registered queries; the library
@@ -132,7 +133,7 @@ def q_regression_metrics(spark, sf_dir):
 def q_impute_years(spark, sf_dir):
     """ML1-ML5 SM3 SC2: train the GBT year model on 80% of the valid rows
     (hash split), impute every missing year in place; all rows kept"""
-    recs = FT.song_records(spark, sf_dir)
+    recs = materialize(FT.song_records(spark, sf_dir), "song-records")
     model = Y.train(recs, **QUERY_GBT)
     out = Y.impute(recs, model)
     return out.select("song_id", "artist_id", "year",
@@ -143,6 +144,6 @@ def q_impute_years(spark, sf_dir):
 @register("evaluate_years")
 def q_evaluate_years(spark, sf_dir):
     """ML6 SM3 AG14: the GBT model scored on the held-out 20%"""
-    recs = FT.song_records(spark, sf_dir)
+    recs = materialize(FT.song_records(spark, sf_dir), "song-records")
     model = Y.train(recs, **QUERY_GBT)
     return Y.evaluate(model, recs)
