@@ -97,7 +97,7 @@ def _expand(prev: DataFrame, edges: DataFrame, hot: DataFrame | None,
 def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
         mode: str = "bfs", include_root: bool = False, split_hot: bool = True,
         hot_k: int = HOT_K, min_hot_degree: int = MIN_HOT_DEGREE,
-        salts: int = SALTS) -> DataFrame:
+        salts: int = SALTS, enough: int | None = None) -> DataFrame:
     """GR1/GR2: bounded BFS from every row of ``roots`` (column ``root``).
 
     Returns ``(root, v, degree)``; ``degree`` is the hop distance (1..max).
@@ -108,6 +108,12 @@ def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
     level every walk end is kept (only a degree-1 self-loop back to the root
     is removed), so a vertex can appear at several degrees and the root comes
     back at degree 2.
+
+    ``enough=n`` serves callers that read only each root's ``n`` nearest
+    vertices by (degree, id): a root that has reached ``n`` vertices in
+    complete levels leaves the frontier, because nothing further out can
+    enter its first ``n``. Those first ``n`` stay exact; rows beyond them may
+    be missing.
     """
     if mode not in ("bfs", "walk"):
         raise ValueError(f"mode must be 'bfs' or 'walk', not {mode!r}")
@@ -130,6 +136,7 @@ def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
                               .repartition(n, "src", "salt")
                               .persist(StorageLevel.MEMORY_AND_DISK))
     levels = []
+    reached = None
     prev, prev2 = start, None
     for d in range(1, max_degree + 1):
         nxt = _expand(prev, edges, hot, hot_edges, salts).distinct()
@@ -142,6 +149,15 @@ def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
         levels.append(nxt.withColumn("degree", F.lit(d)))
         if nxt.isEmpty():
             break
+        if enough is not None and mode == "bfs" and d < max_degree:
+            got = nxt.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+            reached = got if reached is None else (
+                reached.join(got, "root", "full")
+                       .select("root", (F.coalesce(reached["n"], F.lit(0))
+                                        + F.coalesce(got["n"], F.lit(0))).alias("n")))
+            reached = _checkpoint(reached)          # one small row per root
+            done = reached.where(F.col("n") >= enough).select("root")
+            nxt = nxt.join(done, "root", "left_anti")
         prev2, prev = prev, nxt
     if owned:
         edges.unpersist()

@@ -51,7 +51,7 @@ def q_recommend_stream(spark, sf_dir):
     tracks = A.tracks(spark, sf_dir)
     resolved = R.resolve(req, tracks)
     roots = resolved.where(F.col("status") == "ok").select(F.col("anchor_artist").alias("root"))
-    paths = run_bfs(spark, sf_dir, lambda sym: roots)
+    paths = run_bfs(spark, sf_dir, lambda sym: roots, enough=R.SIMILAR_N)
     inbox = _scratch(spark, "requests")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     req.repartition(n, "req_id").write.parquet(inbox)

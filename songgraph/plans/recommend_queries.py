@@ -78,7 +78,7 @@ def recommend_batch(spark, sf_dir):
     tracks = A.tracks(spark, sf_dir)
     resolved = R.resolve(req, tracks)
     roots = resolved.where(F.col("status") == "ok").select(F.col("anchor_artist").alias("root"))
-    paths = run_bfs(spark, sf_dir, lambda sym: roots)
+    paths = run_bfs(spark, sf_dir, lambda sym: roots, enough=R.SIMILAR_N)
     return R.recommend(req, tracks, paths, artists=A.artists(spark, sf_dir))
 
 

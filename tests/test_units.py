@@ -301,3 +301,16 @@ def test_bfs_hot_vertex_split_equals_plain(spark):
     hot = [r["hot"] for r in G.hot_vertices(sym, 5, 1).collect()]
     assert hot == ["h"]
     assert plain == salted
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5])
+def test_bfs_enough_keeps_nearest_exact(spark, n):
+    edges = [(f"a{i}", f"a{(i * 7 + 3) % 30}") for i in range(30)] + \
+            [(f"a{i}", f"a{(i + 1) % 30}") for i in range(30)]
+    sym = G.symmetrize(spark.createDataFrame(edges, "target string, similar string"))
+    roots = G.vertices(sym).select(F.col("v").alias("root"))
+    full = {tuple(r) for r in G.nearest(G.bfs(sym, roots, 3), n)
+            .select("root", "v", "degree", "rank").collect()}
+    cut = {tuple(r) for r in G.nearest(G.bfs(sym, roots, 3, enough=n), n)
+           .select("root", "v", "degree", "rank").collect()}
+    assert full == cut
