@@ -6,9 +6,11 @@ statistics (mean, median, min, max, population std, count for each dim,
 array index ``dim*6 + stat``) and the 78 sample covariances of the upper
 triangle (row-major) need no self-join and no pair explosion: mean, std and
 covariance come from plain sums (of x and of x_i * x_j) in one hash
-aggregate that combines partially before the shuffle; the exact median needs
-each song's values of a dim together (a song has a bounded number of
-segments) and runs as a second pass joined on the song key.
+aggregate that combines partially before the shuffle. The exact median runs
+as a second pass joined on the song key: a song with at most
+``HOT_SEGMENTS`` segments is sorted in one task (a proven bound on what one
+task holds); a larger song, up to a third of all rows, goes through the
+distributed order statistics of ``quantiles`` and is never gathered.
 
 A song without segments gets 72 and 78 zeros; a song with one segment has
 covariance NaN (0/0), as computed by the original; features fill it with 0.
@@ -19,7 +21,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from songgraph.operators.quantiles import exact_medians
 from songgraph.schema import N_COV, N_DIMS, N_STATS, STAT_NAMES
+from songgraph.session import materialize
+
+# A song with at most this many segments has its medians computed from its
+# gathered matrix: at most 100,000 x 24 doubles (~19 MB) in one task. Larger
+# songs take the distributed path.
+HOT_SEGMENTS = 100_000
 
 PAIRS = [(i, j) for i in range(N_DIMS) for j in range(i, N_DIMS)]
 
@@ -57,11 +66,27 @@ def _pick(i: int):
     return lambda r: r[i]
 
 
-def _medians(segs: DataFrame, srcs: list[str]) -> DataFrame:
-    """Exact medians (mean of the middle two for an even count). The song's
-    segment rows are gathered once (the matrix of one song, as in the source
-    record) and each dim is sorted; a separate pass, because an object
-    aggregate next to the sums would take the sums off the fast hash path."""
+def _medians(segs: DataFrame, srcs: list[str], hot_segments: int = HOT_SEGMENTS) -> DataFrame:
+    """Exact medians (mean of the middle two for an even count) per song and
+    dim. A pass over the key column alone finds the songs with more than
+    ``hot_segments`` segments (written to the shared folder; usually none);
+    the others are gathered and sorted, the hot ones take the distributed
+    order statistics. A separate pass from the sums, because an object
+    aggregate next to them would take the sums off the fast hash path."""
+    hot = materialize(segs.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
+                          .where(F.col("n") > hot_segments), "hot-songs")
+    if hot.isEmpty():
+        return _gathered_medians(segs, srcs)
+    # the hot-song table is sized by the planner from its files: a broadcast
+    # only below the threshold, a sort-merge join beyond it
+    small = segs.join(hot.select("song_id"), "song_id", "left_anti")
+    big = segs.join(hot.select("song_id"), "song_id", "left_semi")
+    return _gathered_medians(small, srcs).unionByName(_ranked_medians(big, srcs, hot))
+
+
+def _gathered_medians(segs: DataFrame, srcs: list[str]) -> DataFrame:
+    """Each song's segment rows gathered once (the matrix of one song, as in
+    the source record, bounded by ``HOT_SEGMENTS``) and each dim sorted."""
     rows = [F.array(*_xs(src)) for src in srcs]
     g = segs.groupBy("song_id").agg(
         *[F.collect_list(r).alias(f"_m{k}") for k, r in enumerate(rows)])
@@ -78,7 +103,21 @@ def _medians(segs: DataFrame, srcs: list[str]) -> DataFrame:
     return g.select("song_id", *out)
 
 
-def _final(prefix: str = "", src: str = "x") -> list:
+def _ranked_medians(segs: DataFrame, srcs: list[str], hot: DataFrame) -> DataFrame:
+    """Medians of hot songs: one long row per (song, dim, value), exact order
+    statistics at the middle ranks, then one row per song again (at most
+    ``12 * len(srcs)`` rows per song are pivoted)."""
+    cells = [F.struct(F.lit(k * N_DIMS + i).alias("d"), x.alias("x"))
+             for k, src in enumerate(srcs) for i, x in enumerate(_xs(src))]
+    long = segs.select("song_id", F.explode(F.array(*cells)).alias("e")) \
+               .select("song_id", "e.d", "e.x")
+    med = exact_medians(long, ["song_id", "d"], "x", hot.select("song_id", "n"), out="m")
+    return med.groupBy("song_id").agg(*[
+        F.max(F.when(F.col("d") == k * N_DIMS + i, F.col("m"))).alias(f"{src}_med{i}")
+        for k, src in enumerate(srcs) for i in range(N_DIMS)])
+
+
+def _final(prefix: str = "", src: str = "x", medians: bool = True) -> list:
     """Statistics from the sums: mean = S/n, population std =
     sqrt((Q - S^2/n) / n), sample covariance = (P - S_i S_j / n) / (n - 1)
     (NaN for one segment, as 0/0 in the original)."""
@@ -88,7 +127,8 @@ def _final(prefix: str = "", src: str = "x") -> list:
     for i in range(N_DIMS):
         q = F.col(f"{prefix}sp{i}_{i}")
         var_pop = F.greatest(F.lit(0.0), (q - S[i] * S[i] / n) / n)
-        stats = {"mean": S[i] / n, "median": F.col(f"{src}_med{i}"),
+        med = F.col(f"{src}_med{i}") if medians else F.lit(None).cast("double")
+        stats = {"mean": S[i] / n, "median": med,
                  "min": F.col(f"{prefix}min{i}"), "max": F.col(f"{prefix}max{i}"),
                  "std": F.sqrt(var_pop), "count": n}
         out += [stats[s].alias(f"{prefix}s{i}_{s}") for s in STAT_NAMES]
@@ -98,27 +138,33 @@ def _final(prefix: str = "", src: str = "x") -> list:
     return out
 
 
-def _wide(segs: DataFrame, srcs: list[str]) -> DataFrame:
+def _wide(segs: DataFrame, srcs: list[str], hot_segments: int = HOT_SEGMENTS,
+          medians: bool = True) -> DataFrame:
     aggs, finals = [], []
     for src in srcs:
         aggs += _raw_aggs(prefix=f"{src}_", src=src)
-        finals += _final(prefix=f"{src}_", src=src)
+        finals += _final(prefix=f"{src}_", src=src, medians=medians)
     sums = segs.groupBy("song_id").agg(*aggs)
+    if not medians:
+        return sums.select("song_id", *finals)
     # Both sides hold one row per song and are already hash-partitioned by
     # song_id: a sort-merge join needs no exchange. Pin it, so AQE never
     # broadcasts a side whose compressed shuffle size looks small.
-    both = sums.hint("merge").join(_medians(segs, srcs), "song_id")
+    both = sums.hint("merge").join(_medians(segs, srcs, hot_segments), "song_id")
     return both.select("song_id", *finals)
 
 
-def segment_stats_wide(segs: DataFrame) -> DataFrame:
-    """One row per song: ``x_s{dim}_{stat}`` and ``x_c{i}_{j}`` columns."""
-    return _wide(segs, ["x"])
+def segment_stats_wide(segs: DataFrame, hot_segments: int = HOT_SEGMENTS,
+                       medians: bool = True) -> DataFrame:
+    """One row per song: ``x_s{dim}_{stat}`` and ``x_c{i}_{j}`` columns
+    (the medians null when ``medians`` is False)."""
+    return _wide(segs, ["x"], hot_segments, medians)
 
 
-def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "cov") -> DataFrame:
+def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "cov",
+                   hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """AG10/AG13: ``(song_id, stats[72], cov[78])`` in the record layout."""
-    wide = segment_stats_wide(segs)
+    wide = segment_stats_wide(segs, hot_segments)
     return wide.select(
         "song_id",
         F.array(*[F.col(f"x_s{i}_{s}") for i in range(N_DIMS) for s in STAT_NAMES])
@@ -126,11 +172,12 @@ def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "co
         F.array(*[F.col(f"x_c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
 
 
-def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
+def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]],
+                  hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """Several matrices that share their segments (e.g. timbre ``x*`` and
     pitches ``p*`` of the same rows) in ONE grouped pass. ``kinds`` maps a
     column prefix to the (stats, cov) output names."""
-    wide = _wide(segs, list(kinds))
+    wide = _wide(segs, list(kinds), hot_segments)
     outs = []
     for src, (stats_col, cov_col) in kinds.items():
         outs.append(F.array(*[F.col(f"{src}_s{i}_{s}") for i in range(N_DIMS)
@@ -156,9 +203,9 @@ def _r(c, digits: int):
     return F.round(c, digits) + F.lit(0.0)
 
 
-def stats_long(segs: DataFrame, digits: int = 6) -> DataFrame:
+def stats_long(segs: DataFrame, digits: int = 6, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """AG9/AG10/AG11 one row per (song, dim)."""
-    wide = segment_stats_wide(segs)
+    wide = segment_stats_wide(segs, hot_segments)
     per_dim = F.explode(F.array(*[
         F.struct(F.lit(i).alias("dim"),
                  *[F.col(f"x_s{i}_{s}").alias(s) for s in STAT_NAMES])
@@ -169,8 +216,8 @@ def stats_long(segs: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def cov_long(segs: DataFrame, digits: int = 6) -> DataFrame:
-    """AG12/AG13 one row per (song, i, j), i <= j."""
-    wide = segment_stats_wide(segs)
+    """AG12/AG13 one row per (song, i, j), i <= j; no median pass."""
+    wide = segment_stats_wide(segs, medians=False)
     cells = F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"x_c{i}_{j}").alias("cov"))
         for i, j in PAIRS])).alias("c")

@@ -314,3 +314,42 @@ def test_bfs_enough_keeps_nearest_exact(spark, n):
     cut = {tuple(r) for r in G.nearest(G.bfs(sym, roots, 3, enough=n), n)
            .select("root", "v", "degree", "rank").collect()}
     assert full == cut
+
+
+def test_order_statistics_match_sorting(spark):
+    import random
+    from songgraph.operators.quantiles import order_statistics
+    rnd = random.Random(7)
+    rows = []
+    for g in range(4):
+        size = [1, 2, 57, 400][g]
+        pool = [float(rnd.randint(-5, 5)) for _ in range(3)] + [rnd.random() for _ in range(5)]
+        rows += [(g, rnd.choice(pool) if rnd.random() < 0.5 else rnd.gauss(0, 3))
+                 for _ in range(size)]
+    vals = spark.createDataFrame(rows, "g long, x double")
+    want = {}
+    for g in range(4):
+        xs = sorted(x for k, x in rows if k == g)
+        for r in {1, (len(xs) + 1) // 2, len(xs) // 2 + 1, len(xs)}:
+            want[(g, r)] = xs[r - 1]
+    ranks = spark.createDataFrame(list(want), "g long, r long")
+    got = {(r["g"], r["r"]): r["x"]
+           for r in order_statistics(vals, ["g"], "x", ranks, parts=7).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("hot", [0, 3])
+def test_hot_song_medians_equal_gathered(spark, hot):
+    import random
+    rnd = random.Random(hot)
+    rows = [(sid, k, [float(rnd.randint(0, 6)) for _ in range(12)])
+            for sid, n in [(1, 1), (2, 2), (3, 5), (4, 40), (5, 41)] for k in range(n)]
+    segs = _segs(spark, rows)
+    base = {(r["song_id"], r["dim"]): r for r in SG.stats_long(segs).collect()}
+    split = {(r["song_id"], r["dim"]): r
+             for r in SG.stats_long(segs, hot_segments=hot).collect()}
+    assert split == base
+    arr = {r["song_id"]: r["stats"] for r in
+           SG.record_arrays(segs, {"x": ("stats", "cov")}, hot_segments=hot)
+             .select("song_id", "stats").collect()}
+    assert arr == {r["song_id"]: r["stats"] for r in SG.segment_arrays(segs).collect()}
