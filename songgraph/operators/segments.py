@@ -69,14 +69,16 @@ def _pick(i: int):
 def _medians(segs: DataFrame, srcs: list[str], hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """Exact medians (mean of the middle two for an even count) per song and
     dim. A pass over the key column alone finds the songs with more than
-    ``hot_segments`` segments (written to the shared folder; usually none);
+    ``hot_segments`` segments (usually none; else written to the shared
+    folder);
     the others are gathered and sorted, the hot ones take the distributed
     order statistics. A separate pass from the sums, because an object
     aggregate next to them would take the sums off the fast hash path."""
-    hot = materialize(segs.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
-                          .where(F.col("n") > hot_segments), "hot-songs")
+    hot = (segs.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
+               .where(F.col("n") > hot_segments))
     if hot.isEmpty():
         return _gathered_medians(segs, srcs)
+    hot = materialize(hot, "hot-songs")
     # the hot-song table is sized by the planner from its files: a broadcast
     # only below the threshold, a sort-merge join beyond it
     small = segs.join(hot.select("song_id"), "song_id", "left_anti")

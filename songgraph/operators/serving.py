@@ -3,7 +3,7 @@
 The table is long form ``(root, v, degree)``: one row per cached neighbour, so
 no root's list is ever gathered into one row or one task. It is written
 hash-bucketed by root (a ``bucket`` partition column), so a lookup of one
-artist reads one directory; inside a bucket the rows are sorted by
+artist reads one directory; inside a bucket's files the rows are sorted by
 ``(root, degree, v)``, so Parquet row-group statistics skip most of it.
 
 The JSON value of the original cache (``[[id, degree], ...]`` ordered by
@@ -31,18 +31,20 @@ def bucket_of(col) -> F.Column:
 def write_serving_table(paths: DataFrame, path: str, n_buckets: int = N_BUCKETS) -> None:
     """SNK3: replace the whole table (overwrite), one directory per bucket.
 
-    Each bucket is split over ``k`` write tasks by a second hash of the root,
-    with ``k`` chosen so that all buckets together use as many tasks as the
-    session's shuffle partitions: the write parallelism grows with the
-    cluster instead of stopping at ``n_buckets`` tasks, and one root still
-    lands in one file."""
+    Rows are spread over the write tasks by ``(bucket, second hash of the
+    root)`` with ``k`` sub-parts per bucket, ``k`` chosen so that all buckets
+    together use as many tasks as the session's shuffle partitions. The
+    shuffle is a ``REBALANCE``: AQE coalesces small partitions and splits any
+    partition above the advisory size, so a root holding a third of all rows
+    is written by many tasks (its rows then span several files of its bucket
+    directory, each sorted by ``(root, degree, v)``)."""
     spark = paths.sparkSession
     tasks = max(n_buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
     k = max(1, math.ceil(tasks / n_buckets))
     b = F.pmod(F.xxhash64("root"), F.lit(n_buckets)).alias("bucket")
     part = F.pmod(F.xxhash64(F.col("root"), F.lit(7)), F.lit(k)).alias("_part")
     (paths.select("root", "v", "degree", b, part)
-          .repartition(n_buckets * k, "bucket", "_part")
+          .hint("rebalance", "bucket", "_part")
           .drop("_part")
           .sortWithinPartitions("root", "degree", "v")
           .write.mode("overwrite").partitionBy("bucket").parquet(path))
@@ -54,10 +56,11 @@ def read_serving_table(spark: SparkSession, path: str) -> DataFrame:
 
 def lookup(table: DataFrame, artist_id, k: int, n_buckets: int = N_BUCKETS) -> DataFrame:
     """SRC9/SC10: the first ``k`` entries for one artist; an unknown artist
-    gives an empty frame. The bucket predicate prunes directories."""
-    one = (table.where((F.col("bucket") == F.pmod(F.xxhash64(F.lit(artist_id)),
-                                                   F.lit(n_buckets)))
-                       & (F.col("root") == F.lit(artist_id))))
+    gives an empty frame. The bucket predicate prunes directories; the id
+    is cast to the table's root type first, as the hash depends on the type."""
+    key = F.lit(artist_id).cast(table.schema["root"].dataType)
+    one = (table.where((F.col("bucket") == F.pmod(F.xxhash64(key), F.lit(n_buckets)))
+                       & (F.col("root") == key)))
     return nearest(one.drop("bucket"), k).select("v", "degree", "rank")
 
 

@@ -353,3 +353,18 @@ def test_hot_song_medians_equal_gathered(spark, hot):
            SG.record_arrays(segs, {"x": ("stats", "cov")}, hot_segments=hot)
              .select("song_id", "stats").collect()}
     assert arr == {r["song_id"]: r["stats"] for r in SG.segment_arrays(segs).collect()}
+
+
+def test_serving_hot_root_long_ids(spark, tmp_path):
+    # root 7 holds 80% of the rows; ids are bigint while the asked id is a
+    # Python int: the lookup must hash it as the table's type
+    paths = spark.range(4000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(7)).otherwise(F.col("id") % 100).alias("root"),
+        F.col("id").alias("v"), (F.col("id") % 3 + 1).cast("int").alias("degree"))
+    out = str(tmp_path / "serve")
+    S.write_serving_table(paths, out)
+    t = S.read_serving_table(spark, out)
+    assert t.count() == 4000
+    want = sorted((r["degree"], r["v"]) for r in paths.where("root = 7").collect())[:5]
+    got = [(r["degree"], r["v"]) for r in S.lookup(t, 7, 5).orderBy("rank").collect()]
+    assert got == want
