@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from songgraph.session import ensure_checkpoint_dir
+from songgraph.session import materialize
 
 
 def symmetrize(edges: DataFrame, a: str = "target", b: str = "similar") -> DataFrame:
@@ -46,8 +46,11 @@ def vertices(sym: DataFrame) -> DataFrame:
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a level as Parquet under the checkpoint folder and read it back:
+    computed once (an eager ``Dataset.checkpoint`` runs a count and then
+    recomputes the last stage to write its files), lineage cut, and later
+    joins see file statistics."""
+    return materialize(df, "bfs-level")
 
 
 def prepare_edges(sym: DataFrame) -> DataFrame:
