@@ -368,3 +368,21 @@ def test_serving_hot_root_long_ids(spark, tmp_path):
     want = sorted((r["degree"], r["v"]) for r in paths.where("root = 7").collect())[:5]
     got = [(r["degree"], r["v"]) for r in S.lookup(t, 7, 5).orderBy("rank").collect()]
     assert got == want
+
+
+def test_hot_song_medians_with_nan_and_signed_zero(spark):
+    nan = float("nan")
+    rows = [(1, k, [v, -0.0 if k % 2 else 0.0]) for k, v in
+            enumerate([3.0, nan, 1.0, nan, 2.0, 5.0])] + \
+           [(2, k, [v]) for k, v in enumerate([nan, 4.0, nan])]
+    segs = _segs(spark, rows)
+
+    def meds(**kw):
+        out = {}
+        for r in SG.stats_long(segs, **kw).collect():
+            m = r["median_v"]
+            out[(r["song_id"], r["dim"])] = "nan" if m is not None and math.isnan(m) else m
+        return out
+    base = meds()
+    assert base[(1, 0)] == 4.0 and base[(2, 0)] == "nan"
+    assert meds(hot_segments=0) == base
