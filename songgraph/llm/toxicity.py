@@ -1,9 +1,9 @@
 """Toxic passages by maximum-scoring segments.
 
 Token scores are log-odds of document frequencies in toxic against clean labelled
-documents, smoothed by an informative Dirichlet prior: the pseudo-counts of a token
-follow its share of all labelled documents, and those of an unseen token the log-odds
-of its first letters. Every score is lowered by a constant, so ordinary text has a
+documents, smoothed by an informative Dirichlet prior: one pseudo-count and more by a token's
+share of all labelled documents. Tokens whose log-odds are clear of zero (by their
+standard error) keep them; an unseen token has the log-odds of its first letters. Every score is lowered by a constant, so ordinary text has a
 negative drift. One linear scan (Ruzzo and Tompa) finds all maximal scoring segments of
 a text. Their scores are calibrated by extreme-value statistics (Karlin and Altschul):
 the expected number of segments of that score in clean text of the same length, fitted
@@ -53,6 +53,8 @@ def segments(model: Model, words: list[str]) -> list[tuple[float, int, int]]:
     total, last = 0.0, 0
     stack: list[tuple[float, float, int, int]] = []
     for i, s in enumerate(map(get, words)):
+        if i and words[i] == words[i - 1]:      # a word said again at once is no new evidence
+            continue
         if s is None:
             w = words[i]
             if len(w) <= STEM:
@@ -101,7 +103,8 @@ def score_text(model: Model, text: str) -> tuple[float, list[tuple[float, int, i
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           label: str = "toxic", sample: int = 20_000, vocabulary: int = 20_000,
-          least_docs: int = 3, prior: float = 50.0) -> Model:
+          least_docs: int = 3, prior: float = 50.0,
+          clear: float = 4.0) -> Model:
     """Fit on at most ``sample`` labelled documents, chosen by a hash of the id, and keep
     at most ``vocabulary`` tokens and stems, those with the clearest log-odds. Rows with
     a null key, label or text are left out; with one class only, the scores are flat."""
@@ -130,11 +133,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     counts = map_rows(rows, count, "w string, c0 long, c1 long", rows=2048).groupBy("w").agg(
         F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).where(F.col("c0") + F.col("c1") >= least_docs)
     share = (F.col("c0") + F.col("c1") + 0.5) / (n0 + n1 + 1.0)
-    a1, a0 = F.col("c1") + prior * share, F.col("c0") + prior * share
-    odds = F.log(a1 / (n1 + prior - a1)) - F.log(a0 / (n0 + prior - a0))
-    table = (counts.where((F.col("c1") + prior * share < n1 + prior) & (F.col("c0") + prior * share < n0 + prior))
-             .select("w", odds.alias("s"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
-             .where(F.abs("z") > 2.5).orderBy(F.abs("z").desc(), "w").limit(vocabulary).collect())
+    a1, a0 = F.col("c1") + 1 + prior * share, F.col("c0") + 1 + prior * share
+    odds = F.log(a1 / (n1 + prior + 2 - a1)) - F.log(a0 / (n0 + prior + 2 - a0))
+    table = (counts.select("w", odds.alias("s"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
+             .where(F.abs("z") > clear).orderBy(F.abs("z").desc(), "w").limit(vocabulary).collect())
     model.score = {r["w"]: max(-2.0, min(6.0, r["s"])) for r in table}
 
     def measure(cols):
