@@ -7,6 +7,7 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +67,26 @@ def sample_ids(labels: DataFrame, key: str, limit: int) -> DataFrame:
     """At most ``limit`` rows of ``labels``, chosen by a hash of the id (stable under
     row order). The bound makes the result safe to broadcast."""
     return labels.orderBy(F.xxhash64(F.col(key), F.lit(17)), F.col(key)).limit(limit)
+
+
+FILTER_BITS = 1 << 24
+
+
+def id_filter(ids: DataFrame, key: str) -> np.ndarray:
+    """A bit set of fixed size (2 MB) that marks the remainders of the given integer ids;
+    what it lets through still needs an exact join. It reaches the driver as at most
+    FILTER_BITS / 32 numbers, however many ids there are."""
+    at = F.pmod(F.col(key), F.lit(FILTER_BITS))
+    words = (ids.select((at / 32).cast("int").alias("w"), (at % 32).cast("int").alias("r"))
+             .groupBy("w").agg(F.expr("bit_or(shiftleft(1L, r))").alias("v")).collect())
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    for w, v in words:
+        out[w] = v
+    return out
+
+
+def may_hold(bits: np.ndarray, ids) -> np.ndarray:
+    """Which of the ids (a list of integers, None never) the bit set lets through."""
+    at = np.array([0 if i is None else i for i in ids], np.int64) % FILTER_BITS
+    return (((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1) == 1) \
+        & np.array([i is not None for i in ids], bool)

@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by label propagation with pointer jumping.
+"""Connected components of an edge table, and of bucketed candidates. Components come by label propagation with pointer jumping.
 
 Every round a node takes the least label among its neighbours and then the label of its
 label; each round's labels are a written table. Minima are pre-aggregated before the
@@ -7,7 +7,9 @@ shuffle, and the joins have one label per node, so a hub splits over tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from songgraph.llm.common import materialize
@@ -32,3 +34,43 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             ((F.col("old") != F.least("label", "root"))).alias("moved")), "labels")
         if labels.where("moved").isEmpty():
             return labels.select("node", "label")
+
+
+def cluster(buckets: DataFrame, check: Callable[[DataFrame], DataFrame],
+            links: DataFrame | None = None, mark: str | None = None,
+            near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Components of the verified links between nodes that share a bucket.
+
+    ``buckets`` is a written table (band, node): candidates are the pairs of a band.
+    ``check`` takes a table of pairs (a, b) with a < b and returns those that are links.
+    No bucket emits all its pairs. First every member is proposed to the bucket's least
+    node. Then a bucket that still holds several components proposes its members outside
+    the least node's component to the members of other components. After that every pair
+    of a bucket is checked or inside one component, so no two components have a link.
+    ``mark`` names a column of ``buckets`` and ``near`` a condition on two of its values
+    that every link fulfils: pairs without it are not proposed. ``links`` adds given links. Returns a written table (node, label) of the linked nodes."""
+    own = F.col(mark) if mark else F.lit(0)
+    alike = near if near else (lambda x, y: F.lit(True))
+    buckets = buckets.select("band", "node", own.alias("mark"))
+    ends = buckets.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last"),
+                                       F.min_by("mark", "node").alias("lead_mark")) \
+        .where("leader < last").select("band", "leader", "lead_mark")
+    crowded = materialize(buckets.join(ends, "band"), "buckets")
+    found = check(crowded.where("leader < node").where(alike(F.col("mark"), F.col("lead_mark"))).select(F.col("leader").alias("a"), F.col("node").alias("b"))
+                  .distinct())
+    if links is not None:
+        found = found.union(links.select("a", "b"))
+    labels = components(materialize(found, "first-links"))
+    mine = labels.select("node", F.col("label").alias("part"))
+    leads = labels.select(F.col("node").alias("leader"), F.col("label").alias("main"))
+    tagged = materialize(
+        crowded.join(mine, "node", "left").join(leads, "leader", "left")
+        .select("band", "node", "leader", "mark", F.coalesce("part", "node").alias("part"),
+                F.coalesce("main", "leader").alias("main")), "bucket-parts")
+    minor = tagged.where("part <> main").select("band", F.col("node").alias("x"), F.col("part").alias("px"),
+                                               F.col("mark").alias("mx"))
+    rest = tagged.where("node <> leader").select("band", "node", "part", "mark")
+    more = check(minor.join(rest, "band").where("px <> part").where(alike(F.col("mx"), F.col("mark")))
+                 .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
+    tree = labels.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+    return components(materialize(tree.union(more), "all-links"))

@@ -25,8 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from songgraph.llm.common import map_rows, materialize
-from songgraph.llm.components import components
+from songgraph.llm.common import id_filter, map_rows, materialize, may_hold
+from songgraph.llm.components import cluster
 
 BANDS, ROWS, BATCH = 30, 5, 30      # a pair at similarity 0.8 shares no band with odds 7e-6
 HASHES = BANDS * ROWS
@@ -101,11 +101,17 @@ def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, p
     table. Sets come from the texts of the pairs' documents only."""
     wanted = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
 
+    wanted = materialize(wanted, "wanted")
+    bits = id_filter(wanted, key)
+
     def grams(cols):
-        return {"node": cols[key], "set": [shingles(t, width).tobytes() for t in cols[text]]}
+        pick = np.flatnonzero(may_hold(bits, cols[key]))
+        return {key: [cols[key][i] for i in pick],
+                "set": [shingles(cols[text][i], width).tobytes() for i in pick]}
 
-    sets = map_rows(docs.select(key, text).join(wanted, key, "left_semi"), grams, "node long, set binary")
-    sets = materialize(sets, "shingle-sets")
+    sets = map_rows(docs.select(key, text), grams, f"`{key}` long, set binary")
+    sets = materialize(sets.join(wanted, key, "left_semi")
+                       .dropDuplicates([key, "set"]).select(F.col(key).alias("node"), "set"), "shingle-sets")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
 
@@ -166,37 +172,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
                         , "class-signatures")
     one = signs.groupBy("node").agg(F.min("short").alias("short"))   # an id given to several texts
     bands = signs.select("node", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")) \
-        .where("leader < last").select("band", "leader")
-    crowded = materialize(bands.join(buckets, "band"), "buckets")
-    pairs = crowded.where("leader < node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = _linked(pairs, one, docs, key, text, width, percent, miss)
     # rows sharing an id but not a text join their classes
     several = least.groupBy(key).agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n")) \
         .where("n > 1 and a < b").select(key)
     same_id = least.join(several, key).select(F.col(key).alias("a"), F.col("node").alias("b")).where("a <> b")
-    links = materialize(links.union(same_id), "links")
-    labels = components(links)
-    # second round: across components inside a bucket
-    tagged = (crowded.join(labels, "node", "left").withColumn("part", F.coalesce("label", "node")).drop("label")
-              .join(labels.select(F.col("node").alias("leader"), F.col("label").alias("_main")), "leader", "left")
-              .withColumn("main", F.coalesce("_main", "leader")).drop("_main"))
-    tagged = materialize(tagged, "bucket-parts")
-    minor = tagged.where("part <> main").select("band", F.col("node").alias("x"), F.col("part").alias("px"))
-    rest = tagged.where("node <> leader").select("band", "node", "part")
-    more = (minor.join(rest, "band").where("px <> part")
-            .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
-    again = _linked(more, one, docs, key, text, width, percent, miss)
-    links = materialize(again.union(labels.where("node <> label").select(
-        F.col("label").alias("a"), F.col("node").alias("b"))), "links")
-    labels = components(links)
+
+    def check(pairs):
+        left = materialize(prune(pairs, one, percent / 100, miss), "survivors")
+        return materialize(verify(left, docs, key, text, width, percent), "verified")
+
+    labels = cluster(bands, check, same_id)
     out = (rows.select(key, "n_shingles", "same").join(classes, "same", "left")
            .join(labels, "node", "left")
            .withColumn("component_id", F.when(F.col(key).isNotNull(), F.coalesce("label", "node", key))))
     return out.select(key, "n_shingles", "component_id",
                       F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)).alias("kept"))
 
-
-def _linked(pairs, signs, docs, key, text, width, percent, miss):
-    left = materialize(prune(pairs, signs, percent / 100, miss), "survivors")
-    return materialize(verify(left, docs, key, text, width, percent), "verified")
