@@ -45,9 +45,10 @@ SALTS = 64
 
 
 class WordIds:
-    """Ids of whole texts by the tokenizers library. Words already met come from a
-    bounded table; new words of a text go through the library in one call, separated
-    by blanks (the vocabulary drops white space and marks word ends)."""
+    """Ids of whole texts by the tokenizers library. No pre-token spans white space, so
+    the ids of a text are those of its chunks between white space in turn. Chunks already
+    met come from a bounded table; the new ones of a text go through the library in one
+    call, separated by blanks, and are told apart by their numbers of word ends."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
@@ -59,35 +60,41 @@ class WordIds:
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.special = [t["content"] for t in spec.get("added_tokens") or ()]
         self.words = regex.compile(PATTERN)
+        self.odd = regex.compile("[\x1c-\x1f]")      # split() takes these for white space
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
 
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4")
+
     def ids(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4")
-        if not text.isascii():
+        if any(s in text for s in self.special) or self.odd.search(text):
+            return self._whole(text)
+        given = text
+        if text.isascii():
+            text = text.lower()
+        else:
             text = unicodedata.normalize("NFC", text)
             # lower-cased character by character: no special final sigma
             text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
-        else:
-            text = text.lower()
-        words, cache = self.words.findall(text), self.cache
-        found = list(map(cache.get, words))
+        chunks, cache = text.split(), self.cache
+        found = list(map(cache.get, chunks))
         if None in found:
             if len(cache) > self.cache_words:
                 cache.clear()
-                found = [None] * len(words)
-            new = list(dict.fromkeys(w for w, got in zip(words, found) if got is None))
-            ids = np.array(self.lib.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+                found = [None] * len(chunks)
+            new = list(dict.fromkeys(w for w, got in zip(chunks, found) if got is None))
+            ids = self._whole(" ".join(new))
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(new):
-                return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4")
+            last = np.cumsum([len(self.words.findall(w)) for w in new])
+            if last[-1] != len(stops):
+                return self._whole(given)
             at, data, fresh = 0, ids.tobytes(), {}
-            for w, stop in zip(new, stops.tolist()):
+            for w, stop in zip(new, stops[last - 1].tolist()):
                 fresh[w] = data[4 * at:4 * stop]
                 at = stop
             cache.update((w, x) for w, x in fresh.items() if len(w) <= 64)
-            found = [fresh[w] if got is None else got for w, got in zip(words, found)]
+            found = [fresh[w] if got is None else got for w, got in zip(chunks, found)]
         return np.frombuffer(b"".join(found), "<u4")
 
 

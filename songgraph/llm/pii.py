@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from songgraph.llm.common import map_rows
+from songgraph.llm.common import map_rows, thin
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -345,14 +345,15 @@ def examples(texts: list[str], seed: int = 11):
     return (np.array(ids), np.array(tags)) if ids else (np.zeros((0, WINDOW), int),) * 2
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 600,
+def train(docs: DataFrame, text: str = "text", documents: int = 30_000, sample: int = 600,
           around: int = 120, rounds: int = 240) -> Tagger:
-    """Fit a tagger on at most ``sample`` stretches of text around a digit or at sign,
-    one per document, documents chosen by a hash of the text. Without any such text the
-    tagger stays untrained and only the base spans count (``model_spans`` of an
-    untrained tagger are still filtered by ``plausible``)."""
+    """Fit a tagger on at most ``sample`` stretches of text around a digit or at sign, one
+    per document, from about ``documents`` documents chosen by a hash of the text. Without any
+    such text the tagger stays untrained; what it then finds is still held to
+    ``plausible``."""
     pattern = r"(?s).{0,%d}[0-9@].{0,%d}" % (around, around)
-    rows = (docs.where(F.col(text).rlike("[0-9@]"))
+    some = thin(docs.select(text), F.col(text), documents)
+    rows = (some.where(F.col(text).rlike("[0-9@]"))
             .select(F.xxhash64(text).alias("h"), F.regexp_extract(text, pattern, 0).alias("t"))
             .orderBy("h", "t").limit(sample).collect())     # sample x 2 x around characters
     tagger = Tagger()
