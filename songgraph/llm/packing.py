@@ -40,6 +40,7 @@ from songgraph.llm.common import map_rows, materialize
 
 # The pre-token pattern of the word vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+ENDS = ".,;:!?*$%&#|"         # punctuation split off a chunk's end before it is looked up
 CACHE_WORDS = 700_000
 SALTS = 64
 
@@ -83,18 +84,31 @@ class WordIds:
             if len(cache) > self.cache_words:
                 cache.clear()
                 found = [None] * len(chunks)
-            new = list(dict.fromkeys(w for w, got in zip(chunks, found) if got is None))
-            ids = self._whole(" ".join(new))
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            last = np.cumsum([len(self.words.findall(w)) for w in new])
-            if last[-1] != len(stops):
-                return self._whole(given)
-            at, data, fresh = 0, ids.tobytes(), {}
-            for w, stop in zip(new, stops[last - 1].tolist()):
-                fresh[w] = data[4 * at:4 * stop]
-                at = stop
-            cache.update((w, x) for w, x in fresh.items() if len(w) <= 64)
-            found = [fresh[w] if got is None else got for w, got in zip(chunks, found)]
+            # a chunk that ends in punctuation is its front and its end: letters and
+            # digits never join punctuation that follows them
+            parts, need = {}, {}
+            for w, got in zip(chunks, found):
+                if got is None and w not in parts:
+                    front = w.rstrip(ENDS)
+                    pair = (front, w[len(front):]) if front != w and front[-1:].isalnum() else (w,)
+                    parts[w] = pair
+                    for x in pair:
+                        if x not in cache:
+                            need[x] = None
+            if need:
+                new = list(need)
+                ids = self._whole(" ".join(new))
+                stops = np.flatnonzero(self.ends[ids]) + 1
+                last = np.cumsum([len(self.words.findall(w)) for w in new])
+                if last[-1] != len(stops):
+                    return self._whole(given)
+                at, data = 0, ids.tobytes()
+                for w, stop in zip(new, stops[last - 1].tolist()):
+                    need[w] = data[4 * at:4 * stop]
+                    at = stop
+                cache.update((w, x) for w, x in need.items() if len(w) <= 64)
+            known = {w: b"".join([need.get(x) or cache[x] for x in pair]) for w, pair in parts.items()}
+            found = [known[w] if got is None else got for w, got in zip(chunks, found)]
         return np.frombuffer(b"".join(found), "<u4")
 
 
