@@ -36,19 +36,30 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels.select("node", "label")
 
 
-def cluster(buckets: DataFrame, check: Callable[[DataFrame], DataFrame],
+def _identity(pairs: DataFrame) -> DataFrame:
+    return pairs
+
+
+def cluster(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
+            prune: Callable[[DataFrame], DataFrame] = _identity,
+            within: Callable[[DataFrame], DataFrame] | None = None,
             links: DataFrame | None = None, mark: str | None = None,
             near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Components of the verified links between nodes that share a bucket.
 
     ``buckets`` is a written table (band, node): candidates are the pairs of a band.
-    ``check`` takes a table of pairs (a, b) with a < b and returns those that are links.
+    ``prune`` and ``verify`` take a table of pairs (a, b) with a < b and return those that
+    may be links and those that are. ``mark`` names a column of ``buckets`` and ``near`` a
+    condition on two of its values that every link fulfils: other pairs are not proposed.
+    ``links`` adds given links.
+
     No bucket emits all its pairs. First every member is proposed to the bucket's least
-    node. Then a bucket that still holds several components proposes its members outside
-    the least node's component to the members of other components. After that every pair
-    of a bucket is checked or inside one component, so no two components have a link.
-    ``mark`` names a column of ``buckets`` and ``near`` a condition on two of its values
-    that every link fulfils: pairs without it are not proposed. ``links`` adds given links. Returns a written table (node, label) of the linked nodes."""
+    node. Nodes joined by pairs that survive pruning are a crowd; ``within`` gets the
+    members of the crowds that still hold several components (node, crowd, part) and
+    returns the links between the components, comparing in blocks. Last, a bucket's members outside its least
+    node's component are proposed to the members of other components and other crowds.
+    So every pair of a bucket is checked or inside one component, and no two components
+    have a link. Returns a written table (node, label) of the linked nodes."""
     own = F.col(mark) if mark else F.lit(0)
     alike = near if near else (lambda x, y: F.lit(True))
     buckets = buckets.select("band", "node", own.alias("mark"))
@@ -56,21 +67,38 @@ def cluster(buckets: DataFrame, check: Callable[[DataFrame], DataFrame],
                                        F.min_by("mark", "node").alias("lead_mark")) \
         .where("leader < last").select("band", "leader", "lead_mark")
     crowded = materialize(buckets.join(ends, "band"), "buckets")
-    found = check(crowded.where("leader < node").where(alike(F.col("mark"), F.col("lead_mark"))).select(F.col("leader").alias("a"), F.col("node").alias("b"))
-                  .distinct())
+    star = (crowded.where("leader < node").where(alike(F.col("mark"), F.col("lead_mark")))
+            .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    close = materialize(prune(star), "close-pairs")
+    found = verify(close)
     if links is not None:
         found = found.union(links.select("a", "b"))
-    labels = components(materialize(found, "first-links"))
+    found = materialize(found, "first-links")
+    labels = components(found)
     mine = labels.select("node", F.col("label").alias("part"))
     leads = labels.select(F.col("node").alias("leader"), F.col("label").alias("main"))
-    tagged = materialize(
-        crowded.join(mine, "node", "left").join(leads, "leader", "left")
-        .select("band", "node", "leader", "mark", F.coalesce("part", "node").alias("part"),
-                F.coalesce("main", "leader").alias("main")), "bucket-parts")
-    minor = tagged.where("part <> main").select("band", F.col("node").alias("x"), F.col("part").alias("px"),
-                                               F.col("mark").alias("mx"))
-    rest = tagged.where("node <> leader").select("band", "node", "part", "mark")
-    more = check(minor.join(rest, "band").where("px <> part").where(alike(F.col("mx"), F.col("mark")))
-                 .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
+    tagged = (crowded.join(mine, "node", "left").join(leads, "leader", "left")
+              .select("band", "node", "leader", "mark", F.coalesce("part", "node").alias("part"),
+                      F.coalesce("main", "leader").alias("main")))
+    inner = None
+    if within:
+        crowds = components(close).withColumnRenamed("label", "crowd")
+        members = crowds.join(mine, "node", "left").withColumn("part", F.coalesce("part", "node"))
+        inner = within(materialize(members, "crowds"))
+        tagged = tagged.join(crowds, "node", "left")
+    else:
+        tagged = tagged.withColumn("crowd", F.lit(None).cast("long"))
+    tagged = materialize(tagged, "bucket-parts")
+    minor = tagged.where("part <> main").select(
+        "band", F.col("node").alias("x"), F.col("part").alias("px"), F.col("mark").alias("mx"),
+        F.col("crowd").alias("cx"))
+    rest = tagged.where("node <> leader").select("band", "node", "part", "mark", "crowd")
+    more = verify(materialize(prune(
+        minor.join(rest, (minor["band"] == rest["band"]) & (F.col("px") != F.col("part"))
+                   & ~F.coalesce(F.col("cx") == F.col("crowd"), F.lit(False))
+                   & alike(F.col("mx"), F.col("mark")))
+        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()), "late-pairs"))
     tree = labels.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+    if inner is not None:
+        more = more.union(inner)
     return components(materialize(tree.union(more), "all-links"))

@@ -9,10 +9,11 @@
    posterior of the similarity (uniform prior, binomial matches) is bounded: when the
    chance that it reaches the threshold falls below ``miss``, the pair is dropped.
 4. Survivors are verified on their full shingle sets, read from the texts again.
-5. Links give components. A bucket that still holds several components proposes its
-   members outside the leading component to all members of other components, and 3-5
-   run once more; after that every pair with an equal band is either verified, pruned
-   or inside one component, so no link between components is lost.
+5. Links give components. Where near copies of a text are not all similar enough to the
+   least one, the members outside the main component are compared with the others in
+   blocks; members of a bucket that lie farther apart run through 3 and 4 once more.
+   After that every pair with an equal band is either verified, pruned or inside one
+   component, so no link between components is lost (``components.cluster``).
 """
 
 from __future__ import annotations
@@ -96,22 +97,28 @@ def prune(pairs: DataFrame, signs: DataFrame, threshold: float, miss: float) ->
     return map_rows(both, run, "a long, b long", rows=4096)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets reach the similarity. ``pairs`` is a written
-    table. Sets come from the texts of the pairs' documents only."""
-    wanted = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
-
-    wanted = materialize(wanted, "wanted")
-    bits = id_filter(wanted, key)
+def shingle_sets(nodes: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """(node, set) for the given nodes (a written table), read from their texts."""
+    bits = id_filter(nodes, "node")
 
     def grams(cols):
         pick = np.flatnonzero(may_hold(bits, cols[key]))
-        return {key: [cols[key][i] for i in pick],
+        return {"node": [cols[key][i] for i in pick],
                 "set": [shingles(cols[text][i], width).tobytes() for i in pick]}
 
-    sets = map_rows(docs.select(key, text), grams, f"`{key}` long, set binary")
-    sets = materialize(sets.join(wanted, key, "left_semi")
-                       .dropDuplicates([key, "set"]).select(F.col(key).alias("node"), "set"), "shingle-sets")
+    sets = map_rows(docs.select(key, text), grams, "node long, set binary")
+    return materialize(sets.join(nodes, "node", "left_semi").dropDuplicates(["node", "set"]), "shingle-sets")
+
+
+def alike(shared, x: int, y: int, percent: int):
+    return 100 * shared >= percent * (x + y - shared)
+
+
+def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets reach the similarity. ``pairs`` is a written
+    table. Sets come from the texts of the pairs' documents only."""
+    wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
+    sets = shingle_sets(wanted, docs, key, text, width)
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
 
@@ -119,10 +126,8 @@ def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, p
         out = {"a": [], "b": []}
         for a, b, x, y in zip(cols["a"], cols["b"], cols["sa"], cols["sb"]):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                continue
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * shared >= percent * (len(x) + len(y) - shared):
+            if alike(min(len(x), len(y)), len(x), len(y), percent) \
+                    and alike(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent):
                 out["a"].append(a)
                 out["b"].append(b)
         return out
@@ -130,6 +135,59 @@ def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, p
     return map_rows(both, run, "a long, b long")
 
 
+def compare_crowds(members: DataFrame, docs: DataFrame, key: str, text: str, width: int,
+                   percent: int, block: int = 256) -> DataFrame:
+    """Links between the components of a crowd. ``members``: (node, crowd, part). Every
+    member outside the crowd's largest component meets every member of another one, in
+    blocks of about ``block`` by ``block``: a task holds one pair of blocks, and only links are
+    emitted, one for a member and a component."""
+    sizes = members.groupBy("crowd", "part").agg(F.count("*").alias("n"))
+    crowds = (sizes.groupBy("crowd").agg(F.sum("n").alias("all"), F.count("*").alias("parts"),
+                                         F.max(F.struct("n", "part"))["part"].alias("main"),
+                                         F.max("n").alias("most")).where("parts > 1"))
+    mine = materialize(members.join(crowds, "crowd"), "crowd-members")
+    sets = shingle_sets(mine.select("node").distinct(), docs, key, text, width)
+    rows = mine.join(sets, "node")
+    slots = F.ceil(F.col("all") / block).cast("int")
+    probes = F.ceil((F.col("all") - F.col("most")) / block).cast("int")
+    at = F.xxhash64("node")
+    left = rows.where("part <> main").select(
+        "crowd", F.pmod(at, probes).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), slots - 1)).alias("j"),
+        "node", "part", "set", F.lit(True).alias("probe"), F.lit(False).alias("big"))
+    right = rows.select(
+        "crowd", F.explode(F.sequence(F.lit(0), probes - 1)).alias("i"), F.pmod(at, slots).cast("int").alias("j"),
+        "node", "part", "set", F.lit(False).alias("probe"), (F.col("part") == F.col("main")).alias("big"))
+
+    def compare(group):
+        import pyarrow as pa
+        cols = group.to_pydict()
+        sets = [np.frombuffer(s, np.uint64) for s in cols["set"]]
+        sizes = np.array([len(s) for s in sets])
+        ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        starts = np.r_[0, np.cumsum(sizes)]
+        probe, big = np.array(cols["probe"]), np.array(cols["big"])
+        node, part = np.array(cols["node"]), np.array(cols["part"])
+        rest = np.flatnonzero(~probe)
+        a, b = [], []
+        if len(rest):
+            flat = np.concatenate([ids[starts[r]:starts[r + 1]] for r in rest])
+            heads = np.r_[0, np.cumsum(sizes[rest])[:-1]]
+            flag = np.zeros(ids.max() + 1, np.int32)
+            for p in np.flatnonzero(probe):
+                own = ids[starts[p]:starts[p + 1]]
+                flag[own] = 1
+                shared = np.add.reduceat(flag[flat], heads)
+                flag[own] = 0
+                hit = (100 * shared >= percent * (sizes[rest] + sizes[p] - shared)) & (part[rest] != part[p]) \
+                    & (big[rest] | (node[p] < node[rest]))
+                for r in rest[hit][np.unique(part[rest[hit]], return_index=True)[1]]:
+                    a.append(int(min(node[p], node[r])))
+                    b.append(int(max(node[p], node[r])))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return left.union(right).groupBy("crowd", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2,
                     percent: int = 80, miss: float = 1e-6) -> DataFrame:
     """One row per input row: key, n_shingles, component_id (least id reachable over
@@ -158,30 +216,37 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     def shorten(cols):
         band = struct.Struct("<" + "q" * BANDS)
-        out = {"node": cols["node"], "bands": [], "short": []}
+        out = {"node": cols["node"], "bands": [], "short": [], "sketch": []}
         for s in cols["sign"]:
             v = np.frombuffer(s, "<u4").reshape(BANDS, ROWS)
             out["bands"].append(list(band.unpack(b"".join(
                 xxhash.xxh3_64_digest(bytes([i]) + v[i].tobytes()) for i in range(BANDS)))))
             # values of a batch come from all bands, so that batches are alike
-            out["short"].append(v.T.reshape(-1).astype(np.uint8).tobytes())
+            low = v.T.reshape(-1).astype(np.uint8)
+            out["short"].append(low.tobytes())
+            out["sketch"].append(np.packbits(np.pad(low & 1, (0, -HASHES % 64))).view(np.int64).tolist())
         return out
 
     signs = materialize(map_rows(least.where(F.col(key) == F.col("node")).dropDuplicates(["node", "same"])
-                                 .select("node", "sign"), shorten, "node long, bands array<long>, short binary")
+                                 .select("node", "sign"), shorten,
+                                 "node long, bands array<long>, short binary, sketch array<long>")
                         , "class-signatures")
     one = signs.groupBy("node").agg(F.min("short").alias("short"))   # an id given to several texts
-    bands = signs.select("node", F.explode("bands").alias("band"))
+    bands = signs.select("node", "sketch", F.explode("bands").alias("band"))
+    differ = HASHES - least_matches(percent / 100, miss, bits=1)[-1]
+
+    def near(x, y):         # the last test of the sequence on one-bit signatures, inside the join
+        return sum(F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(-(-HASHES // 64))) <= differ
+
     # rows sharing an id but not a text join their classes
     several = least.groupBy(key).agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n")) \
         .where("n > 1 and a < b").select(key)
     same_id = least.join(several, key).select(F.col(key).alias("a"), F.col("node").alias("b")).where("a <> b")
 
-    def check(pairs):
-        left = materialize(prune(pairs, one, percent / 100, miss), "survivors")
-        return materialize(verify(left, docs, key, text, width, percent), "verified")
-
-    labels = cluster(bands, check, same_id)
+    labels = cluster(bands, lambda pairs: materialize(verify(pairs, docs, key, text, width, percent), "verified"),
+                     lambda pairs: prune(pairs, one, percent / 100, miss),
+                     lambda members: compare_crowds(members, docs, key, text, width, percent),
+                     same_id, "sketch", near)
     out = (rows.select(key, "n_shingles", "same").join(classes, "same", "left")
            .join(labels, "node", "left")
            .withColumn("component_id", F.when(F.col(key).isNotNull(), F.coalesce("label", "node", key))))
