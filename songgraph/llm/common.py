@@ -94,7 +94,10 @@ def id_filter(ids: DataFrame, key: str) -> np.ndarray:
 
 
 def may_hold(bits: np.ndarray, ids) -> np.ndarray:
-    """Which of the ids (a list of integers, None never) the bit set lets through."""
+    """Which of the ids (integers; in a list, None never) the bit set lets through."""
+    if isinstance(ids, np.ndarray):
+        at = ids % FILTER_BITS
+        return ((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1) == 1
     at = np.array([0 if i is None else i for i in ids], np.int64) % FILTER_BITS
     return (((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1) == 1) \
         & np.array([i is not None for i in ids], bool)

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from songgraph.llm.common import materialize
+from songgraph.llm.common import id_filter, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -44,14 +45,16 @@ def cluster(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
             prune: Callable[[DataFrame], DataFrame] = _identity,
             within: Callable[[DataFrame], DataFrame] | None = None,
             links: DataFrame | None = None, mark: str | None = None,
-            near: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+            near: Callable[[Column, Column], Column] | None = None,
+            narrow: Callable[[np.ndarray], DataFrame] | None = None) -> DataFrame:
     """Components of the verified links between nodes that share a bucket.
 
-    ``buckets`` is a written table (band, node): candidates are the pairs of a band.
+    ``buckets`` has rows (band, node): candidates are the pairs of a band.
     ``prune`` and ``verify`` take a table of pairs (a, b) with a < b and return those that
     may be links and those that are. ``mark`` names a column of ``buckets`` and ``near`` a
     condition on two of its values that every link fulfils: other pairs are not proposed.
-    ``links`` adds given links.
+    ``links`` adds given links. ``narrow`` gives the rows of ``buckets`` whose bands pass
+    a bit set, so that buckets of one node need not move again.
 
     No bucket emits all its pairs. First every member is proposed to the bucket's least
     node. Nodes joined by pairs that survive pruning are a crowd; ``within`` gets the
@@ -62,11 +65,17 @@ def cluster(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     have a link. Returns a written table (node, label) of the linked nodes."""
     own = F.col(mark) if mark else F.lit(0)
     alike = near if near else (lambda x, y: F.lit(True))
-    buckets = buckets.select("band", "node", own.alias("mark"))
-    ends = buckets.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last"),
+
+    def rows(df):
+        return df.select("band", "node", own.alias("mark"))
+
+    ends = rows(buckets).groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last"),
                                        F.min_by("mark", "node").alias("lead_mark")) \
         .where("leader < last").select("band", "leader", "lead_mark")
-    crowded = materialize(buckets.join(ends, "band"), "buckets")
+    if narrow:
+        ends = materialize(ends, "crowded-bands")
+        buckets = narrow(id_filter(ends, "band"))
+    crowded = materialize(rows(buckets).join(ends, "band"), "buckets")
     star = (crowded.where("leader < node").where(alike(F.col("mark"), F.col("lead_mark")))
             .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     close = materialize(prune(star), "close-pairs")
