@@ -51,16 +51,20 @@ def map_rows(df: DataFrame, fn: Callable[[list[dict]], dict[str, list]], schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     ship_package(df.sparkSession)
     out = to_arrow_schema(_parse_datatype_string(schema))
+    # columns travel by position: names may hold dots or repeat the output's
+    given, made = df.columns, out.names
+    plain = pa.schema([pa.field(f"c{n}", f.type) for n, f in enumerate(out)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                cols = fn({n: part.column(n).to_pylist() for n in part.schema.names})
+                cols = fn({n: part.column(k).to_pylist() for k, n in enumerate(given)})
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[f.name], type=f.type) for f in out], schema=out)
+                    [pa.array(cols[n], type=f.type) for n, f in zip(made, plain)], schema=plain)
 
-    return df.mapInArrow(run, schema)
+    kinds = ", ".join(f"c{n} {f.dataType.simpleString()}" for n, f in enumerate(_parse_datatype_string(schema)))
+    return df.toDF(*[f"c{n}" for n in range(len(given))]).mapInArrow(run, kinds).toDF(*made)
 
 
 def thin(df: DataFrame, by, wanted: int) -> DataFrame:

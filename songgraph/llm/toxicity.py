@@ -103,11 +103,12 @@ def score_text(model: Model, text: str) -> tuple[float, list[tuple[float, int, i
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           label: str = "toxic", sample: int = 20_000, vocabulary: int = 20_000,
-          least_docs: int = 3, prior: float = 50.0,
-          clear: float = 4.0) -> Model:
+          least_docs: int = 3, prior: float = 5.0) -> Model:
     """Fit on at most ``sample`` labelled documents, chosen by a hash of the id, and keep
-    at most ``vocabulary`` tokens and stems, those with the clearest log-odds. Rows with
-    a null key, label or text are left out; with one class only, the scores are flat."""
+    at most ``vocabulary`` tokens and stems, those with the clearest log-odds (over
+    1.25 sqrt(ln n) standard errors for n documents, as noise grows with their number).
+    Rows with a null key, label or text are left out; with one class only, the scores are
+    flat."""
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()) \
         .groupBy(key).agg(F.max(label).alias("_y"))
     picked = sample_ids(known, key, sample)
@@ -136,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     a1, a0 = F.col("c1") + 1 + prior * share, F.col("c0") + 1 + prior * share
     odds = F.log(a1 / (n1 + prior + 2 - a1)) - F.log(a0 / (n0 + prior + 2 - a0))
     table = (counts.select("w", odds.alias("s"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
-             .where(F.abs("z") > clear).orderBy(F.abs("z").desc(), "w").limit(vocabulary).collect())
+             .where(F.abs("z") > 1.25 * math.sqrt(math.log(n0 + n1))).orderBy(F.abs("z").desc(), "w").limit(vocabulary).collect())
     model.score = {r["w"]: max(-2.0, min(6.0, r["s"])) for r in table}
 
     def measure(cols):
