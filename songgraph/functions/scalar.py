@@ -6,8 +6,9 @@ query counts ``year = 0`` only, the imputation treats ``null or 0`` as missing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the nostalgia score: the listener's peak year is the year
 # they turned 16, the bell width is 5 years, a song without a year scores
@@ -76,6 +77,15 @@ def round_year(pred="prediction") -> Column:
         else F.round(pred).try_cast("int")
 
 
-def first_of(x) -> Column:
-    """SC11: first element of an array, or the value itself; wrong type -> null."""
-    return F.get(_c(x), 0)
+def first_of(df: DataFrame, name: str, kind: str = "double") -> Column:
+    """SC11: the first element of an array column, or the value itself, as
+    ``kind``; a value of the wrong type (or an empty array) gives null."""
+    value = F.col(name)
+    if isinstance(df.schema[name].dataType, T.ArrayType):
+        value = F.get(value, 0)
+    return value.try_cast(kind)
+
+
+def clean_key(x) -> Column:
+    """SC15: a key typed by a person, trimmed and in lower case; blank -> null."""
+    return F.nullif(F.lower(F.trim(_c(x))), F.lit(""))

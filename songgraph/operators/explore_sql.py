@@ -1,43 +1,28 @@
-"""The six exploration queries as SQL text (SRC4, the SQL path).
+"""SQL text over tables given by path or as DataFrames (SRC4).
 
-The original keeps them as a SQL file for an interactive engine; here the
-same questions run through ``spark.sql`` against a song DataFrame passed as
-a parameter (no global view), with a unique last sort key added to every
-top-k so ties at the cut are stable. Catalyst plans them exactly like the
-DataFrame versions in ``explore``.
+``query`` takes the caller's own statement and the tables it names; nothing is
+registered globally, and Catalyst plans the text like DataFrame code. The
+ranking statements that check it are built from an operator's definition:
+what it shows, which rows count, and its order, always ended by a unique key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SQL = {
-    "oldest_songs": """
-        SELECT title, `year` FROM {songs} WHERE `year` <> 0
-        ORDER BY `year` ASC, song_id ASC LIMIT 10""",
-    "newest_songs": """
-        SELECT title, `year` FROM {songs} WHERE `year` <> 0
-        ORDER BY `year` DESC, song_id ASC LIMIT 10""",
-    "hottest_shortest": """
-        SELECT title, song_hotttnesss, duration, energy, tempo FROM {songs}
-        WHERE song_hotttnesss <> 'NaN'
-        ORDER BY song_hotttnesss DESC, duration ASC NULLS LAST, energy DESC NULLS LAST,
-                 tempo ASC NULLS LAST, song_id ASC
-        LIMIT 10""",
-    "biggest_albums": """
-        SELECT `release`, COUNT(`release`) AS ntrack FROM {songs}
-        GROUP BY `release` ORDER BY ntrack DESC, `release` ASC NULLS LAST LIMIT 10""",
-    "longest_songs": """
-        SELECT artist_name, duration FROM {songs}
-        ORDER BY duration DESC NULLS LAST, song_id ASC LIMIT 10""",
-    "missing_year_pct": """
-        SELECT CAST(ROUND(COUNT(CASE WHEN `year` = 0 THEN 1 END) * 100.0 / COUNT(*), 2)
-               AS DOUBLE) AS pct_missing
-        FROM {songs}""",
-}
-
-
-def run(spark: SparkSession, songs: DataFrame, name: str) -> DataFrame:
-    if "energy" not in songs.columns:
-        songs = songs.selectExpr("*", "CAST(NULL AS DOUBLE) AS energy")
-    return spark.sql(SQL[name], songs=songs)
+from songgraph.sources.files import read_table
+
+
+def query(spark: SparkSession, statement: str, fmt: str = "parquet",
+          **tables: DataFrame | str) -> DataFrame:
+    """Run ``statement``, which names each table as ``{name}``; a table given as
+    a string is a path of format ``fmt``."""
+    frames = {name: read_table(spark, t, fmt) if isinstance(t, str) else t
+              for name, t in tables.items()}
+    return spark.sql(statement, **frames)
+
+
+def first_rows(show: str, order: str, k: int, where: str = "true",
+               source: str = "{songs}") -> str:
+    """The statement of a top-k operator."""
+    return f"select {show} from {source} where {where} order by {order} limit {int(k)}"

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from songgraph.functions.scalar import PEAK_AGE, nostalgia_score
+from songgraph.functions.scalar import DEFAULT_BIRTH_YEAR, PEAK_AGE, nostalgia_score
 from songgraph.operators.graph import nearest
 from songgraph.session import materialize
 
@@ -61,8 +61,10 @@ def resolve(requests: DataFrame, songs: DataFrame) -> DataFrame:
     return r.select(
         "req_id", F.col("song_id").alias("anchor_song"),
         F.coalesce("artist_id", "song_artist").alias("anchor_artist"),
-        "top_k", "birth_year",
-        F.when(unknown, "unknown_song").otherwise("ok").alias("status"))
+        "top_k", F.coalesce("birth_year", F.lit(DEFAULT_BIRTH_YEAR)).alias("birth_year"),
+        F.when(unknown, "unknown_song")
+         .when(F.col("top_k").isNull() | (F.col("top_k") < 1), "bad_top_k")
+         .otherwise("ok").alias("status"))
 
 
 def request_status(resolved: DataFrame) -> DataFrame:
@@ -173,7 +175,9 @@ def recommend(requests: DataFrame, songs: DataFrame, paths: DataFrame,
                         & (F.col("top_k") >= 1))
     kmax = ok.agg(F.max("top_k")).first()[0] or 0
     kf = int(kmax) + 1
-    base = songs.select("song_id", "artist_id", "title", "year")
+    # one row per song id (the least one), so that ids removed or named later are unique
+    base = (songs.groupBy("song_id").agg(F.min(F.struct("artist_id", "title", "year")).alias("_s"))
+                 .select("song_id", "_s.*"))
 
     keyed = similar_ranked(ok, base, paths, kf)
     sim = (ok.join(keyed.drop("rank"), ["anchor_artist", "birth_year"])
@@ -196,7 +200,8 @@ def recommend(requests: DataFrame, songs: DataFrame, paths: DataFrame,
     if artists is not None:
         out = out.join(artists.select("artist_id", "artist_name"), "artist_id", "left")
     else:
-        names = songs.select("song_id", "artist_name")
+        names = (songs.groupBy("song_id")
+                      .agg(F.min_by("artist_name", F.struct("artist_id", "title", "year")).alias("artist_name")))
         out = out.join(names, "song_id", "left")
     score = F.round("score", score_digits) if score_digits is not None else F.col("score")
     return out.select("req_id", F.col("rank").cast("int").alias("rank"), "song_id", "title",

@@ -198,6 +198,34 @@ def test_recommend_paths(spark):
     assert status[2] == "unknown_song" and status[1] == "ok"
 
 
+def test_requests_without_birth_year_or_usable_top_k(spark):
+    req = spark.createDataFrame([(1, 1, None, 2, None), (2, 1, None, 0, 1990), (3, 1, None, None, 1990),
+                                 (4, 1, None, 2, 1990)],
+                                "req_id long, song_id long, artist_id string, top_k int, birth_year int")
+    out = [tuple(r) for r in R.recommend(req, _songs(spark), _paths(spark))
+           .select("req_id", "rank", "song_id").orderBy("req_id", "rank").collect()]
+    assert [r[1:] for r in out if r[0] == 1] == [r[1:] for r in out if r[0] == 4] != []
+    assert {r[0] for r in out} == {1, 4}
+    status = {r["req_id"]: r["status"] for r in R.resolve(req, _songs(spark)).collect()}
+    assert status == {1: "ok", 2: "bad_top_k", 3: "bad_top_k", 4: "ok"}
+
+
+def test_recommend_with_repeated_song_ids(spark):
+    songs = _songs(spark)
+    req = _requests(spark)
+    once = R.recommend(req, songs, _paths(spark)).orderBy("req_id", "rank").collect()
+    twice = R.recommend(req, songs.union(songs).union(songs), _paths(spark)).orderBy("req_id", "rank").collect()
+    assert once == twice
+
+
+def test_first_of_and_clean_key(spark):
+    from songgraph.functions.scalar import clean_key, first_of
+    df = spark.createDataFrame([([1.5, 2.0], 3.0, "x", "  Ab "), ([], None, "7", " ")],
+                               "a array<double>, b double, c string, d string")
+    got = df.select(first_of(df, "a"), first_of(df, "b"), first_of(df, "c"), clean_key("d")).collect()
+    assert [tuple(r) for r in got] == [(1.5, 3.0, None, "ab"), (None, None, 7.0, None)]
+
+
 def test_fallback_matches_brute_force(spark):
     songs = _songs(spark)
     by = spark.createDataFrame([(1990,), (1800,), (2400,)], "birth_year int")
