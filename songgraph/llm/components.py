@@ -69,13 +69,18 @@ def cluster(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     def rows(df):
         return df.select("band", "node", own.alias("mark"))
 
-    ends = rows(buckets).groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last"),
-                                       F.min_by("mark", "node").alias("lead_mark")) \
-        .where("leader < last").select("band", "leader", "lead_mark")
-    if narrow:
-        ends = materialize(ends, "crowded-bands")
-        buckets = narrow(id_filter(ends, "band"))
-    crowded = materialize(rows(buckets).join(ends, "band"), "buckets")
+    least = [F.min("node").alias("leader"), F.max("node").alias("last")]
+    if narrow:      # the marks travel with the rows of crowded bands only
+        ends = materialize(buckets.groupBy("band").agg(*least).where("leader < last")
+                           .select("band", "leader"), "crowded-bands")
+        own_rows = rows(narrow(id_filter(ends, "band"))).join(ends, "band")
+        own_rows = materialize(own_rows, "bucket-rows")
+        lead = own_rows.where("node = leader").groupBy("band").agg(F.min("mark").alias("lead_mark"))
+        crowded = materialize(own_rows.join(lead, "band"), "buckets")
+    else:
+        ends = rows(buckets).groupBy("band").agg(*least, F.min_by("mark", "node").alias("lead_mark")) \
+            .where("leader < last").select("band", "leader", "lead_mark")
+        crowded = materialize(rows(buckets).join(ends, "band"), "buckets")
     star = (crowded.where("leader < node").where(alike(F.col("mark"), F.col("lead_mark")))
             .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     close = materialize(prune(star), "close-pairs")
