@@ -8,10 +8,10 @@ which cuts the lineage (the next level reads files, not the whole plan again)
 and survives executor loss.
 
 A hub (a vertex with a large share of all edges) would put its whole join
-into one task; since the edge list is pre-partitioned, AQE cannot split it.
-So vertices above ``|E| / HOT_K`` edges (fewer than HOT_K of them, a proven
-bound, broadcast) are joined on ``(vertex, salt)``: their edges split
-``SALTS`` ways, the frontier rows at them replicated ``SALTS`` times.
+into one task. So every vertex's edges are dealt over salts in proportion to
+its degree, one for each ``EDGE_BLOCK`` edges, and the join runs on
+``(vertex, salt)``; frontier rows are repeated once for each salt of their
+vertex. Frontier rows crowding on one vertex are left to AQE's skew join.
 
 Pruning needs only the two previous levels: in an undirected graph a
 neighbour of a level-(d-1) vertex lies at level d-2, d-1 or d, so an
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,6 +44,11 @@ def vertices(sym: DataFrame) -> DataFrame:
     return sym.select(F.col("src").alias("v")).distinct()
 
 
+def seeded_hash(col: str, seed: int):
+    """A hash that other SQL engines have too."""
+    return F.md5(F.concat(F.col(col).cast("string"), F.lit(f"-{seed}")).cast("binary"))
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
     """Write a level as Parquet under the checkpoint folder and read it back:
     computed once (an eager ``Dataset.checkpoint`` runs a count and then
@@ -53,96 +57,43 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return materialize(df, "bfs-level")
 
 
-def prepare_edges(sym: DataFrame) -> DataFrame:
-    """Hash-partition the edge list by ``src`` once and keep it; every level
-    joins on ``src`` and reuses this partitioning instead of shuffling the
-    edges again. ``bfs`` reuses an edge list that is already persisted (the
-    caller then owns it), so roots derived from the same edges do not
-    recompute them."""
-    n = int(sym.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return sym.repartition(n, "src").persist(StorageLevel.MEMORY_AND_DISK)
-
-
-HOT_K = 1000            # a vertex is hot above |E| / HOT_K edges: < HOT_K such vertices
-MIN_HOT_DEGREE = 10000  # below this a vertex is never worth splitting
-SALTS = 16              # ways a hot vertex's edges are split
-
-
-def hot_vertices(edges: DataFrame, hot_k: int = HOT_K,
-                 min_hot_degree: int = MIN_HOT_DEGREE) -> DataFrame:
-    """Vertices whose degree exceeds ``max(|E| / hot_k, min_hot_degree)``.
-    Degrees sum to |E|, so fewer than ``hot_k`` vertices qualify: a proven
-    bound, which makes the set safe to broadcast."""
-    n_edges = edges.count()
-    limit = max(n_edges / float(hot_k), float(min_hot_degree))
-    return (edges.groupBy("src").count().where(F.col("count") > limit)
-                 .select(F.col("src").alias("hot")))
-
-
-def _expand(prev: DataFrame, edges: DataFrame, hot: DataFrame | None,
-            hot_edges: DataFrame | None, salts: int) -> DataFrame:
-    """Frontier x edges. Rows at a hot vertex are replicated ``salts`` times
-    and meet that vertex's edges split ``salts`` ways (by a hash of the far
-    end), so one hub becomes ``salts`` tasks; every other row joins the edges
-    on their existing ``src`` partitioning."""
-    if hot is None:
-        return prev.join(edges, prev["v"] == edges["src"]).select("root", F.col("dst").alias("v"))
-    tagged = prev.join(F.broadcast(hot), prev["v"] == F.col("hot"), "left")
-    cold = tagged.where(F.col("hot").isNull()).drop("hot")
-    warm = (tagged.where(F.col("hot").isNotNull()).drop("hot")
-                  .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    a = cold.join(edges, cold["v"] == edges["src"]).select("root", F.col("dst").alias("v"))
-    b = (warm.join(hot_edges, (warm["v"] == hot_edges["src"]) & (warm["salt"] == hot_edges["salt"]))
-             .select("root", F.col("dst").alias("v")))
-    return a.unionByName(b)
-
-
-def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
-        mode: str = "bfs", include_root: bool = False, split_hot: bool = True,
-        hot_k: int = HOT_K, min_hot_degree: int = MIN_HOT_DEGREE,
-        salts: int = SALTS, enough: int | None = None) -> DataFrame:
-    """GR1/GR2: bounded BFS from every row of ``roots`` (column ``root``).
+EDGE_BLOCK = 1024       # edges of one vertex that share a salt, on average
 
-    Returns ``(root, v, degree)``; ``degree`` is the hop distance (1..max).
-    Roots that are not vertices of the graph give no rows (JN4 semi-join).
 
-    ``mode="bfs"`` (default): one row per reached ``(root, v)``, root excluded.
-    ``mode="walk"`` keeps the behaviour of the original cache job: at each
-    level every walk end is kept (only a degree-1 self-loop back to the root
-    is removed), so a vertex can appear at several degrees and the root comes
-    back at degree 2.
+def prepare_edges(sym: DataFrame, edge_block: int = EDGE_BLOCK) -> DataFrame:
+    """``(src, dst, salt, salts)``, written once and read by every level:
+    ``salts`` grows with the degree of ``src``, ``salt`` is drawn from the far
+    end. ``bfs`` takes such a list as it is."""
+    salts = sym.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / edge_block).cast("int").alias("salts"))
+    return materialize(sym.join(salts, "src").select(
+        "src", "dst", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"), "salts"), "edges")
 
-    ``enough=n`` serves callers that read only each root's ``n`` nearest
-    vertices by (degree, id): a root that has reached ``n`` vertices in
-    complete levels leaves the frontier, because nothing further out can
-    enter its first ``n``. Those first ``n`` stay exact; rows beyond them may
-    be missing.
-    """
-    if mode not in ("bfs", "walk"):
-        raise ValueError(f"mode must be 'bfs' or 'walk', not {mode!r}")
-    owned = not sym.storageLevel.useMemory and not sym.storageLevel.useDisk
-    edges = prepare_edges(sym) if owned else sym
-    verts = vertices(edges)
+
+def _expand(prev: DataFrame, edges: DataFrame, split: DataFrame) -> DataFrame:
+    """Frontier x edges on ``(vertex, salt)``; ``split`` holds the vertices of
+    more than one salt."""
+    salts = F.coalesce("salts", F.lit(1))
+    front = (prev.join(split, prev["v"] == split["src"], "left")
+                 .select("root", "v", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")))
+    ends = edges.select("src", "dst", F.col("salt").alias("_salt"))
+    return (front.join(ends, (front["v"] == ends["src"]) & (front["salt"] == ends["_salt"]))
+                 .select("root", F.col("dst").alias("v")))
+
+
+def _levels(edges: DataFrame, roots: DataFrame, max_degree: int, mode: str,
+            enough: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """The start rows and one frame per level. With ``enough``, a root that
+    has reached so many vertices leaves the frontier."""
     start = (roots.select("root").where(F.col("root").isNotNull()).distinct()
-                  .join(verts, F.col("root") == F.col("v"), "left_semi")
+                  .join(vertices(edges), F.col("root") == F.col("v"), "left_semi")
                   .select("root", F.col("root").alias("v")))
     start = _checkpoint(start)
-    hot = hot_edges = None
-    if split_hot:
-        hot = _checkpoint(hot_vertices(edges, hot_k, min_hot_degree))
-        if hot.isEmpty():
-            hot = None
-        else:
-            n = int(sym.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            hot_edges = (edges.join(F.broadcast(hot), edges["src"] == F.col("hot"), "left_semi")
-                              .withColumn("salt", F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int"))
-                              .repartition(n, "src", "salt")
-                              .persist(StorageLevel.MEMORY_AND_DISK))
+    split = materialize(edges.where(F.col("salts") > 1).select("src", "salts").distinct(), "split")
     levels = []
     reached = None
     prev, prev2 = start, None
     for d in range(1, max_degree + 1):
-        nxt = _expand(prev, edges, hot, hot_edges, salts).distinct()
+        nxt = _expand(prev, edges, split).distinct()
         if mode == "bfs":
             seen = prev if prev2 is None else prev.unionByName(prev2)
             nxt = nxt.join(seen, ["root", "v"], "left_anti")
@@ -152,26 +103,58 @@ def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3,
         levels.append(nxt.withColumn("degree", F.lit(d)))
         if nxt.isEmpty():
             break
-        if enough is not None and mode == "bfs" and d < max_degree:
+        if enough is not None and d < max_degree:
             got = nxt.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-            reached = got if reached is None else (
-                reached.join(got, "root", "full")
-                       .select("root", (F.coalesce(reached["n"], F.lit(0))
-                                        + F.coalesce(got["n"], F.lit(0))).alias("n")))
-            reached = _checkpoint(reached)          # one small row per root
+            if reached is not None:
+                got = reached.unionByName(got).groupBy("root").agg(F.sum("n").alias("n"))
+            reached = _checkpoint(got)              # one small row per root
             done = reached.where(F.col("n") >= enough).select("root")
             nxt = nxt.join(done, "root", "left_anti")
         prev2, prev = prev, nxt
-    if owned:
-        edges.unpersist()
-    if hot_edges is not None:
-        hot_edges.unpersist()
+    return start, levels
+
+
+def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3, mode: str = "bfs",
+        include_root: bool = False, edge_block: int = EDGE_BLOCK) -> DataFrame:
+    """GR1/GR2: bounded BFS from every row of ``roots`` (column ``root``).
+
+    Returns ``(root, v, degree)``; ``degree`` is the hop distance (1..max).
+    Roots that are not vertices of the graph give no rows (JN4 semi-join).
+
+    ``mode="bfs"`` (default): one row per reached ``(root, v)``, root excluded.
+    ``mode="walk"`` keeps the behaviour of the original cache job: at each
+    level every walk end is kept (only a degree-1 self-loop back to the root
+    is removed), so a vertex can appear at several degrees and the root comes
+    back at degree 2.
+    """
+    if mode not in ("bfs", "walk"):
+        raise ValueError(f"mode must be 'bfs' or 'walk', not {mode!r}")
+    edges = sym if "salts" in sym.columns else prepare_edges(sym, edge_block)
+    start, levels = _levels(edges, roots, max_degree, mode)
     if include_root or not levels:
         root_rows = start.withColumn("degree", F.lit(0))
         levels.insert(0, root_rows if include_root else root_rows.limit(0))
     return reduce(DataFrame.unionByName, levels)
 
 
+def nearest_bfs(sym: DataFrame, roots: DataFrame, n: int = 10, max_degree: int = 3) -> DataFrame:
+    """The first ``n`` vertices by (degree, id) of every root, and no others:
+    ``(root, v, degree, rank)``, the same as ``nearest(bfs(...), n)``.
+
+    Each vertex's adjacency is cut to its first ``2n`` ids. That is exact: a
+    root still in the frontier has reached fewer than ``n`` vertices, so (with
+    itself) at most ``n`` of the ``2n`` ids are not new, and no id beyond them
+    can enter its first ``n``; a vertex with fewer ids is not cut. So a hub
+    costs a root ``2n`` rows, whatever its degree."""
+    w = Window.partitionBy("src").orderBy("dst")
+    cut = (sym.select("src", "dst").withColumn("_at", F.row_number().over(w))
+              .where(F.col("_at") <= 2 * n)
+              .select("src", "dst", F.lit(0).alias("salt"), F.lit(1).alias("salts")))
+    start, levels = _levels(materialize(cut, "near-edges"), roots, max_degree, "bfs", n)
+    levels = levels or [start.withColumn("degree", F.lit(0)).limit(0)]
+    return nearest(reduce(DataFrame.unionByName, levels), n)
+
+
 def min_degree(paths: DataFrame) -> DataFrame:
     """AG4/AG5: shortest degree per ``(root, v)``, degree-0 rows dropped
     (FLT10). A hash aggregate with a partial step, so a vertex reached on many
@@ -183,16 +166,15 @@ def min_degree(paths: DataFrame) -> DataFrame:
 def nearest(paths: DataFrame, n: int = 10, tie: str = "id", seed: int = 42) -> DataFrame:
     """TK5/SM2/WN1: per root the ``n`` nearest vertices, nearest degree first.
 
-    Inside a degree the order is by id (``tie="id"``, reproducible and the same
-    in SQL) or by a seeded hash of the id (``tie="hash"``, a fixed pseudo-random
-    pick). ``row_number() <= n`` plans as a WindowGroupLimit that keeps only
+    Inside a degree the order is by id (``tie="id"``) or by a seeded hash of the
+    id (``tie="hash"``, a fixed pseudo-random pick); both are the same in SQL. ``row_number() <= n`` plans as a WindowGroupLimit that keeps only
     ``n`` rows per root in every task before the shuffle, so a root that
     reaches a third of the graph still moves at most ``n`` rows per task.
     Returns ``(root, v, degree, rank)``.
     """
     order = [F.col("degree").asc(), F.col("v").asc()]
     if tie == "hash":
-        order = [F.col("degree").asc(), F.xxhash64(F.col("v"), F.lit(seed)).asc(),
+        order = [F.col("degree").asc(), seeded_hash("v", seed).asc(),
                  F.col("v").asc()]
     w = Window.partitionBy("root").orderBy(*order)
     return (paths.withColumn("rank", F.row_number().over(w))
@@ -203,7 +185,7 @@ def sample_roots(verts: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """SM1: exactly ``n`` vertices (or all, if fewer), picked by a seeded hash
     of the id; the same ``n`` on every run. A top-n, so each task sends at most
     ``n`` rows."""
-    return (verts.orderBy(F.xxhash64(F.col("v"), F.lit(seed)), F.col("v"))
+    return (verts.orderBy(seeded_hash("v", seed), F.col("v"))
                  .limit(n).select(F.col("v").alias("root")))
 
 

@@ -7,8 +7,7 @@ artist reads one directory; inside a bucket's files the rows are sorted by
 ``(root, degree, v)``, so Parquet row-group statistics skip most of it.
 
 The JSON value of the original cache (``[[id, degree], ...]`` ordered by
-``(degree, id)``) is produced for a bounded prefix only (the first ``k``
-entries), which is what the readers consume.
+``(degree, id)``) is produced whole, in numbered chunks of a bounded length.
 """
 
 from __future__ import annotations
@@ -18,14 +17,13 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from songgraph.operators.graph import nearest
+from songgraph.session import materialize
 
 N_BUCKETS = 64
-
-
-def bucket_of(col) -> F.Column:
-    return F.pmod(F.xxhash64(col), F.lit(N_BUCKETS))
+CHUNK = 1000        # entries of one JSON chunk
 
 
 def write_serving_table(paths: DataFrame, path: str, n_buckets: int = N_BUCKETS) -> None:
@@ -64,13 +62,17 @@ def lookup(table: DataFrame, artist_id, k: int, n_buckets: int = N_BUCKETS) -> D
     return nearest(one.drop("bucket"), k).select("v", "degree", "rank")
 
 
-def lookup_many(table: DataFrame, asks: DataFrame, k_col: str = "top_k") -> DataFrame:
+def lookup_many(table: DataFrame, asks: DataFrame, k_col: str = "top_k",
+                n_buckets: int = N_BUCKETS) -> DataFrame:
     """SRC9 for a table of asks ``(req_id, artist_id, top_k)``: each ask gets
-    the first ``top_k`` entries of its artist. The per-root prefix is cut to
-    the largest ``top_k`` before the join (WindowGroupLimit), so a popular
-    artist contributes at most that many rows per ask."""
+    the first ``top_k`` entries of its artist. Only asked roots are read (joined
+    on ``bucket`` too, so directories can be pruned), and each is cut to the
+    largest ``top_k`` before the asks join (WindowGroupLimit)."""
     kmax = asks.agg(F.max(k_col)).first()[0] or 0
-    pre = nearest(table.select("root", "v", "degree"), int(kmax))
+    key = F.col("artist_id").cast(table.schema["root"].dataType)
+    wanted = asks.select(key.alias("root")).distinct() \
+        .withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(n_buckets)).cast(table.schema["bucket"].dataType))
+    pre = nearest(table.join(wanted, ["bucket", "root"], "left_semi").select("root", "v", "degree"), int(kmax))
     return (asks.join(pre, asks["artist_id"] == pre["root"])
                 .where(F.col("rank") <= F.col(k_col))
                 .select("req_id", "v", "degree", "rank"))
@@ -84,11 +86,29 @@ def dump(table: DataFrame) -> DataFrame:
         "key", F.split_part("key", F.lit(":"), F.lit(2)).alias("artist"), "v", "degree")
 
 
-def recs_json(paths: DataFrame, k: int) -> DataFrame:
-    """SC12/AG6: per root the JSON list ``[[id, degree], ...]`` of its first
-    ``k`` entries in ``(degree, id)`` order. The list is built from at most
-    ``k`` rows per root."""
-    top = nearest(paths, k)
+def numbered(paths: DataFrame) -> DataFrame:
+    """``(root, v, degree, pos)``, ``pos`` counting a root's entries from 0 in
+    ``(degree, id)`` order. Rows are range-partitioned, counted per root and
+    partition, and numbered inside a partition from the rows before it, so a
+    root's list is never in one task."""
+    spark = paths.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(paths.select("root", "v", "degree")
+                         .repartitionByRange(parts, "root", "degree", "v")
+                         .withColumn("_pid", F.spark_partition_id()), "ranged")
+    before = Window.partitionBy("root").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (ranged.groupBy("root", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+                  .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    inside = Window.partitionBy("root", "_pid").orderBy("degree", "v")
+    return (ranged.withColumn("_at", F.row_number().over(inside) - 1)
+                  .join(offs, ["root", "_pid"])
+                  .select("root", "v", "degree", (F.col("_off") + F.col("_at")).alias("pos")))
+
+
+def recs_json(paths: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """SC12/AG6: per root the whole JSON list ``[[id, degree], ...]`` in
+    ``(degree, id)`` order, as ``(key, chunk_no, recs_json)`` with at most
+    ``chunk`` entries a row."""
     pairs = F.sort_array(F.collect_list(F.struct(
         F.col("degree").cast("long").alias("d"), F.col("v").alias("i"))))
 
@@ -96,17 +116,20 @@ def recs_json(paths: DataFrame, k: int) -> DataFrame:
         # the id's own JSON form (quoted if a string), then the degree
         id_json = F.regexp_extract(F.to_json(F.array(x["i"])), r"^\[(.*)\]$", 1)
         return F.concat(F.lit("["), id_json, F.lit(","), x["d"].cast("string"), F.lit("]"))
-    return (top.groupBy("root").agg(pairs.alias("p"))
+    rows = numbered(paths).withColumn("chunk_no", F.floor(F.col("pos") / chunk).cast("int"))
+    return (rows.groupBy("root", "chunk_no").agg(pairs.alias("p"))
                .select(F.concat(F.lit("artist:"), F.col("root").cast("string"),
-                                F.lit(":recs")).alias("key"),
+                                F.lit(":recs")).alias("key"), "chunk_no",
                        F.concat(F.lit("["), F.array_join(F.transform("p", pair_json), ","),
                                 F.lit("]")).alias("recs_json")))
 
 
-def parse_recs(df: DataFrame, col: str = "recs_json", id_type: str = "long") -> DataFrame:
-    """SC13: decode the JSON list back into ``(key, pos, v, degree)`` rows."""
+def parse_recs(df: DataFrame, col: str = "recs_json", id_type: str = "long",
+               chunk: int = CHUNK) -> DataFrame:
+    """SC13: decode the JSON chunks back into ``(key, pos, v, degree)`` rows,
+    ``pos`` from 1."""
     arr = F.from_json(F.col(col), T.ArrayType(T.ArrayType(T.StringType())))
-    return (df.select("key", F.posexplode(arr).alias("pos", "pair"))
-              .select("key", (F.col("pos") + 1).alias("pos"),
+    return (df.select("key", "chunk_no", F.posexplode(arr).alias("pos", "pair"))
+              .select("key", (F.col("chunk_no") * chunk + F.col("pos") + 1).alias("pos"),
                       F.get("pair", 0).cast(id_type).alias("v"),
                       F.get("pair", 1).cast("long").alias("degree")))

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from songgraph.operators import graph as G
 from songgraph.operators import serving as S
 from songgraph.plans.base import cte, register
-from songgraph.session import ensure_checkpoint_dir
+from songgraph.session import ensure_checkpoint_dir, materialize
 from songgraph.sources import adapters as A
 
 DEPTH = 3
 TOP = 10
+CACHE_ROOTS = 50    # artists whose whole neighbourhoods are cached: a seeded sample
 
 
 def sym_edges(spark, sf_dir):
@@ -26,20 +27,26 @@ def sym_edges(spark, sf_dir):
 
 
 def run_bfs(spark, sf_dir, roots_of, **kw):
-    """BFS with the symmetric edges partitioned by ``src`` and kept for the
-    roots, the vertex list and every level; released once the (checkpointed)
-    levels exist."""
+    """BFS with the symmetric edges written once for the roots and every level."""
     sym = G.prepare_edges(sym_edges(spark, sf_dir))
-    try:
-        return G.bfs(sym, roots_of(sym), DEPTH, **kw)
-    finally:
-        sym.unpersist()
+    return G.bfs(sym, roots_of(sym), DEPTH, **kw)
+
+
+def run_nearest(spark, sf_dir, roots_of, n):
+    """The ``n`` nearest artists of every root, by the cut adjacency."""
+    sym = materialize(sym_edges(spark, sf_dir), "edges")
+    return G.nearest_bfs(sym, roots_of(sym), n, DEPTH)
 
 
 def _all_roots(sym):
     return G.vertices(sym).select(F.col("v").alias("root"))
 
 
+def _cache_roots(sym):
+    """The cache job's sampled artists (SM1)."""
+    return G.sample_roots(G.vertices(sym), CACHE_ROOTS)
+
+
 def _first_root(sym):
     return G.first_vertex(G.vertices(sym))
 
@@ -72,6 +79,14 @@ walks AS (SELECT root, v, 1 AS degree FROM k1 UNION ALL SELECT root, v, 2 FROM k
 """
 
 _ALL_ROOTS = ",\nr AS (SELECT DISTINCT src AS root FROM e)\n"
+
+
+def _sample_sql(n: int) -> str:
+    return (f",\nr AS (SELECT root FROM (SELECT DISTINCT src AS root FROM e) "
+            f"ORDER BY md5(CAST(root AS VARCHAR) || '-42'), root LIMIT {n})\n")
+
+
+_CACHE_ROOTS = _sample_sql(CACHE_ROOTS)
 _FIRST_ROOT = ",\nr AS (SELECT min(src) AS root FROM e)\n"
 
 
@@ -87,10 +102,10 @@ def q_vertices(spark, sf_dir):
     return G.vertices(sym_edges(spark, sf_dir))
 
 
-@register("bfs_multi", _E + _ALL_ROOTS + _WALKS_FROM + "SELECT root, v, degree FROM bfs")
+@register("bfs_multi", _E + _CACHE_ROOTS + _WALKS_FROM + "SELECT root, v, degree FROM bfs")
 def q_bfs_multi(spark, sf_dir):
-    """GR2 JN1 JN3 JN4 AG7 FLT10 ST1 ST3: BFS to depth 3 from every artist"""
-    return run_bfs(spark, sf_dir, _all_roots)
+    """GR2 JN1 JN3 JN4 AG7 FLT10 ST1 ST3: BFS to depth 3 from the sampled artists"""
+    return run_bfs(spark, sf_dir, _cache_roots)
 
 
 @register("bfs_single", _E + _FIRST_ROOT + _WALKS_FROM + "SELECT v, degree FROM bfs")
@@ -107,10 +122,10 @@ def q_bfs_single_as_coded(spark, sf_dir):
     return G.min_degree(walks).select("v", "degree")
 
 
-@register("bfs_walk_cache", _E + _ALL_ROOTS + _WALK_LEVELS + "SELECT root, v, degree FROM walks")
+@register("bfs_walk_cache", _E + _CACHE_ROOTS + _WALK_LEVELS + "SELECT root, v, degree FROM walks")
 def q_bfs_walk_cache(spark, sf_dir):
     """GR2 walk mode, ST3 as coded: a neighbour at several degrees, root inside"""
-    return run_bfs(spark, sf_dir, _all_roots, mode="walk")
+    return run_bfs(spark, sf_dir, _cache_roots, mode="walk")
 
 
 @register("nearest_n", _E + _FIRST_ROOT + _WALKS_FROM + f"""
@@ -118,15 +133,23 @@ SELECT v, degree, CAST(row_number() OVER (ORDER BY degree, v) AS INTEGER) AS ran
 FROM bfs QUALIFY rank <= {TOP}""")
 def q_nearest_n(spark, sf_dir):
     """TK5 SM2 (id tie-break): the 10 nearest artists of one artist"""
+    return run_nearest(spark, sf_dir, _first_root, TOP).select("v", "degree", "rank")
+
+
+@register("nearest_n_hash", _E + _FIRST_ROOT + _WALKS_FROM + f"""
+SELECT v, degree, CAST(row_number() OVER (
+  ORDER BY degree, md5(CAST(v AS VARCHAR) || '-42'), v) AS INTEGER) AS rank
+FROM bfs QUALIFY rank <= {TOP}""")
+def q_nearest_n_hash(spark, sf_dir):
+    """TK5 SM2: as nearest_n, equal degrees in seeded random order"""
     paths = run_bfs(spark, sf_dir, _first_root)
-    return G.nearest(paths, TOP).select("v", "degree", "rank")
+    return G.nearest(paths, TOP, tie="hash").select("v", "degree", "rank")
 
 
-@register("bfs_sample")
+@register("bfs_sample", _E + _sample_sql(5) + _WALKS_FROM + "SELECT root, v, degree FROM bfs")
 def q_bfs_sample(spark, sf_dir):
-    """SM1 JN4 GR2: BFS from 5 artists picked by a seeded hash (no SQL twin:
-    DuckDB has no xxhash64; tests check it against the all-roots answer)"""
-    return run_bfs(spark, sf_dir, lambda sym: G.sample_roots(G.vertices(sym), 5, seed=42))
+    """SM1 JN4 GR2: BFS from 5 artists picked by a seeded hash"""
+    return run_bfs(spark, sf_dir, lambda sym: G.sample_roots(G.vertices(sym), 5))
 
 
 _TOPK = _E + _ALL_ROOTS + _WALKS_FROM + f""",
@@ -139,41 +162,45 @@ topk AS (SELECT root, v, degree,
 @register("cache_top_k", _TOPK + "SELECT root, v, degree, rank FROM topk")
 def q_cache_top_k(spark, sf_dir):
     """WN1 AG6: first 10 cached neighbours per artist, ordered (degree, id)"""
-    paths = run_bfs(spark, sf_dir, _all_roots)
-    return G.nearest(paths, TOP)
+    return run_nearest(spark, sf_dir, _all_roots, TOP)
+
+
+_ENTRIES = _E + _CACHE_ROOTS + _WALKS_FROM + """,
+entries AS (SELECT root, v, degree,
+              row_number() OVER (PARTITION BY root ORDER BY degree, v) AS pos FROM bfs)
+"""
 
 
-@register("cache_json", _TOPK + """
+@register("cache_json", _ENTRIES + f"""
 SELECT 'artist:' || CAST(root AS VARCHAR) || ':recs' AS "key",
+  CAST((pos - 1) // {S.CHUNK} AS INTEGER) AS chunk_no,
   '[' || string_agg('[' || CAST(v AS VARCHAR) || ',' || CAST(degree AS VARCHAR) || ']', ','
                     ORDER BY degree, v) || ']' AS recs_json
-FROM topk GROUP BY root""")
+FROM entries GROUP BY root, (pos - 1) // {S.CHUNK}""")
 def q_cache_json(spark, sf_dir):
-    """SC12 SC14 AG6: the cache value, JSON [[id, degree], ...] of the first 10"""
-    paths = run_bfs(spark, sf_dir, _all_roots)
-    return S.recs_json(paths, TOP)
+    """SC12 SC14 AG6: the whole cache value, JSON [[id, degree], ...] in chunks"""
+    return S.recs_json(run_bfs(spark, sf_dir, _cache_roots))
 
 
-@register("cache_json_roundtrip", _TOPK + """
-SELECT 'artist:' || CAST(root AS VARCHAR) || ':recs' AS "key", CAST(rank AS INTEGER) AS pos,
-       v, CAST(degree AS BIGINT) AS degree FROM topk""")
+@register("cache_json_roundtrip", _ENTRIES + """
+SELECT 'artist:' || CAST(root AS VARCHAR) || ':recs' AS "key", CAST(pos AS INTEGER) AS pos,
+       v, CAST(degree AS BIGINT) AS degree FROM entries""")
 def q_cache_json_roundtrip(spark, sf_dir):
-    """SC13: the JSON value decoded back into rows"""
-    paths = run_bfs(spark, sf_dir, _all_roots)
-    return S.parse_recs(S.recs_json(paths, TOP))
+    """SC13: the JSON chunks decoded back into rows"""
+    return S.parse_recs(S.recs_json(run_bfs(spark, sf_dir, _cache_roots)))
 
 
 def _serving_path(spark) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/serving-{uuid.uuid4().hex}"
 
 
-@register("cache_dump", _E + _ALL_ROOTS + _WALKS_FROM + """
+@register("cache_dump", _E + _CACHE_ROOTS + _WALKS_FROM + """
 SELECT 'artist:' || CAST(root AS VARCHAR) || ':recs' AS "key",
        CAST(root AS VARCHAR) AS artist, v, degree FROM bfs""")
 def q_cache_dump(spark, sf_dir):
     """SNK3 SRC10 SC14: write the serving table (overwrite, bucketed by
     artist), read it back, list every key with its entries"""
-    paths = run_bfs(spark, sf_dir, _all_roots)
+    paths = run_bfs(spark, sf_dir, _cache_roots)
     path = _serving_path(spark)
     S.write_serving_table(paths, path)
     return S.dump(S.read_serving_table(spark, path))
@@ -192,7 +219,8 @@ def q_cache_lookup(spark, sf_dir):
     """SRC9 SC10 WN1 JN4: artist-anchored requests read their first top_k
     cached neighbours; BFS roots are the requested artists only"""
     req = A.requests(spark, sf_dir).where(F.col("artist_id").isNotNull())
-    paths = run_bfs(spark, sf_dir, lambda sym: req.select(F.col("artist_id").alias("root")))
+    n = req.agg(F.max("top_k")).first()[0] or 1
+    paths = run_nearest(spark, sf_dir, lambda sym: req.select(F.col("artist_id").alias("root")), n)
     path = _serving_path(spark)
     S.write_serving_table(paths, path)
     return S.lookup_many(S.read_serving_table(spark, path), req)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from songgraph.operators import recommend as R
 from songgraph.plans.base import cte, register
 from songgraph.plans.recommend_queries import _REC_SQL
-from songgraph.plans.graph_queries import run_bfs
+from songgraph.plans.graph_queries import run_nearest
 from songgraph.operators import graph as G
 from songgraph.session import ensure_checkpoint_dir
 from songgraph.sources import adapters as A
@@ -51,7 +51,7 @@ def q_recommend_stream(spark, sf_dir):
     tracks = A.tracks(spark, sf_dir)
     resolved = R.resolve(req, tracks)
     roots = resolved.where(F.col("status") == "ok").select(F.col("anchor_artist").alias("root"))
-    paths = run_bfs(spark, sf_dir, lambda sym: roots, enough=R.SIMILAR_N)
+    paths = run_nearest(spark, sf_dir, lambda sym: roots, R.SIMILAR_N)
     inbox = _scratch(spark, "requests")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     req.repartition(n, "req_id").write.parquet(inbox)

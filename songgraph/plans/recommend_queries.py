@@ -13,7 +13,7 @@ from songgraph.functions.scalar import sql_nostalgia_score
 from songgraph.operators import graph as G
 from songgraph.operators import recommend as R
 from songgraph.plans.base import cte, register
-from songgraph.plans.graph_queries import _E, _WALKS_FROM, run_bfs
+from songgraph.plans.graph_queries import _E, _WALKS_FROM, run_nearest
 from songgraph.sources import adapters as A
 
 
@@ -78,7 +78,7 @@ def recommend_batch(spark, sf_dir):
     tracks = A.tracks(spark, sf_dir)
     resolved = R.resolve(req, tracks)
     roots = resolved.where(F.col("status") == "ok").select(F.col("anchor_artist").alias("root"))
-    paths = run_bfs(spark, sf_dir, lambda sym: roots, enough=R.SIMILAR_N)
+    paths = run_nearest(spark, sf_dir, lambda sym: roots, R.SIMILAR_N)
     return R.recommend(req, tracks, paths, artists=A.artists(spark, sf_dir))
 
 

@@ -1,7 +1,7 @@
 """The song domain over the driver's TPC-H-like tables.
 
-Orders are tracks, customers are artists, consecutive urgent orders link two
-artists as similar, line items are the segments of a track, events are
+Orders are tracks, customers are artists, consecutive orders link two artists
+as similar, line items are the segments of a track, events are
 listener requests. Each view is built twice from one definition: as a
 DataFrame (what the jobs run) and as SQL text (what the DuckDB oracle runs as
 a CTE). Both must stay in step; ``tests/test_oracle.py`` checks them.
@@ -132,14 +132,13 @@ FROM ({SQL_TRACKS}) t LEFT JOIN ({SQL_ARTISTS}) a ON t.artist_id = a.artist_id
 
 
 # --------------------------------------------------------------------------
-# similarity: artists of consecutive urgent orders (directed, as stored)
+# similarity: artists of consecutive orders (directed, as stored)
 # --------------------------------------------------------------------------
 
 def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    a = (o.where(F.col("o_orderpriority") == "1-URGENT")
-          .select((F.col("o_orderkey") + 1).alias("next_key"),
-                  F.col("o_custkey").alias("target")))
+    a = o.select((F.col("o_orderkey") + 1).alias("next_key"),
+                 F.col("o_custkey").alias("target"))
     b = o.select(F.col("o_orderkey").alias("next_key"),
                  F.col("o_custkey").alias("similar"))
     return (a.join(b, "next_key")
@@ -150,7 +149,7 @@ def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_SIMILARITY = """
 SELECT a.o_custkey AS target, b.o_custkey AS "similar"
 FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1
-WHERE a.o_orderpriority = '1-URGENT' AND a.o_custkey <> b.o_custkey
+WHERE a.o_custkey <> b.o_custkey
 """
 
 
@@ -214,19 +213,23 @@ def sql_segments(kind: str = "timbre") -> str:
 
 
 def embedding_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as segment matrices: each ``label`` is one song, each row a
-    segment, the first 12 of the 64 dims its values."""
+    """Embeddings as segment matrices: each ``label`` is one song, each vector
+    as many 12-wide segments as its whole width needs (the last one short)."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select(F.col("label").cast("long").alias("song_id"),
-                    F.col("vec_id").alias("seg"),
-                    *[F.get("embedding", i).cast("double").alias(f"x{i}")
-                      for i in range(12)])
+    parts = F.ceil(F.size("embedding") / 12).cast("int")
+    cut = e.where(parts > 0).select(
+        F.col("label").cast("long").alias("song_id"), "vec_id", "embedding",
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    return cut.select("song_id", (F.col("vec_id") * 1000 + F.col("part")).alias("seg"),
+                      *[F.get("embedding", F.col("part") * 12 + i).cast("double").alias(f"x{i}")
+                        for i in range(12)])
 
 
 SQL_EMBEDDING_SEGMENTS = (
-    "SELECT CAST(label AS BIGINT) AS song_id, vec_id AS seg, "
-    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(12))
-    + " FROM embeddings")
+    "SELECT CAST(label AS BIGINT) AS song_id, vec_id * 1000 + part AS seg, "
+    + ", ".join(f"CAST(embedding[part * 12 + {i + 1}] AS DOUBLE) AS x{i}" for i in range(12))
+    + " FROM (SELECT label, vec_id, embedding,"
+    + " unnest(range(CAST(ceil(len(embedding) / 12.0) AS BIGINT))) AS part FROM embeddings)")
 
 
 # --------------------------------------------------------------------------

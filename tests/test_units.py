@@ -138,11 +138,11 @@ def test_serving_roundtrip(spark, tmp_path):
     got = [(r["v"], r["degree"]) for r in S.lookup(t, "a", 3).orderBy("rank").collect()]
     assert got == [("b", 1), ("e", 1), ("c", 2)]
     assert S.lookup(t, "nobody", 3).count() == 0
-    js = S.recs_json(paths.where(F.col("root") == "a"), 3).collect()
-    assert js[0]["key"] == "artist:a:recs"
-    assert js[0]["recs_json"] == '[["b",1],["e",1],["c",2]]'
-    back = S.parse_recs(spark.createDataFrame(js), id_type="string").orderBy("pos").collect()
-    assert [(r["v"], r["degree"]) for r in back] == [("b", 1), ("e", 1), ("c", 2)]
+    js = S.recs_json(paths.where(F.col("root") == "a"), chunk=3).orderBy("chunk_no").collect()
+    assert [tuple(r) for r in js] == [("artist:a:recs", 0, '[["b",1],["e",1],["c",2]]'),
+                                      ("artist:a:recs", 1, '[["d",2]]')]
+    back = S.parse_recs(spark.createDataFrame(js), id_type="string", chunk=3).orderBy("pos").collect()
+    assert [(r["pos"], r["v"], r["degree"]) for r in back] == [(1, "b", 1), (2, "e", 1), (3, "c", 2), (4, "d", 2)]
 
 
 def test_percentage_counts_null_in_denominator(spark):
@@ -317,30 +317,31 @@ def test_model_save_load_and_impute_invariants(spark, tmp_path):
     assert m["n"] > 0 and m["rmse"] >= 0
 
 
-def test_bfs_hot_vertex_split_equals_plain(spark):
-    # a star: hub h linked to 40 leaves, leaves linked in a ring
-    edges = [("h", f"l{i}") for i in range(40)] + [(f"l{i}", f"l{(i + 1) % 40}") for i in range(40)]
-    sym = G.symmetrize(spark.createDataFrame(edges, "target string, similar string"))
+def _star(spark):
+    # hub h linked to 40 leaves, leaves linked in a ring, a self-loop at the hub
+    edges = [("h", f"l{i}") for i in range(40)] + [(f"l{i}", f"l{(i + 1) % 40}") for i in range(40)] + [("h", "h")]
+    return G.symmetrize(spark.createDataFrame(edges, "target string, similar string"))
+
+
+def test_bfs_salts_grow_with_the_degree(spark):
+    sym = _star(spark)
     roots = G.vertices(sym).select(F.col("v").alias("root"))
-    plain = {tuple(r) for r in G.bfs(sym, roots, 3, split_hot=False)
-             .select("root", "v", "degree").collect()}
-    salted = {tuple(r) for r in G.bfs(sym, roots, 3, hot_k=5, min_hot_degree=1, salts=5)
-              .select("root", "v", "degree").collect()}
-    hot = [r["hot"] for r in G.hot_vertices(sym, 5, 1).collect()]
-    assert hot == ["h"]
+    edges = G.prepare_edges(sym, 5)
+    assert edges.where("src = 'h'").select("salts").distinct().collect()[0][0] == 9
+    assert edges.groupBy("src", "salt").count().agg(F.max("count")).first()[0] < 20
+    plain = {tuple(r) for r in G.bfs(sym, roots, 3).select("root", "v", "degree").collect()}
+    salted = {tuple(r) for r in G.bfs(edges, roots, 3).select("root", "v", "degree").collect()}
     assert plain == salted
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 5])
-def test_bfs_enough_keeps_nearest_exact(spark, n):
+@pytest.mark.parametrize("n", [1, 3])
+def test_nearest_bfs_equals_nearest_of_whole_bfs(spark, n):
     edges = [(f"a{i}", f"a{(i * 7 + 3) % 30}") for i in range(30)] + \
             [(f"a{i}", f"a{(i + 1) % 30}") for i in range(30)]
-    sym = G.symmetrize(spark.createDataFrame(edges, "target string, similar string"))
+    sym = _star(spark).union(G.symmetrize(spark.createDataFrame(edges, "target string, similar string")))
     roots = G.vertices(sym).select(F.col("v").alias("root"))
-    full = {tuple(r) for r in G.nearest(G.bfs(sym, roots, 3), n)
-            .select("root", "v", "degree", "rank").collect()}
-    cut = {tuple(r) for r in G.nearest(G.bfs(sym, roots, 3, enough=n), n)
-           .select("root", "v", "degree", "rank").collect()}
+    full = sorted(tuple(r) for r in G.nearest(G.bfs(sym, roots, 3), n).select("root", "v", "degree", "rank").collect())
+    cut = sorted(tuple(r) for r in G.nearest_bfs(sym, roots, n, 3).select("root", "v", "degree", "rank").collect())
     assert full == cut
 
 
