@@ -4,10 +4,11 @@ Input is long form, one row per segment: ``(song_id, seg, x0..x11)``; a
 value missing from a short segment is 0.0, as in the original ingest. The 72
 statistics (mean, median, min, max, population std, count for each dim,
 array index ``dim*6 + stat``) and the 78 sample covariances of the upper
-triangle (row-major) need no self-join and no pair explosion: mean, std and
-covariance come from plain sums (of x and of x_i * x_j) in one hash
-aggregate that combines partially before the shuffle. The exact median runs
-as a second pass joined on the song key: a song with at most
+triangle (row-major) need no self-join and no pair explosion. Sums, min and
+max come from one hash aggregate that combines partially before the shuffle;
+std and covariance from a second one over the deviations from the song's
+means, so that nothing cancels where means dwarf the spread. The median runs
+as a pass of its own joined on the song key: a song with at most
 ``HOT_SEGMENTS`` segments is sorted in one task (a proven bound on what one
 task holds); a larger song, up to a third of all rows, goes through the
 distributed order statistics of ``quantiles`` and is never gathered.
@@ -47,19 +48,32 @@ def _xs(src: str) -> list:
     return [F.coalesce(F.col(f"{src}{i}").cast("double"), F.lit(0.0)) for i in range(N_DIMS)]
 
 
-def _raw_aggs(prefix: str = "", src: str = "x") -> list:
-    """Plain sums (12 of x, 78 of x_i * x_j), min, max and n: simple
-    aggregates that stay in generated code and combine partially before the
-    shuffle (Spark's ``covar_samp`` keeps five buffers per pair and measured
-    ~4.5x slower here)."""
-    xs = _xs(src)
-    out = [F.count(F.lit(1)).alias(f"{prefix}n")]
-    for i, x in enumerate(xs):
-        out += [F.sum(x).alias(f"{prefix}sum{i}"), F.min(x).alias(f"{prefix}min{i}"),
-                F.max(x).alias(f"{prefix}max{i}")]
-    for i, j in PAIRS:
-        out.append(F.sum(xs[i] * xs[j]).alias(f"{prefix}sp{i}_{j}"))
-    return out
+def _sums(segs: DataFrame, srcs: list[str]) -> DataFrame:
+    """n, and the sum, min and max of each dim, per song."""
+    out = [F.count(F.lit(1)).alias("n")]
+    for src in srcs:
+        for i, x in enumerate(_xs(src)):
+            out += [F.sum(x).alias(f"{src}_sum{i}"), F.min(x).alias(f"{src}_min{i}"),
+                    F.max(x).alias(f"{src}_max{i}")]
+    return segs.groupBy("song_id").agg(*out)
+
+
+def _moments(segs: DataFrame, sums: DataFrame, srcs: list[str]) -> DataFrame:
+    """Sums of the products of deviations from the song's means, per song.
+
+    Plain sums stay in generated code (``covar_samp`` keeps five buffers per
+    pair and measured ~4.5x slower here). The group key is the song id in a
+    struct, so the aggregate does not inherit the join's partitioning: AQE may
+    split a hot song's join, and its parts combine before the next shuffle."""
+    means = sums.select("song_id", *[(F.col(f"{src}_sum{i}") / F.col("n")).alias(f"_mean_{src}{i}")
+                                     for src in srcs for i in range(N_DIMS)])
+    dev = segs.hint("merge").join(means, "song_id").select(
+        F.struct("song_id").alias("_key"),
+        *[(x - F.col(f"_mean_{src}{i}")).alias(f"_{src}{i}")
+          for src in srcs for i, x in enumerate(_xs(src))])
+    agg = dev.groupBy("_key").agg(*[F.sum(F.col(f"_{src}{i}") * F.col(f"_{src}{j}")).alias(f"{src}_sp{i}_{j}")
+                                    for src in srcs for i, j in PAIRS])
+    return agg.select("_key.song_id", *[f"{src}_sp{i}_{j}" for src in srcs for i, j in PAIRS])
 
 
 def _pick(i: int):
@@ -119,40 +133,34 @@ def _ranked_medians(segs: DataFrame, srcs: list[str], hot: DataFrame) -> DataFra
         for k, src in enumerate(srcs) for i in range(N_DIMS)])
 
 
-def _final(prefix: str = "", src: str = "x", medians: bool = True) -> list:
-    """Statistics from the sums: mean = S/n, population std =
-    sqrt((Q - S^2/n) / n), sample covariance = (P - S_i S_j / n) / (n - 1)
-    (NaN for one segment, as 0/0 in the original)."""
-    n = F.col(f"{prefix}n").cast("double")
-    S = [F.col(f"{prefix}sum{i}") for i in range(N_DIMS)]
+def _final(src: str, medians: bool = True) -> list:
+    """Statistics from sums (S) and centred products (P): mean = S/n, population
+    std = sqrt(P_ii / n), sample covariance = P_ij / (n - 1) (NaN for one
+    segment, as 0/0 in the original)."""
+    n = F.col("n").cast("double")
     out = []
     for i in range(N_DIMS):
-        q = F.col(f"{prefix}sp{i}_{i}")
-        var_pop = F.greatest(F.lit(0.0), (q - S[i] * S[i] / n) / n)
         med = F.col(f"{src}_med{i}") if medians else F.lit(None).cast("double")
-        stats = {"mean": S[i] / n, "median": med,
-                 "min": F.col(f"{prefix}min{i}"), "max": F.col(f"{prefix}max{i}"),
-                 "std": F.sqrt(var_pop), "count": n}
-        out += [stats[s].alias(f"{prefix}s{i}_{s}") for s in STAT_NAMES]
+        stats = {"mean": F.col(f"{src}_sum{i}") / n, "median": med,
+                 "min": F.col(f"{src}_min{i}"), "max": F.col(f"{src}_max{i}"),
+                 "std": F.sqrt(F.col(f"{src}_sp{i}_{i}") / n), "count": n}
+        out += [stats[s].alias(f"{src}_s{i}_{s}") for s in STAT_NAMES]
     for i, j in PAIRS:
-        cov = (F.col(f"{prefix}sp{i}_{j}") - S[i] * S[j] / n) / (n - 1)
-        out.append(F.when(n > 1, cov).otherwise(F.lit(float("nan"))).alias(f"{prefix}c{i}_{j}"))
+        cov = F.col(f"{src}_sp{i}_{j}") / (n - 1)
+        out.append(F.when(n > 1, cov).otherwise(F.lit(float("nan"))).alias(f"{src}_c{i}_{j}"))
     return out
 
 
 def _wide(segs: DataFrame, srcs: list[str], hot_segments: int = HOT_SEGMENTS,
           medians: bool = True) -> DataFrame:
-    aggs, finals = [], []
-    for src in srcs:
-        aggs += _raw_aggs(prefix=f"{src}_", src=src)
-        finals += _final(prefix=f"{src}_", src=src, medians=medians)
-    sums = segs.groupBy("song_id").agg(*aggs)
-    if not medians:
-        return sums.select("song_id", *finals)
-    # Both sides hold one row per song and are already hash-partitioned by
-    # song_id: a sort-merge join needs no exchange. Pin it, so AQE never
-    # broadcasts a side whose compressed shuffle size looks small.
-    both = sums.hint("merge").join(_medians(segs, srcs, hot_segments), "song_id")
+    finals = [c for src in srcs for c in _final(src, medians)]
+    # per-song sums feed the deviations and the result: computed once
+    sums = materialize(_sums(segs, srcs), "song-sums")
+    # One row per song on every side: sort-merge joins, pinned, so AQE never
+    # broadcasts a side whose compressed size looks small.
+    both = sums.hint("merge").join(_moments(segs, sums, srcs), "song_id")
+    if medians:
+        both = both.hint("merge").join(_medians(segs, srcs, hot_segments), "song_id")
     return both.select("song_id", *finals)
 
 

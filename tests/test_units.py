@@ -39,6 +39,14 @@ def test_covariance_and_single_segment(spark):
     assert math.isnan(rows[2]["cov"][0])
 
 
+def test_spread_far_from_zero(spark):
+    # a raw sum of squares would lose the spread entirely
+    segs = _segs(spark, [(1, k, [1e8 + v, 2e8 - v]) for k, v in enumerate([1.0, 2.0, 3.0])])
+    row = SG.segment_arrays(segs).first()
+    assert row["stats"][4] == pytest.approx(0.816496580927726)
+    assert row["cov"][0] == pytest.approx(1.0) and row["cov"][1] == pytest.approx(-1.0)
+
+
 def test_empty_matrix_gives_zeros(spark):
     segs = _segs(spark, [(1, 0, [1.0])])
     ids = spark.createDataFrame([(1,), (2,)], "song_id long")
