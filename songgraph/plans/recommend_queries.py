@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from songgraph.functions.scalar import sql_nostalgia_score
 from songgraph.operators import graph as G
 from songgraph.operators import recommend as R
+from songgraph.operators import years as Y
 from songgraph.plans.base import cte, register
 from songgraph.plans.graph_queries import _E, _WALKS_FROM, run_nearest
+from songgraph.session import materialize
 from songgraph.sources import adapters as A
 
 
@@ -47,7 +49,8 @@ def q_request_status(spark, sf_dir):
     return R.request_status(R.resolve(A.requests(spark, sf_dir), A.tracks(spark, sf_dir)))
 
 
-_REC_SQL = (cte(songs=A.SQL_SONGS, req=A.SQL_REQUESTS)
+def _rec_sql(songs: str) -> str:
+    return (cte(songs=songs, req=A.SQL_REQUESTS)
             + _RESOLVED.replace(",\nanchor", "\n, anchor", 1)
             + _E.replace("WITH ", ",\n", 1)
             + ",\nr AS (SELECT DISTINCT anchor_artist AS root FROM ok)\n"
@@ -73,9 +76,12 @@ WHERE rank <= top_k
 """)
 
 
-def recommend_batch(spark, sf_dir):
+_REC_SQL = _rec_sql(A.SQL_SONGS)
+
+
+def recommend_batch(spark, sf_dir, tracks=None):
     req = A.requests(spark, sf_dir)
-    tracks = A.tracks(spark, sf_dir)
+    tracks = A.tracks(spark, sf_dir) if tracks is None else tracks
     resolved = R.resolve(req, tracks)
     roots = resolved.where(F.col("status") == "ok").select(F.col("anchor_artist").alias("root"))
     paths = run_nearest(spark, sf_dir, lambda sym: roots, R.SIMILAR_N)
@@ -90,6 +96,24 @@ def q_recommend_batch(spark, sf_dir):
     return recommend_batch(spark, sf_dir)
 
 
+_IMPUTED_SONGS = f"""
+SELECT s.* REPLACE (CASE WHEN s."year" IS NULL OR s."year" = 0
+                         THEN CAST(round(m.m) AS INTEGER) ELSE s."year" END AS "year")
+FROM ({A.SQL_SONGS}) s LEFT JOIN (
+  SELECT artist_id, avg("year") AS m FROM ({A.SQL_TRACKS})
+  WHERE "year" IS NOT NULL AND "year" <> 0 GROUP BY artist_id) m ON s.artist_id = m.artist_id
+WHERE m.m IS NOT NULL OR (s."year" IS NOT NULL AND s."year" <> 0)"""
+
+
+@register("recommend_imputed", _rec_sql(_IMPUTED_SONGS))
+def q_recommend_imputed(spark, sf_dir):
+    """ML5 GR2 RC1-RC5 end to end: missing years imputed (the artist's mean
+    year, merged as by impute_merge), BFS, then recommendations scored on them"""
+    tracks = A.tracks(spark, sf_dir)
+    merged = Y.merge_predictions(tracks, Y.artist_mean_predictions(tracks))
+    return recommend_batch(spark, sf_dir, materialize(merged, "imputed"))
+
+
 _FB_ONLY = (cte(songs=A.SQL_SONGS, req=A.SQL_REQUESTS)
             + _RESOLVED.replace(",\nanchor", "\n, anchor", 1) + f""",
 births AS (SELECT DISTINCT birth_year FROM ok),
