@@ -94,7 +94,7 @@ def op7_minhash(spark, sf_dir):
 
 @query("op8_line_dedup")
 def op8_line_dedup(spark, sf_dir):
-    return linededup.mark(table(spark, sf_dir, "documents")).select("doc_id", "line", "group_id", "kept")
+    return linededup.mark(table(spark, sf_dir, "documents"), differ=None).select("doc_id", "line", "group_id", "kept")
 
 
 @query("op9_html")

@@ -286,6 +286,44 @@ def test_lines_equal_brute_force(spark):
     assert {(x["doc_id"], x["line"]) for x in got if x["kept"]} == set(first.values()) and len(got) == len(lines)
 
 
+def near_lines(texts):
+    """Pairs of edit similarity 0.9, by brute force over all pairs whose letter counts allow it."""
+    signs = {c: n for n, c in enumerate(sorted(set("".join(texts))))}
+    many = np.zeros((len(texts), len(signs)), np.int32)
+    for a, t in enumerate(texts):
+        for c, n in Counter(t).items():
+            many[a, signs[c]] = n
+    size, out = many.sum(1), []
+    for a, t in enumerate(texts):
+        most = (np.maximum(size, size[a]) * .1 + 1e-9).astype(int)
+        out += [(a, b) for b in np.flatnonzero(abs(many - many[a]).sum(1) <= 2 * most)
+                if a < b and linededup.edits(t, texts[b]) <= most[b]]
+    return out
+
+
+def test_lines_find_edit_similar_pairs_whatever_their_simhash(spark):
+    r, docs, pairs = random.Random(3), [], []
+    for words in (3, 5, 10, 18, 20, 22, 40, 80):    # one letter, or a letter in every 30 characters
+        for k in range(50):
+            a = list(" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 8)))
+                              for _ in range(words)))
+            b = list(a)
+            for _ in range(1 if k % 2 else max(1, len(a) // 30)):
+                b[r.choice([i for i, c in enumerate(a) if c != " "])] = "#"
+            pairs.append((len(docs), words))
+            docs += [(len(docs), "".join(a)), (len(docs) + 1, "".join(b))]
+    real = sorted({linededup.normal(x) for d in docs_of(spark).collect() for x in (d["text"] or "").split("\n")} - {""})
+    docs += [(10_000 + i, x) for i, x in enumerate(real)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {x["doc_id"]: x["group_id"] for x in linededup.mark(df, differ=None).collect()}
+    for words in {w for _, w in pairs}:
+        of = [a for a, w in pairs if w == words and len(docs[a][1]) > 9]
+        assert sum(got[a] == got[a + 1] for a in of) >= .9 * len(of)
+    links = near_lines(real)
+    found = sum(got[10_000 + a] == got[10_000 + b] for a, b in links)
+    assert len(links) > 20 and found >= .97 * len(links)
+
+
 def test_edit_distance():
     def slow(a, b):
         p = list(range(len(b) + 1))
