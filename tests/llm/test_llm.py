@@ -459,6 +459,20 @@ def test_page_text():
     assert page_text.main_text(None) == page_text.main_text("") == page_text.main_text("<nav>x</nav>") == ""
 
 
+def test_page_text_without_article_keeps_short_paragraphs():
+    def p(n, sign):
+        return sign * n
+    ad, foot = "<div class='ad'>Buy</div>", "<footer>me</footer>"
+    main = page_text.main_text
+    a, b, c = p(20, "a"), p(300, "b"), p(45, "c")
+    assert main(f"<p>{a}<p>{b}</p>{ad}<p>{c}</p>{foot}") == f"{a} {b} {c}"
+    assert main(f"<p>{b}</p><div class='notice'>n</div><p>{c}</p><div class='notice'>n</div><p>{b}</p>") == f"{b} {c} {b}"
+    assert main(f"<nav>n</nav><p>{a}</p>{ad}<p>{b}</p>{foot}<p>{c}</p>") == f"{a} {b}"
+    assert main(f"<p>{b}</p><p><a href='/s'>source</a></p>{foot}") == f"{b} source"
+    menu = "".join(f"<li><a href='/{i}'>home {i}</a></li>" for i in range(6))
+    assert main(f"<ul>{menu}</ul><p>{b}</p><ul>{menu}</ul><p>{c}</p>") == f"{b} {c}"
+
+
 def test_pages_query(spark):
     import html
     pages = {x["page_id"]: x["html"] for x in docs_of(spark, "pages").collect()}
