@@ -540,6 +540,16 @@ def test_pipeline_awkward(spark):
         assert docs.count() >= 0
 
 
+def test_distinct_documents_keeps_rows_without_a_copy(spark):
+    r = random.Random(7)
+    a, b, c, d = (" ".join(r.choice(WORDS) + str(r.randint(0, 99)) for _ in range(40)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (3, b + " tail"), (None, c), (None, d), (None, a), (None, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.distinct_documents(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [rows[i] for i in (0, 2, 4, 5, 7, 8)]))
+
+
 def test_every_operator_is_registered():
     names = E.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
