@@ -371,6 +371,24 @@ def test_embeddings_equal_brute_force(spark):
     assert hamming.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_mixed_widths_and_a_common_offset(spark):
+    r = np.random.default_rng(6)
+    rows, links = [], []
+    for width, many in ((64, 700), (40, 120), (6, 1)):
+        c = r.normal(size=(many, width)) + 2.0 * (width > 6)       # mean cosine 0.8
+        y = c + r.normal(size=c.shape) * .6
+        m = np.vstack([c, y])
+        u = m / np.linalg.norm(m, axis=1, keepdims=True)
+        links.append([(len(rows) + a, len(rows) + b) for a, b in zip(*np.nonzero(np.triu(u @ u.T >= .95, 1)))])
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate(m)]
+    assert len(links[0]) > 200 and len(links[1]) > 20
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {x["vec_id"]: x["n_links"] for x in hamming.near_duplicates(df).collect()}
+    for some in links[:2]:
+        n = Counter(i for e in some for i in e)
+        assert all(got[i] <= n[i] for i in n) and sum(got[i] for i in n) >= .9 * 2 * len(some)
+
+
 # -- personal data ----------------------------------------------------------
 
 PATTERNS = [re.compile(p) for p in (
