@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,11 +71,74 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df, name: str = "stage"):
-    """Write ``df`` as Parquet under the checkpoint folder and read it back:
-    the result is computed once, its lineage is cut, and every later use reads
-    files from the shared folder (no recomputation after an executor loss)."""
+# the scopes open in each thread, innermost last (streaming batches run in threads of their own)
+_OPEN = threading.local()
+
+
+class Scratch:
+    """The written tables of one piece of work. They go when the scope ends, sooner
+    with ``free``; what ``keep`` writes goes to the enclosing scope instead, so it
+    outlives the tables it was made from. Tables written outside any scope are the
+    caller's."""
+
+    def __init__(self, spark: SparkSession, parent: "Scratch | None"):
+        self.spark, self.parent, self.paths = spark, parent, []
+
+    def keep(self, df, name: str = "kept"):
+        """Write ``df`` for the caller of this piece of work."""
+        return _write(df, name, self.parent)
+
+    def free(self, *tables) -> None:
+        """Delete tables of this scope whose last reader has run."""
+        for path in {p for t in tables for p in _homes(t) if p in self.paths}:
+            self.paths.remove(path)
+            _delete(self.spark, path)
+
+    def close(self) -> None:
+        while self.paths:
+            _delete(self.spark, self.paths.pop())
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Own every table that ``materialize`` writes inside the block and delete it at
+    the end, also after a failure. A lazy frame over such a table must be written
+    (``keep``, a sink) before the block ends."""
+    scopes = _OPEN.__dict__.setdefault("scopes", [])
+    scope = Scratch(spark, scopes[-1] if scopes else None)
+    scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        scopes.remove(scope)
+        scope.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _homes(table) -> list[str]:
+    """Where ``materialize`` wrote ``table``."""
+    return getattr(table, "_written_to", [])
+
+
+def _write(df, name: str, owner: Scratch | None):
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if owner is not None:
+        owner.paths.append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._written_to = [path]
+    return out
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the checkpoint folder and read it back:
+    the result is computed once, its lineage is cut, and every later use reads
+    files from the shared folder (no recomputation after an executor loss).
+    Inside a ``scratch`` block the table belongs to it."""
+    scopes = getattr(_OPEN, "scopes", None)
+    return _write(df, name, scopes[-1] if scopes else None)
