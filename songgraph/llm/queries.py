@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songgraph.llm import bpe, hamming, linededup, minhash, packing, page_text, pii, quality, search, toxicity
+from songgraph.llm import (bpe, hamming, linededup, merkle, minhash, packing, page_text, pii, quality, search,
+                           toxicity)
 from songgraph.llm.common import fold, table
 from songgraph.session import ensure_checkpoint_dir
 
@@ -105,3 +106,63 @@ def op9_html(spark, sf_dir):
 @query("op10_bpe")
 def op10_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+_CRC = ("xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),"
+        " lambda s: ord(s)::UBIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), repeat([0::UBIGINT], 8)),"
+        " lambda d, i: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384::UBIGINT) ELSE d // 2 END)), 4294967295::UBIGINT)")
+
+
+def _leaf(n_chars: str = "n_chars") -> str:
+    texts = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """The nodes (g, lvl, pos, h) of the trees over ``leaves`` (g, pos, h), bottom up."""
+    return f"""{name} AS (
+  SELECT g, 0 AS lvl, pos, h, count(*) OVER (PARTITION BY g) AS n FROM {leaves}
+  UNION ALL
+  SELECT g, lvl, pos, h, count(*) OVER (PARTITION BY g) AS n FROM (
+    SELECT g, lvl + 1 AS lvl, pos // 2 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h
+    FROM {name} WHERE n > 1 GROUP BY g, lvl, pos // 2))"""
+
+
+def _siblings(name: str, leaves: str) -> str:
+    """Per leaf the siblings bottom up, each as its side (L, R, or N for none) and digest."""
+    return f"""(SELECT l.g, l.pos, list(CASE WHEN s.h IS NULL THEN 'N' WHEN s.pos % 2 = 0 THEN 'L' || s.h
+                       ELSE 'R' || s.h END ORDER BY a.lvl) AS path
+    FROM {leaves} l JOIN {name} a ON a.g = l.g AND a.pos = l.pos >> a.lvl AND a.n > 1
+    LEFT JOIN {name} s ON s.g = a.g AND s.lvl = a.lvl AND s.pos = xor(a.pos, 1) GROUP BY l.g, l.pos)"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf()} AS h,
+         CASE WHEN doc_id IS NOT NULL AND {_CRC} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf()} END AS claimed
+  FROM documents),
+lv AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM d),
+{_tree("t", "lv")},
+sub AS (SELECT g AS name, h FROM t WHERE n = 1),
+tl AS (SELECT '' AS g, name, row_number() OVER (ORDER BY name) - 1 AS pos, h FROM sub),
+{_tree("u", "tl")},
+lo AS {_siblings("t", "lv")},
+hi AS {_siblings("u", "tl")},
+w AS (SELECT lv.doc_id, lv.h AS leaf, lv.claimed, tl.h AS subroot, (SELECT h FROM u WHERE n = 1) AS root,
+        list_concat(coalesce(lo.path, []), coalesce(hi.path, [])) AS path
+      FROM lv JOIN tl ON tl.name = lv.g LEFT JOIN lo ON lo.g = lv.g AND lo.pos = lv.pos
+      LEFT JOIN hi ON hi.pos = tl.pos),
+f AS (SELECT *, list_reduce(list_prepend(claimed, path), lambda acc, x: sha256(
+        CASE x[1] WHEN 'L' THEN x[2:] || acc WHEN 'R' THEN acc || x[2:] ELSE acc END)) AS folded_root FROM w)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_prepend('', list_transform(path, lambda x: x[2:])),
+       'string_agg', '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM f
+"""
+
+
+@query("op11_merkle", _MERKLE)
+def op11_merkle(spark, sf_dir):
+    """The manifest of all documents, checked against a copy in which every seventh count was tampered with."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars").cast("decimal(20,0)") + 1) \
+        .otherwise(F.col("n_chars").cast("decimal(20,0)"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), claimed={"n_chars": tampered}, with_proof=False)
