@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songgraph.llm import (bpe, hamming, linededup, merkle, minhash, packing, page_text, pii, quality, search,
-                           toxicity)
+from songgraph.llm import (alignment, bpe, hamming, licenses, linededup, merkle, minhash, packing, page_text, pii,
+                           quality, search, toxicity)
 from songgraph.llm.common import fold, table
 from songgraph.session import ensure_checkpoint_dir
 
@@ -166,3 +166,60 @@ def op11_merkle(spark, sf_dir):
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars").cast("decimal(20,0)") + 1) \
         .otherwise(F.col("n_chars").cast("decimal(20,0)"))
     return merkle.manifest(table(spark, sf_dir, "documents"), claimed={"n_chars": tampered}, with_proof=False)
+
+
+@query("op12_alignment")
+def op12_alignment(spark, sf_dir):
+    """Tokens of the byte-level vocabulary aligned with those of the sentencepiece model over all documents."""
+    return alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def _licenses_sql() -> str:
+    wanted = [(n, label, len(ws), licenses.drift(len(ws)), p, w.decode())
+              for n, (label, t) in enumerate(licenses.TEMPLATES) for ws in [licenses.words(t)] for p, w in enumerate(ws)]
+    rows = ", ".join(f"({n}, '{label}', {size}, {drift}, {p}, '{w}')" for n, label, size, drift, p, w in wanted)
+    ahead = " || ' ' || ".join(["word"] + [f"lead(word, {k}) OVER o" for k in range(1, licenses.GRAM)])
+    base = " UNION ALL ".join(
+        f"SELECT r, i, '{label}' AS label FROM (SELECT r, i, "
+        + " || ' ' || ".join(["word"] + [f"lead(word, {k}) OVER o" for k in range(1, len(phrase.split()))])
+        + f" AS phrase FROM ws WINDOW o AS (PARTITION BY r ORDER BY i)) WHERE phrase = '{phrase}'"
+        for phrase, label in licenses.PHRASES)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+ws AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
+tw(t, label, size, drift, p, word) AS (VALUES {rows}),
+tg AS (SELECT t, size, drift, p, {ahead} AS gram FROM tw WINDOW o AS (PARTITION BY t ORDER BY p)),
+g AS (SELECT r, i, {ahead} AS gram FROM ws WINDOW o AS (PARTITION BY r ORDER BY i)),
+v AS (SELECT r, t, i - p AS diag, any_value(drift) AS drift, any_value(size) AS size, count(DISTINCT p) AS votes
+      FROM g JOIN tg USING (gram) GROUP BY r, t, i - p),
+n AS (SELECT *, CASE WHEN diag - lag(diag) OVER (PARTITION BY r, t ORDER BY diag) > drift THEN 1 ELSE 0 END AS new FROM v),
+k AS (SELECT *, sum(new) OVER (PARTITION BY r, t ORDER BY diag) AS run FROM n),
+c AS (SELECT r, t, run, min(diag) AS low, max(diag) AS high FROM k GROUP BY r, t, run
+      HAVING sum(votes) >= ceil({licenses.SHARE} * (any_value(size) - {licenses.GRAM - 1}))),
+y AS (SELECT c.r, c.t, c.run, any_value(label) AS label,
+        count(DISTINCT p) * 1.0::DOUBLE / (any_value(size) + any_value(high) - any_value(low)) AS likeness
+      FROM c JOIN tw ON tw.t = c.t JOIN ws ON ws.r = c.r AND ws.word = tw.word
+       AND ws.i - tw.p BETWEEN c.low AND c.high GROUP BY c.r, c.t, c.run),
+ok AS (SELECT * FROM y WHERE likeness >= {licenses.SIMILAR} - 1e-12),
+b AS ({base}),
+bs AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY r),
+al AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+       FROM (SELECT r, label FROM b UNION ALL SELECT r, label FROM ok) GROUP BY r),
+sc AS (SELECT r, max(likeness) AS likeness FROM ok GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       round(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(likeness, 0.0) END, 9) AS score
+FROM d LEFT JOIN bs USING (r) LEFT JOIN al USING (r) LEFT JOIN sc USING (r)
+"""
+
+
+@query("op13_licenses", _licenses_sql())
+def op13_licenses(spark, sf_dir):
+    """License notices of all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
+        F.round("score", 9).alias("score"))
