@@ -6,6 +6,11 @@ their byte ranges overlap. Between two neighbouring ends of either side lies exa
 overlap of an A token with a B token, so the links of a block of texts are a merge of two
 sorted arrays of ends.
 
+Neither side has a token that goes on from a printing character into white space, so
+every text falls into chunks (white space and what follows it) that both encode one by
+one, and whose borders end tokens of both. Chunks repeat; each worker keeps what it found
+for them in a bounded table. Texts that this does not hold for are aligned whole.
+
 Most groups are one A token against the B token of the same bytes. For those a map from
 A id to B id is computed once from the two vocabularies, and they are counted in vectors
 of the length of A's vocabulary, one a task, added up by id. Only the links of other
@@ -31,6 +36,10 @@ from songgraph.llm.common import materialize, ship_package
 from songgraph.session import scratch
 
 ROWS = 256                  # texts aligned at a time
+CHUNKS, LETTERS = 300_000, 1 << 24      # chunks that a worker keeps, and their letters
+SPACE = " \n\t\r"
+_CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+_OTHER_SPACE = re.compile(f"[^\\S{SPACE}]")       # white space at which texts are not cut
 
 
 class Aligner:
@@ -64,26 +73,68 @@ class Aligner:
                                 [f"{i}|".encode() for i in range(self.size_a)]], object)
         self.text_b = np.array([[f"{i},".encode() for i in range(self.size_b)],
                                 [f"{i};".encode() for i in range(self.size_b)]], object)
+        # no piece goes on into white space, so a text may be cut before it
+        inner = re.compile(f"[^{SPACE}▁][{SPACE}▁]|▁[\n\t\r]")
+        self.cuts = not any(inner.search(self.b.id_to_piece(i)) for i in range(self.size_b))
+        self.blank = self.b.piece_to_id("▁")
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the table of chunks: numbers, group text and linked pairs of each."""
+        self.known: dict[str, int] = {}
+        self.letters = 0
+        self.counts = [np.zeros((0, 5), np.int64)]      # n_a, n_b, groups, links, regular
+        self.groups: list[bytes] = []
+        self.pairs: list[np.ndarray] = []
 
     @staticmethod
     def _piece(piece: str) -> bytes:
         byte = re.fullmatch(r"<0x([0-9A-Fa-f]{2})>", piece)
         return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The ids of A for texts that begin with white space, and those of B, whose own
+        blank before a text stands for a leading space; None where it does not come off."""
+        got_a = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        got_b = []
+        for t, ids in zip(texts, self.b.encode([t[t[0] == " ":] for t in texts], num_threads=1)):
+            if t == " ":
+                ids = [self.blank]
+            elif t[0] != " ":
+                ids = ids[1:] if ids and ids[0] == self.blank else None
+            got_b.append(None if ids is None else np.array(ids, np.int64))
+        return got_a, got_b
+
     def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The ids of A and of B; no ids where the joined bytes of either are not those of
-        a space and the text."""
-        got_a = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(
-            [" " + t for t in texts], add_special_tokens=False)] if texts else []
-        got_b = [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)] if texts else []
+        """The same, without any ids where the joined bytes of either side are not the text."""
+        got_a, got_b = self.encode(texts)
         none = np.zeros(0, np.int64)
         for n, t in enumerate(texts):
-            want = b" " + t.encode()
-            if (b"".join(map(self.bytes_a.__getitem__, got_a[n].tolist())) != want
+            want = t.encode()
+            if (got_b[n] is None or b"".join(map(self.bytes_a.__getitem__, got_a[n].tolist())) != want
                     or b"".join(map(self.bytes_b.__getitem__, got_b[n].tolist())) != want):
                 got_a[n] = got_b[n] = none
         return got_a, got_b
 
+    def chunks(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The numbers of each text's chunks in the table, None if it must be aligned whole."""
+        if len(self.known) > CHUNKS or self.letters > LETTERS:
+            self.forget()
+        cut = [None if not self.cuts or _OTHER_SPACE.search(t) else _CHUNK.findall(t) for t in texts]
+        known = self.known
+        new = list({c for x in cut if x for c in x if c not in known})
+        if new:
+            self.letters += sum(map(len, new))
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            found = links_of(self, new, self.tokens(new))
+            self.counts.append(np.stack([found[c] for c in ("n_a", "n_b", "n_groups", "n_links", "n_regular")], 1))
+            self.groups += found["text"]
+            self.pairs += np.split(found["pair"], np.cumsum(found["n_links"])[:-1])
+            self.counts = [np.concatenate(self.counts)]
+        out = [None if x is None else np.fromiter(map(known.__getitem__, x), np.int64, len(x)) for x in cut]
+        bad = self.counts[0][:, 0] == 0         # a chunk that is not given back byte for byte
+        return [None if x is None or bad[x].any() else x for x in out]
+
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
 
@@ -99,34 +150,26 @@ def starts_of(sizes) -> np.ndarray:
     return np.r_[0, np.cumsum(np.asarray(sizes, np.int64))]
 
 
-def aligned(al: Aligner, texts: list[str | None]) -> dict[str, pa.Array]:
-    """The columns of ``ALIGNED`` for a block of texts."""
-    real = [n for n, t in enumerate(texts) if t]
-    got_a, got_b = al.tokens([texts[n] for n in real])
-    count_a, count_b = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    count_a[real], count_b[real] = [len(x) for x in got_a], [len(x) for x in got_b]
-    a = np.concatenate([*got_a, np.zeros(0, np.int64)])
-    b = np.concatenate([*got_b, np.zeros(0, np.int64)])
-    # the block's texts one after the other: every text ends in an end of both sides
+def links_of(al: Aligner, texts: list[str], ids: tuple[list[np.ndarray], list[np.ndarray]]) -> dict:
+    """Per text the numbers of tokens, groups, links and one-to-one groups of the same
+    bytes and its groups as text; and all links as pairs (A id * size of B + B id), the
+    texts' one after the other."""
+    many = len(texts)
+    count_a, count_b = (np.array([len(x) for x in side], np.int64) for side in ids)
+    a, b = (np.concatenate([*side, np.zeros(0, np.int64)]) for side in ids)
+    # the texts one after the other: each ends in an end of both sides
     end_a, end_b = np.cumsum(al.length_a[a]), np.cumsum(al.length_b[b])
-    doc_a = np.repeat(np.arange(len(texts)), count_a)
+    doc_a = np.repeat(np.arange(many), count_a)
 
     ends = np.intersect1d(end_a, end_b, assume_unique=True)
     group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
     in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
     last_a, last_b = starts_of(in_a)[1:] - 1, starts_of(in_b)[1:] - 1       # of each group
-    groups = np.bincount(doc_a[last_a], minlength=len(texts))
 
     cuts = np.union1d(end_a, end_b)                 # one link ends at each
     link_a, link_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
     doc, ida, idb, group = doc_a[link_a], a[link_a], b[link_b], group_a[link_a]
-    links = np.bincount(doc, minlength=len(texts))
-    # same bytes: counted by A id, also where the two overlap in a larger group
-    plain = al.same[ida] == idb
-    fast, fast_n = np.unique(doc[plain] * al.size_a + ida[plain], return_counts=True)
-    span = al.size_a * al.size_b
-    pair, pair_n = np.unique(doc[~plain] * span + ida[~plain] * al.size_b + idb[~plain], return_counts=True)
-    regular = np.bincount(doc[plain & (in_a[group] == 1) & (in_b[group] == 1)], minlength=len(texts))
+    regular = (al.same[ida] == idb) & (in_a[group] == 1) & (in_b[group] == 1)
 
     text = np.empty(len(a) + len(b), object)
     text[np.arange(len(a)) + (starts_of(in_b)[:-1])[group_a]] = \
@@ -134,19 +177,59 @@ def aligned(al: Aligner, texts: list[str | None]) -> dict[str, pa.Array]:
     text[np.arange(len(b)) + (starts_of(in_a)[1:])[group_b]] = \
         al.text_b[(np.arange(len(b)) == last_b[group_b]).astype(np.int64), b]
     at = starts_of(count_a + count_b)
-    digests = [hashlib.sha256(b"".join(text[at[n]:at[n + 1]].tolist())[:-1]).hexdigest() if count_a[n] else ""
-               for n in range(len(texts))]
-
-    def lists(docs, values, kind):
-        return pa.ListArray.from_arrays(
-            pa.array(starts_of(np.bincount(docs, minlength=len(texts))), pa.int32()), pa.array(values, kind))
-
-    return {"n_a": pa.array(count_a), "n_b": pa.array(count_b), "n_groups": pa.array(groups),
-            "n_links": pa.array(links), "n_regular": pa.array(regular), "groups_sha256": pa.array(digests, pa.string()),
-            "fast": lists(fast // al.size_a, fast % al.size_a, pa.int32()),
-            "fast_n": lists(fast // al.size_a, fast_n, pa.int32()),
-            "pair": lists(pair // span, pair % span, pa.int64()),
-            "pair_n": lists(pair // span, pair_n, pa.int32())}
+    return {"n_a": count_a, "n_b": count_b, "n_groups": np.bincount(doc_a[last_a], minlength=many),
+            "n_links": np.bincount(doc, minlength=many), "n_regular": np.bincount(doc[regular], minlength=many),
+            "text": [b"".join(text[at[n]:at[n + 1]].tolist()) for n in range(many)], "pair": ida * al.size_b + idb}
+
+
+def aligned(al: Aligner, texts: list[str | None]) -> dict[str, pa.Array]:
+    """The columns of ``ALIGNED`` for a block of texts."""
+    many = len(texts)
+    counts, digests = np.zeros((many, 5), np.int64), [""] * many
+    docs, pairs, weights = [], [], []
+    real = [n for n, t in enumerate(texts) if t]
+    cut = dict(zip(real, al.chunks([" " + texts[n] for n in real])))
+    table = al.counts[0]
+    for n, x in cut.items():
+        if x is not None:
+            counts[n] = table[x].sum(0)
+            digests[n] = hashlib.sha256(b"".join([al.groups[i] for i in x.tolist()])[:-1]).hexdigest()
+            kinds, times = np.unique(x, return_counts=True)
+            held = [al.pairs[i] for i in kinds.tolist()]
+            sizes = table[kinds, 3]
+            docs.append(np.full(int(sizes.sum()), n))
+            pairs += held
+            weights.append(np.repeat(times, sizes))
+    whole = [n for n, x in cut.items() if x is None]
+    if whole:
+        these = [" " + texts[n] for n in whole]
+        found = links_of(al, these, al.tokens(these))
+        for k, n in enumerate(whole):
+            counts[n] = [found[c][k] for c in ("n_a", "n_b", "n_groups", "n_links", "n_regular")]
+            if found["text"][k]:
+                digests[n] = hashlib.sha256(found["text"][k][:-1]).hexdigest()
+        docs.append(np.repeat(np.array(whole), found["n_links"]))
+        pairs.append(found["pair"])
+        weights.append(np.ones(len(found["pair"]), np.int64))
+    none = np.zeros(0, np.int64)
+    doc, pair, weight = (np.concatenate([*x, none]) for x in (docs, pairs, weights))
+    # same bytes: counted by A id, also where the two overlap in a larger group
+    ida = pair // al.size_b
+    plain = al.same[ida] == pair % al.size_b
+
+    def lists(doc, value, weight, size, kind):
+        """Per text its distinct values, and how often it has each."""
+        keys, where = np.unique(doc * size + value, return_inverse=True)
+        times = np.bincount(where, weight, minlength=len(keys)).astype(np.int64)
+        offsets = pa.array(starts_of(np.bincount(keys // size, minlength=many)), pa.int32())
+        return (pa.ListArray.from_arrays(offsets, pa.array(keys % size, kind)),
+                pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())))
+
+    fast = lists(doc[plain], ida[plain], weight[plain], al.size_a, pa.int32())
+    rest = lists(doc[~plain], pair[~plain], weight[~plain], al.size_a * al.size_b, pa.int64())
+    return {**{c: pa.array(counts[:, k]) for k, c in enumerate(("n_a", "n_b", "n_groups", "n_links", "n_regular"))},
+            "groups_sha256": pa.array(digests, pa.string()), "fast": fast[0], "fast_n": fast[1],
+            "pair": rest[0], "pair_n": rest[1]}
 
 
 ALIGNED = ("n_a long, n_b long, n_groups long, n_links long, n_regular long, groups_sha256 string, "
