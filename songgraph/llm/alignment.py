@@ -318,7 +318,8 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", te
         inside = rows.select("row", "fast", "fast_n").mapInArrow(score, "row long, good long, total long")
         each = rows.select("row", F.explode(F.arrays_zip("pair", "pair_n")).alias("x")) \
             .select("row", F.col("x.pair").alias("pair"), F.col("x.pair_n").alias("many"))
-        outside = each.join(materialize(pairs, "pair-marks"), "pair").groupBy("row").agg(
+        # a merge join at every size: the pairs of the corpus have no bound that fits a broadcast
+        outside = each.join(materialize(pairs, "pair-marks").hint("merge"), "pair").groupBy("row").agg(
             F.sum(F.when(F.col("best"), F.col("many")).otherwise(0)).cast("long").alias("good"),
             F.sum(F.col("many") * F.col("n")).alias("total"))
         sums = inside.unionByName(outside).groupBy("row").agg(
