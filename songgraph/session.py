@@ -85,8 +85,21 @@ class Scratch:
         self.spark, self.parent, self.paths = spark, parent, []
 
     def keep(self, df, name: str = "kept"):
-        """Write ``df`` for the caller of this piece of work."""
-        return _write(df, name, self.parent)
+        """Write ``df`` for the caller of this piece of work; a table of this scope is
+        handed over as it is."""
+        homes = _homes(df)
+        if not homes or any(p not in self.paths for p in homes):
+            return _write(df, name, self.parent)
+        for path in homes:
+            self.paths.remove(path)
+            if self.parent is not None:
+                self.parent.paths.append(path)
+        return df
+
+    def folder(self, name: str) -> str:
+        """A new folder that goes with this scope."""
+        self.paths.append(new_folder(self.spark, name))
+        return self.paths[-1]
 
     def free(self, *tables) -> None:
         """Delete tables of this scope whose last reader has run."""
@@ -114,9 +127,20 @@ def scratch(spark: SparkSession):
         scope.close()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop path and its file system (the driver's view of any store)."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where, fs = file_system(spark, path)
+    fs.delete(where, True)
 
 
 def _homes(table) -> list[str]:
@@ -126,7 +150,7 @@ def _homes(table) -> list[str]:
 
 def _write(df, name: str, owner: Scratch | None):
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     if owner is not None:
         owner.paths.append(path)
     df.write.mode("overwrite").parquet(path)
