@@ -81,27 +81,28 @@ def sample_ids(labels: DataFrame, key: str, limit: int) -> DataFrame:
         F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)), F.col(key)).limit(limit)
 
 
-FILTER_BITS = 1 << 24
+MOST_BITS = 1 << 28         # of a bit set: 32 MB, collected as 8 million numbers in Arrow form
 
 
 def id_filter(ids: DataFrame, key: str) -> np.ndarray:
-    """A bit set of fixed size (2 MB) that marks the remainders of the given integer ids;
-    what it lets through still needs an exact join. It reaches the driver as at most
-    FILTER_BITS / 32 numbers, however many ids there are."""
-    at = F.pmod(F.col(key), F.lit(FILTER_BITS))
+    """A bit set that marks the remainders of the given integer ids (a written table);
+    what it lets through still needs an exact join. It has eight bits or more for each
+    row, from 2^16 up to MOST_BITS; beyond 30 million ids it lets more and more through,
+    which costs shuffled rows only."""
+    bits = 1 << min(max((8 * ids.count()).bit_length(), 16), MOST_BITS.bit_length() - 1)
+    at = F.pmod(F.col(key), F.lit(bits))
     words = (ids.select((at / 32).cast("int").alias("w"), (at % 32).cast("int").alias("r"))
-             .groupBy("w").agg(F.expr("bit_or(shiftleft(1L, r))").alias("v")).collect())
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for w, v in words:
-        out[w] = v
+             .groupBy("w").agg(F.expr("bit_or(shiftleft(1L, r))").alias("v"))).toArrow()
+    out = np.zeros(bits // 32, np.uint32)
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy()
     return out
 
 
 def may_hold(bits: np.ndarray, ids) -> np.ndarray:
     """Which of the ids (integers; in a list, None never) the bit set lets through."""
     if isinstance(ids, np.ndarray):
-        at = ids % FILTER_BITS
+        at = ids % (32 * len(bits))
         return ((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1) == 1
-    at = np.array([0 if i is None else i for i in ids], np.int64) % FILTER_BITS
+    at = np.array([0 if i is None else i for i in ids], np.int64) % (32 * len(bits))
     return (((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1) == 1) \
         & np.array([i is not None for i in ids], bool)

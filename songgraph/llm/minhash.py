@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from songgraph.llm.common import id_filter, map_rows, materialize, may_hold
 from songgraph.llm.components import cluster
+from songgraph.session import scratch
 
 BANDS, ROWS, BATCH = 30, 5, 30      # a pair at similarity 0.8 shares no band with odds 7e-6
 HASHES = BANDS * ROWS
@@ -97,28 +98,35 @@ def prune(pairs: DataFrame, signs: DataFrame, threshold: float, miss: float) ->
     return map_rows(both, run, "a long, b long", rows=4096)
 
 
-def shingle_sets(nodes: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(node, set) for the given nodes (a written table), read from their texts."""
-    bits = id_filter(nodes, "node")
+def shingle_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """(node, set) for the given nodes: the texts of their classes' least ids are read again
+    and told apart by the digest of their sets."""
+    wanted = materialize(classes.join(nodes.select("node").distinct(), "node", "left_semi"), "wanted-sets")
+    bits = id_filter(wanted, "least")
 
     def grams(cols):
-        pick = np.flatnonzero(may_hold(bits, cols[key]))
-        return {"node": [cols[key][i] for i in pick],
-                "set": [shingles(cols[text][i], width).tobytes() for i in pick]}
+        out = {"same": [], "set": []}
+        for i in np.flatnonzero(may_hold(bits, cols[key])):
+            g = shingles(cols[text][i], width).tobytes()
+            if g:
+                out["same"].append(xxhash.xxh3_128_digest(g))
+                out["set"].append(g)
+        return out
 
-    sets = map_rows(docs.select(key, text), grams, "node long, set binary")
-    return materialize(sets.join(nodes, "node", "left_semi").dropDuplicates(["node", "set"]), "shingle-sets")
+    sets = map_rows(docs.select(key, text), grams, "same binary, set binary")
+    return materialize(sets.join(wanted, "same").select("node", "set").dropDuplicates(["node"]), "shingle-sets")
 
 
 def alike(shared, x: int, y: int, percent: int):
     return 100 * shared >= percent * (x + y - shared)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int,
+           percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the similarity. ``pairs`` is a written
     table. Sets come from the texts of the pairs' documents only."""
     wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
-    sets = shingle_sets(wanted, docs, key, text, width)
+    sets = shingle_sets(wanted, classes, docs, key, text, width)
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
 
@@ -135,7 +143,7 @@ def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, p
     return map_rows(both, run, "a long, b long")
 
 
-def compare_crowds(members: DataFrame, docs: DataFrame, key: str, text: str, width: int,
+def compare_crowds(members: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int,
                    percent: int, block: int = 256) -> DataFrame:
     """Links between the components of a crowd. ``members``: (node, crowd, part). Every
     member outside the crowd's largest component meets every member of another one, in
@@ -146,7 +154,7 @@ def compare_crowds(members: DataFrame, docs: DataFrame, key: str, text: str, wid
                                          F.max(F.struct("n", "part"))["part"].alias("main"),
                                          F.max("n").alias("most")).where("parts > 1"))
     mine = materialize(members.join(crowds, "crowd"), "crowd-members")
-    sets = shingle_sets(mine.select("node").distinct(), docs, key, text, width)
+    sets = shingle_sets(mine, classes, docs, key, text, width)
     rows = mine.join(sets, "node")
     slots = F.ceil(F.col("all") / block).cast("int")
     probes = F.ceil((F.col("all") - F.col("most")) / block).cast("int")
@@ -193,10 +201,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     """One row per input row: key, n_shingles, component_id (least id reachable over
     links of similarity >= percent / 100), kept (the id is its component's).
 
+    A node is a distinct shingle set, known by its 128-bit digest; ids are joined to nodes
+    at the end, so each text of an id given to several is pruned and verified by itself.
     Texts without words (null, empty, blank) link with nothing. Rows sharing an id are
     one document: their components are joined. Rows with a null id are not linked and
     get a null component and kept = false. Other columns are ignored; an empty table
-    gives an empty result. ``docs`` is read twice; the id must be an integer."""
+    gives an empty result. ``docs`` is read twice; the id must be an integer. The result is
+    a written table."""
     docs = docs.select(F.col(key).cast("long").alias(key), text)
 
     def sign(cols):
@@ -208,12 +219,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             out["sign"].append(signature(g).tobytes() if len(g) else None)
         return out
 
-    rows = materialize(map_rows(docs, sign, f"`{key}` long, n_shingles long, same binary, sign binary"),
-                       "signatures")
-    known = rows.where(F.col("same").isNotNull() & F.col(key).isNotNull())
-    classes = materialize(known.groupBy("same").agg(F.min(key).alias("node")), "classes")
-    least = known.join(classes, "same")
-
     def shorten(cols):
         band = struct.Struct("<" + "q" * BANDS)
         out = {"node": cols["node"], "bands": [], "short": [], "sketch": []}
@@ -227,29 +232,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             out["sketch"].append(np.packbits(np.pad(low & 1, (0, -HASHES % 64))).view(np.int64).tolist())
         return out
 
-    signs = materialize(map_rows(least.where(F.col(key) == F.col("node")).dropDuplicates(["node", "same"])
-                                 .select("node", "sign"), shorten,
-                                 "node long, bands array<long>, short binary, sketch array<long>")
-                        , "class-signatures")
-    one = signs.groupBy("node").agg(F.min("short").alias("short"))   # an id given to several texts
-    bands = signs.select("node", "sketch", F.explode("bands").alias("band"))
     differ = HASHES - least_matches(percent / 100, miss, bits=1)[-1]
 
     def near(x, y):         # the last test of the sequence on one-bit signatures, inside the join
         return sum(F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(-(-HASHES // 64))) <= differ
 
-    # rows sharing an id but not a text join their classes
-    several = least.groupBy(key).agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n")) \
-        .where("n > 1 and a < b").select(key)
-    same_id = least.join(several, key).select(F.col(key).alias("a"), F.col("node").alias("b")).where("a <> b")
-
-    labels = cluster(bands, lambda pairs: materialize(verify(pairs, docs, key, text, width, percent), "verified"),
-                     lambda pairs: prune(pairs, one, percent / 100, miss),
-                     lambda members: compare_crowds(members, docs, key, text, width, percent),
-                     same_id, "sketch", near)
-    out = (rows.select(key, "n_shingles", "same").join(classes, "same", "left")
-           .join(labels, "node", "left")
-           .withColumn("component_id", F.when(F.col(key).isNotNull(), F.coalesce("label", "node", key))))
-    return out.select(key, "n_shingles", "component_id",
-                      F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)).alias("kept"))
-
+    with scratch(docs.sparkSession) as own:
+        rows = materialize(map_rows(docs, sign, f"`{key}` long, n_shingles long, same binary, sign binary"),
+                           "signatures")
+        known = rows.where(F.col("same").isNotNull() & F.col(key).isNotNull())
+        classes = materialize(known.groupBy("same").agg(F.min(key).alias("least"))
+                              .withColumn("node", F.monotonically_increasing_id()), "classes")
+        heads = known.select(F.col(key).alias("least"), "same", "sign").join(classes, ["least", "same"]) \
+            .dropDuplicates(["node"])
+        signs = materialize(map_rows(heads.select("node", "sign"), shorten,
+                                     "node long, bands array<long>, short binary, sketch array<long>"),
+                            "class-signatures")
+        bands = signs.select("node", "sketch", F.explode("bands").alias("band"))
+
+        # an id given to several texts joins their nodes
+        each = known.select(key, "same").join(classes.select("same", "node"), "same").groupBy(key, "node").agg(F.lit(1))
+        several = each.groupBy(key).agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
+        same_id = several.select(key, "a").join(each, key).select("a", F.col("node").alias("b")).where("a <> b")
+
+        labels = cluster(
+            bands, lambda pairs: materialize(verify(pairs, classes, docs, key, text, width, percent), "verified"),
+            lambda pairs: prune(pairs, signs.select("node", "short"), percent / 100, miss),
+            lambda members: compare_crowds(members, classes, docs, key, text, width, percent),
+            same_id, "sketch", near)
+        found = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        heads = found.groupBy("label").agg(F.min("least").alias("component"))
+        member = found.join(heads, "label").select("same", "component")
+        out = rows.select(key, "n_shingles", "same").join(member, "same", "left").withColumn(
+            "component_id", F.when(F.col(key).isNotNull(), F.coalesce("component", key)))
+        return own.keep(out.select(key, "n_shingles", "component_id",
+                                   F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)).alias("kept")),
+                        "near-duplicates")
