@@ -7,6 +7,7 @@ already set on the session.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import threading
@@ -108,8 +109,12 @@ class Scratch:
             _delete(self.spark, path)
 
     def close(self) -> None:
+        """Delete what is left, and have the driver collect the frames that are gone, upon
+        which Spark removes their shuffle files from the executors' disks."""
         while self.paths:
             _delete(self.spark, self.paths.pop())
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
 
 @contextmanager
