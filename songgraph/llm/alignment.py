@@ -23,6 +23,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from songgraph.session import scratch
 
 ROWS = 256                  # texts aligned at a time
 CHUNKS, LETTERS = 300_000, 1 << 24      # chunks that a worker keeps, and their letters
-SPACE = " \n\t\r"
+SPACE = " \n\t"              # not the carriage return: B has pieces that end in one
 _CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _OTHER_SPACE = re.compile(f"[^\\S{SPACE}]")       # white space at which texts are not cut
 
@@ -74,7 +75,7 @@ class Aligner:
         self.text_b = np.array([[f"{i},".encode() for i in range(self.size_b)],
                                 [f"{i};".encode() for i in range(self.size_b)]], object)
         # no piece goes on into white space, so a text may be cut before it
-        inner = re.compile(f"[^{SPACE}▁][{SPACE}▁]|▁[\n\t\r]")
+        inner = re.compile(f"[^{SPACE}▁][{SPACE}▁]|▁[\n\t]")
         self.cuts = not any(inner.search(self.b.id_to_piece(i)) for i in range(self.size_b))
         self.blank = self.b.piece_to_id("▁")
         self.forget()
@@ -83,38 +84,45 @@ class Aligner:
         """Empty the table of chunks: numbers, group text and linked pairs of each."""
         self.known: dict[str, int] = {}
         self.letters = 0
-        self.counts = [np.zeros((0, 5), np.int64)]      # n_a, n_b, groups, links, regular
+        self.counts = np.zeros((0, 5), np.int64)        # n_a, n_b, groups, links, regular
         self.groups: list[bytes] = []
-        self.pairs: list[np.ndarray] = []
+        self.first = np.zeros(0, np.int64)              # of each chunk's pairs
+        self.pairs = np.zeros(0, np.int64)
 
     @staticmethod
     def _piece(piece: str) -> bytes:
         byte = re.fullmatch(r"<0x([0-9A-Fa-f]{2})>", piece)
         return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The ids of A for texts that begin with white space, and those of B, whose own
-        blank before a text stands for a leading space; None where it does not come off."""
-        got_a = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        got_b = []
-        for t, ids in zip(texts, self.b.encode([t[t[0] == " ":] for t in texts], num_threads=1)):
-            if t == " ":
-                ids = [self.blank]
-            elif t[0] != " ":
-                ids = ids[1:] if ids and ids[0] == self.blank else None
-            got_b.append(None if ids is None else np.array(ids, np.int64))
-        return got_a, got_b
-
-    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The same, without any ids where the joined bytes of either side are not the text."""
-        got_a, got_b = self.encode(texts)
-        none = np.zeros(0, np.int64)
-        for n, t in enumerate(texts):
-            want = t.encode()
-            if (got_b[n] is None or b"".join(map(self.bytes_a.__getitem__, got_a[n].tolist())) != want
-                    or b"".join(map(self.bytes_b.__getitem__, got_b[n].tolist())) != want):
-                got_a[n] = got_b[n] = none
-        return got_a, got_b
+    def encode(self, texts: list[str]) -> list[list[list[int]]]:
+        """The ids of A and of B for texts that begin with white space. B puts a blank of
+        its own before a text: it stands for a leading space, and comes off elsewhere."""
+        got_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        got_b = self.b.encode([t[t[0] == " ":] for t in texts], num_threads=1)
+        for n in [n for n, t in enumerate(texts) if t[0] != " " or t == " "]:
+            if texts[n] == " ":
+                got_b[n] = [self.blank]
+            else:                   # without that blank the bytes will not agree
+                got_b[n] = got_b[n][1:] if got_b[n] and got_b[n][0] == self.blank else []
+        return [got_a, got_b]
+
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of A and of B: the number of ids of each text, and all ids one after the other;
+        none for a text that the joined bytes of either side do not give back."""
+        sides, good = self.encode(texts), np.ones(len(texts), bool)
+        want = [t.encode() for t in texts]
+        out = []
+        for ids, known, length in zip(sides, (self.bytes_a, self.bytes_b), (self.length_a, self.length_b)):
+            many = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(many.sum()))
+            out.append((many, flat))
+            ends = np.cumsum(np.r_[0, length[flat]])[starts_of(many)]
+            same = np.diff(ends) == np.fromiter(map(len, want), np.int64, len(want))
+            if not (same.all() and b"".join(map(known.__getitem__, flat.tolist())) == b"".join(want)):
+                good &= [b"".join(map(known.__getitem__, x)) == w for x, w in zip(ids, want)]
+        if not good.all():
+            out = [(many * good, flat[np.repeat(good, many)]) for many, flat in out]
+        return out
 
     def chunks(self, texts: list[str]) -> list[np.ndarray | None]:
         """The numbers of each text's chunks in the table, None if it must be aligned whole."""
@@ -127,12 +135,12 @@ class Aligner:
             self.letters += sum(map(len, new))
             known.update(zip(new, range(len(known), len(known) + len(new))))
             found = links_of(self, new, self.tokens(new))
-            self.counts.append(np.stack([found[c] for c in ("n_a", "n_b", "n_groups", "n_links", "n_regular")], 1))
+            self.counts = np.concatenate([self.counts, found["counts"]])
             self.groups += found["text"]
-            self.pairs += np.split(found["pair"], np.cumsum(found["n_links"])[:-1])
-            self.counts = [np.concatenate(self.counts)]
+            self.first = np.r_[self.first, len(self.pairs) + starts_of(found["counts"][:, 3])[:-1]]
+            self.pairs = np.concatenate([self.pairs, found["pair"]])
         out = [None if x is None else np.fromiter(map(known.__getitem__, x), np.int64, len(x)) for x in cut]
-        bad = self.counts[0][:, 0] == 0         # a chunk that is not given back byte for byte
+        bad = self.counts[:, 0] == 0            # a chunk that is not given back byte for byte
         return [None if x is None or bad[x].any() else x for x in out]
 
 
@@ -150,23 +158,24 @@ def starts_of(sizes) -> np.ndarray:
     return np.r_[0, np.cumsum(np.asarray(sizes, np.int64))]
 
 
-def links_of(al: Aligner, texts: list[str], ids: tuple[list[np.ndarray], list[np.ndarray]]) -> dict:
-    """Per text the numbers of tokens, groups, links and one-to-one groups of the same
+def links_of(al: Aligner, texts: list[str], ids: list[tuple[np.ndarray, np.ndarray]]) -> dict:
+    """Per text the numbers (counts) of tokens, groups, links and one-to-one groups of the same
     bytes and its groups as text; and all links as pairs (A id * size of B + B id), the
     texts' one after the other."""
     many = len(texts)
-    count_a, count_b = (np.array([len(x) for x in side], np.int64) for side in ids)
-    a, b = (np.concatenate([*side, np.zeros(0, np.int64)]) for side in ids)
+    (count_a, a), (count_b, b) = ids
     # the texts one after the other: each ends in an end of both sides
     end_a, end_b = np.cumsum(al.length_a[a]), np.cumsum(al.length_b[b])
     doc_a = np.repeat(np.arange(many), count_a)
 
-    ends = np.intersect1d(end_a, end_b, assume_unique=True)
+    every = np.sort(np.concatenate([end_a, end_b]), kind="stable")          # of two sorted runs
+    again = np.r_[every[1:] == every[:-1], False] if len(every) else np.zeros(0, bool)
+    ends, cuts = every[again], every[~again]
     group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
     in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
     last_a, last_b = starts_of(in_a)[1:] - 1, starts_of(in_b)[1:] - 1       # of each group
 
-    cuts = np.union1d(end_a, end_b)                 # one link ends at each
+    # one link ends at each end of either side
     link_a, link_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
     doc, ida, idb, group = doc_a[link_a], a[link_a], b[link_b], group_a[link_a]
     regular = (al.same[ida] == idb) & (in_a[group] == 1) & (in_b[group] == 1)
@@ -177,9 +186,10 @@ def links_of(al: Aligner, texts: list[str], ids: tuple[list[np.ndarray], list[np
     text[np.arange(len(b)) + (starts_of(in_a)[1:])[group_b]] = \
         al.text_b[(np.arange(len(b)) == last_b[group_b]).astype(np.int64), b]
     at = starts_of(count_a + count_b)
-    return {"n_a": count_a, "n_b": count_b, "n_groups": np.bincount(doc_a[last_a], minlength=many),
-            "n_links": np.bincount(doc, minlength=many), "n_regular": np.bincount(doc[regular], minlength=many),
-            "text": [b"".join(text[at[n]:at[n + 1]].tolist()) for n in range(many)], "pair": ida * al.size_b + idb}
+    counts = [count_a, count_b, *(np.bincount(x, minlength=many) for x in (doc_a[last_a], doc, doc[regular]))]
+    bounds, flat = at.tolist(), text.tolist()
+    return {"counts": np.stack(counts, 1), "pair": ida * al.size_b + idb,
+            "text": [b"".join(flat[x:y]) for x, y in zip(bounds, bounds[1:])]}
 
 
 def aligned(al: Aligner, texts: list[str | None]) -> dict[str, pa.Array]:
@@ -189,26 +199,26 @@ def aligned(al: Aligner, texts: list[str | None]) -> dict[str, pa.Array]:
     docs, pairs, weights = [], [], []
     real = [n for n, t in enumerate(texts) if t]
     cut = dict(zip(real, al.chunks([" " + texts[n] for n in real])))
-    table = al.counts[0]
+    table = al.counts
     for n, x in cut.items():
         if x is not None:
             counts[n] = table[x].sum(0)
             digests[n] = hashlib.sha256(b"".join([al.groups[i] for i in x.tolist()])[:-1]).hexdigest()
             kinds, times = np.unique(x, return_counts=True)
-            held = [al.pairs[i] for i in kinds.tolist()]
             sizes = table[kinds, 3]
-            docs.append(np.full(int(sizes.sum()), n))
-            pairs += held
+            at = np.arange(sizes.sum()) + np.repeat(al.first[kinds] - starts_of(sizes)[:-1], sizes)
+            docs.append(np.full(len(at), n))
+            pairs.append(al.pairs[at])
             weights.append(np.repeat(times, sizes))
     whole = [n for n, x in cut.items() if x is None]
     if whole:
         these = [" " + texts[n] for n in whole]
         found = links_of(al, these, al.tokens(these))
         for k, n in enumerate(whole):
-            counts[n] = [found[c][k] for c in ("n_a", "n_b", "n_groups", "n_links", "n_regular")]
+            counts[n] = found["counts"][k]
             if found["text"][k]:
                 digests[n] = hashlib.sha256(found["text"][k][:-1]).hexdigest()
-        docs.append(np.repeat(np.array(whole), found["n_links"]))
+        docs.append(np.repeat(np.array(whole), found["counts"][:, 3]))
         pairs.append(found["pair"])
         weights.append(np.ones(len(found["pair"]), np.int64))
     none = np.zeros(0, np.int64)
