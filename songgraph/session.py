@@ -108,13 +108,17 @@ class Scratch:
             self.paths.remove(path)
             _delete(self.spark, path)
 
+    def sweep(self) -> None:
+        """Have the driver collect the frames that are gone, upon which Spark removes their
+        shuffle files from the executors' disks. For work of many large shuffles: left to
+        itself, the driver collects when its own memory is short."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def close(self) -> None:
-        """Delete what is left, and have the driver collect the frames that are gone, upon
-        which Spark removes their shuffle files from the executors' disks."""
+        """Delete what is left."""
         while self.paths:
             _delete(self.spark, self.paths.pop())
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
 
 
 @contextmanager
