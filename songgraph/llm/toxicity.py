@@ -46,12 +46,15 @@ class Model:
 
 
 def segments(model: Model, words: list[str]) -> list[tuple[float, int, int]]:
-    """All maximal scoring segments (score, first token, end token) in one scan. Runs
-    of tokens without evidence are passed as one step of their summed drift."""
+    """All maximal scoring segments (score, first token, end token) in one linear scan.
+    Runs of tokens without evidence are passed as one step of their summed drift. Each
+    candidate keeps the place of the nearest earlier one that starts lower, so a search
+    passes no candidate twice; when none starts lower, no later segment can reach back
+    over this point, and the candidates so far are final."""
     get, out = model.score.get, []
-    # stack of candidate segments: [sum before, sum after, first, end]
+    # stack of candidate segments: (sum before, sum after, first, end, nearest lower start)
     total, last = 0.0, 0
-    stack: list[tuple[float, float, int, int]] = []
+    stack: list[tuple[float, float, int, int, int]] = []
     for i, s in enumerate(map(get, words)):
         if i and words[i] == words[i - 1]:      # a word said again at once is no new evidence
             continue
@@ -72,15 +75,17 @@ def segments(model: Model, words: list[str]) -> list[tuple[float, int, int]]:
         while True:
             j = len(stack) - 1
             while j >= 0 and stack[j][0] >= left:
-                j -= 1
-            if j < 0 or stack[j][1] >= right:
-                stack.append((left, right, first, end))
+                j = stack[j][4]
+            if j < 0:
+                out += [(y - x, a, b) for x, y, a, b, _ in stack]
+                stack = [(left, right, first, end, -1)]
+                break
+            if stack[j][1] >= right:
+                stack.append((left, right, first, end, j))
                 break
             left, first = stack[j][0], stack[j][2]
             del stack[j:]
-    for left, right, first, end in stack:
-        out.append((right - left, first, end))
-    return out
+    return out + [(y - x, a, b) for x, y, a, b, _ in stack]
 
 
 def evidence(model: Model, found, n: int) -> tuple[float, float]:
@@ -102,11 +107,10 @@ def score_text(model: Model, text: str) -> tuple[float, list[tuple[float, int, i
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-          label: str = "toxic", sample: int = 20_000, vocabulary: int = 20_000,
-          least_docs: int = 3, prior: float = 5.0) -> Model:
+          label: str = "toxic", sample: int = 20_000, least_docs: int = 3, prior: float = 5.0) -> Model:
     """Fit on at most ``sample`` labelled documents, chosen by a hash of the id, and keep
-    at most ``vocabulary`` tokens and stems, those with the clearest log-odds (over
-    1.25 sqrt(ln n) standard errors for n documents, as noise grows with their number).
+    all their tokens and stems with clear log-odds (over 1.25 sqrt(ln n) standard errors
+    for n documents, as noise grows with their number).
     Rows with a null key, label or text are left out; with one class only, the scores are
     flat."""
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()) \
@@ -137,30 +141,31 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     a1, a0 = F.col("c1") + 1 + prior * share, F.col("c0") + 1 + prior * share
     odds = F.log(a1 / (n1 + prior + 2 - a1)) - F.log(a0 / (n0 + prior + 2 - a0))
     table = (counts.select("w", odds.alias("s"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
-             .where(F.abs("z") > 1.25 * math.sqrt(math.log(n0 + n1))).orderBy(F.abs("z").desc(), "w").limit(vocabulary).collect())
+             .where(F.abs("z") > 1.25 * math.sqrt(math.log(n0 + n1))).select("w", "s").collect())
     model.score = {r["w"]: max(-2.0, min(6.0, r["s"])) for r in table}
 
     def measure(cols):
-        out = {"y": [], "n": [], "best": [], "all": [], "up": []}
-        for y, t in zip(cols["_y"], cols[text]):
+        out = {"y": cols["_y"], "n": [], "best": []}
+        for t in cols[text]:
             words = tokens(t)
-            found = [s for s, _, _ in segments(model, words)]
-            out["y"].append(y)
             out["n"].append(len(words))
-            out["best"].append(max(found, default=0.0))
-            out["all"].append(found)
-            out["up"].append(sum(found))
+            out["best"].append(max((s for s, _, _ in segments(model, words)), default=0.0))
         return out
 
-    seen = map_rows(rows, measure, "y int, n long, best double, all array<double>, up double")
-    seen = seen.select("y", "n", "best", F.slice(F.sort_array("all", False), 1, 64).alias("all")).collect()
+    seen = map_rows(rows, measure, "y int, n long, best double").collect()
     clean = [(r["n"], r["best"]) for r in seen if r["y"] == 0 and r["n"] > 1]
     best = np.array([b for _, b in clean if b > 0])
     if len(best) > 20:      # Gumbel moments of the best segment in clean text that has one
         model.decay = float(np.clip(math.pi / math.sqrt(6 * max(best.var(), 1e-3)), .2, 3))
         model.log_k = float(model.decay * best.mean() - 0.5772
                             - np.mean([math.log(n) for n, b in clean if b > 0]))
-    x = np.array([[1.0, *evidence(model, [(s, 0, 0) for s in r["all"]], r["n"])] for r in seen])
+
+    def weigh(cols):            # under the law just fitted
+        got = [evidence(model, segments(model, words), len(words)) for words in map(tokens, cols[text])]
+        return {"y": cols["_y"], "best": [a for a, _ in got], "every": [b for _, b in got]}
+
+    seen = map_rows(rows, weigh, "y int, best double, every double").collect()
+    x = np.array([[1.0, r["best"], r["every"]] for r in seen])
     model.weight = logistic(x, np.array([r["y"] for r in seen], float))
     return model
 
