@@ -160,6 +160,21 @@ def test_segments_equal_brute_force():
 
 # -- packing ----------------------------------------------------------------
 
+def test_segments_take_linear_time():
+    """Alternating evidence keeps every candidate open, falling evidence closes each."""
+    import time
+    model = toxicity.Model(score={"up": 1.0, "down": -0.9, "sink": -1.2})
+    for pair in (("up", "down"), ("up", "sink")):
+        took = []
+        for many in (20_000, 80_000):
+            words = [f"{w}" for _ in range(many) for w in pair]
+            start = time.process_time()
+            found = toxicity.segments(model, words)
+            took.append(time.process_time() - start)
+            assert found
+        assert took[1] < 12 * took[0] + .2, (pair, took)
+
+
 def well_packed(rows, capacity):
     at = defaultdict(list)
     for x in rows:
@@ -530,6 +545,25 @@ def test_page_text_without_article_keeps_short_paragraphs():
     assert main(f"<ul>{menu}</ul><p>{b}</p><ul>{menu}</ul><p>{c}</p>") == f"{b} {c}"
 
 
+@pytest.mark.parametrize("page, want", [
+    # a slug, a heading or a word of a sentence is no furniture, whatever words it holds
+    ('<article><p>a</p><section id="search-algorithms"><p>b</p></section><p class="notice-of-award">c</p>'
+     '<div class="social-history">d</div><h2 id="related-work">e</h2><h2 id="comments-on-the-theory">f</h2>'
+     '<p>g <span class="share">h</span> <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>', "a b c d e f g h x=2"),
+    # furniture inside the article
+    ('<article><p>a</p><div class="ad-slot">Buy</div><ul class="share-buttons"><li>Tweet</ul><div class="related posts">r</div>'
+     '<section id="comments"><p>reader</p></section><aside>x</aside><p>b</p></article>', "a b"),
+    # end tags left out
+    ('<article><p class="share">Share this<p>a<p>b</article>', "a b"),
+    ('<article><ul><li class="share-bar">S<ul><li>x<li>y</ul><li>a<li class="ad">z</ul><p>b</article>', "a b"),
+    ('<article><table><tr class="ad-unit"><td>no<td>no<tr><td>a</table><dl><dt class="ad">n<dd>b</dl></article>', "a b"),
+    ('<article><p class="notice">cut off', ""),
+    # a wrapper of the whole page
+    ('<div class="tags-page"><p>' + "some words of text " * 10 + "</p></div>", ("some words of text " * 10).strip())])
+def test_page_text_drops_nothing_else(page, want):
+    assert page_text.main_text(page) == want
+
+
 def test_pages_query(spark):
     import html
     pages = {x["page_id"]: x["html"] for x in docs_of(spark, "pages").collect()}
