@@ -342,7 +342,8 @@ def test_lines_recall_at_the_threshold_at_every_length(spark):
     got = {x["doc_id"]: x["group_id"]
            for x in linededup.mark(spark.createDataFrame(docs, "doc_id long, text string").repartition(8)).collect()}
     recall = {k: np.mean([got[a] == got[a + 1] for a in v]) for k, v in pairs.items()}
-    assert min(recall.values()) >= .9, recall
+    low = {k: round(float(v), 3) for k, v in recall.items() if v < .9}
+    assert not low, low
 
 
 def test_lines_link_what_is_similar_and_nothing_else(spark):
