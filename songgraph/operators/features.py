@@ -8,9 +8,9 @@ feature columns only (the original columns keep their values).
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from songgraph.functions.scalar import log_duration, tempo_norm
 from songgraph.operators import segments as SG
@@ -75,6 +75,23 @@ def flatten(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.select(*keep, *feats)
 
 
+def feature_array(df: DataFrame) -> F.Column:
+    """The same 313 values, in the order of ``FEATURE_COLS``, as one array: five short
+    expressions whatever the width, so generated code stays small."""
+    def cells(arr: str, n: int) -> F.Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: _fill0(F.get(arr, i)))
+
+    scalars = [_fill0(F.col(c) if c in df.columns else F.lit(None)) for c in SCALAR_FEATURES]
+    scalars += [_fill0(log_duration("duration")), _fill0(tempo_norm("tempo"))]
+    return F.concat(*[cells(arr, N_DIMS * len(STAT_NAMES)) for arr, _ in STAT_ARRAYS],
+                    *[cells(arr, N_COV) for arr, _ in COV_ARRAYS], F.array(*scalars))
+
+
+def with_vector(df: DataFrame, name: str = "features") -> DataFrame:
+    """ML1: ``df`` with the feature vector of the year model."""
+    return df.withColumn(name, array_to_vector(feature_array(df)))
+
+
 def feature_profile(feats: DataFrame, digits: int = 3) -> DataFrame:
     """One row per feature: count, sum, min, max (a whole-table check of the
     flatten and fill rules), computed in one aggregation pass."""
@@ -93,6 +110,3 @@ def feature_profile(feats: DataFrame, digits: int = 3) -> DataFrame:
         (F.round("r.s", digits) + 0.0).alias("total"),
         (F.round("r.lo", digits) + 0.0).alias("lo"),
         (F.round("r.hi", digits) + 0.0).alias("hi"))
-
-
-FEATURE_SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in FEATURE_COLS])

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from songgraph.session import materialize
+from songgraph.session import materialize, scratch
 
 
 def symmetrize(edges: DataFrame, a: str = "target", b: str = "similar") -> DataFrame:
@@ -64,6 +64,7 @@ def prepare_edges(sym: DataFrame, edge_block: int = EDGE_BLOCK) -> DataFrame:
     """``(src, dst, salt, salts)``, written once and read by every level:
     ``salts`` grows with the degree of ``src``, ``salt`` is drawn from the far
     end. ``bfs`` takes such a list as it is."""
+    sym = materialize(sym, "sym-edges")     # read for the degrees and for the join
     salts = sym.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / edge_block).cast("int").alias("salts"))
     return materialize(sym.join(salts, "src").select(
         "src", "dst", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"), "salts"), "edges")
@@ -129,12 +130,13 @@ def bfs(sym: DataFrame, roots: DataFrame, max_degree: int = 3, mode: str = "bfs"
     """
     if mode not in ("bfs", "walk"):
         raise ValueError(f"mode must be 'bfs' or 'walk', not {mode!r}")
-    edges = sym if "salts" in sym.columns else prepare_edges(sym, edge_block)
-    start, levels = _levels(edges, roots, max_degree, mode)
-    if include_root or not levels:
-        root_rows = start.withColumn("degree", F.lit(0))
-        levels.insert(0, root_rows if include_root else root_rows.limit(0))
-    return reduce(DataFrame.unionByName, levels)
+    with scratch(sym.sparkSession) as own:
+        edges = sym if "salts" in sym.columns else prepare_edges(sym, edge_block)
+        start, levels = _levels(edges, roots, max_degree, mode)
+        if include_root or not levels:
+            root_rows = start.withColumn("degree", F.lit(0))
+            levels.insert(0, root_rows if include_root else root_rows.limit(0))
+        return own.keep(reduce(DataFrame.unionByName, levels), "bfs")
 
 
 def nearest_bfs(sym: DataFrame, roots: DataFrame, n: int = 10, max_degree: int = 3) -> DataFrame:
@@ -150,9 +152,10 @@ def nearest_bfs(sym: DataFrame, roots: DataFrame, n: int = 10, max_degree: int =
     cut = (sym.select("src", "dst").withColumn("_at", F.row_number().over(w))
               .where(F.col("_at") <= 2 * n)
               .select("src", "dst", F.lit(0).alias("salt"), F.lit(1).alias("salts")))
-    start, levels = _levels(materialize(cut, "near-edges"), roots, max_degree, "bfs", n)
-    levels = levels or [start.withColumn("degree", F.lit(0)).limit(0)]
-    return nearest(reduce(DataFrame.unionByName, levels), n)
+    with scratch(sym.sparkSession) as own:
+        start, levels = _levels(materialize(cut, "near-edges"), roots, max_degree, "bfs", n)
+        levels = levels or [start.withColumn("degree", F.lit(0)).limit(0)]
+        return own.keep(nearest(reduce(DataFrame.unionByName, levels), n), "nearest")
 
 
 def min_degree(paths: DataFrame) -> DataFrame:

@@ -16,35 +16,50 @@ Scale plan, all exact:
   room for the excluded anchor). Songs are cut to that before any join, with a
   WindowGroupLimit that trims inside every task before the shuffle.
 * The similar-artist work runs once per distinct ``(anchor artist, birth
-  year)`` key, not per request; requests join the ranked key lists at the
-  end. A hot artist asked for by a third of all requests is one key.
+  year)`` key, not per request; a request joins only the first ``top_k + 1``
+  rows of its key. A hot artist asked for by a third of all requests is one key.
 * The fallback ranks the whole catalogue per distinct birth year without a
-  product of requests and songs: songs are cut to the first ``Kmax + 1`` per
-  year; years within ``BAND`` of the peak are matched by an equi-join on the
-  year; every other year scores exactly 0.0 in double arithmetic (the
-  Gaussian underflows beyond 193 years), so among those only song ids matter:
-  they come from the two year buckets that the band touches (equi-join on the
-  bucket) and from a global list of the ``3 * (Kmax + 1)`` smallest ids of
-  per-bucket lists, which always holds the answer once at most two buckets
-  are left out. That list and the null-year list are bounded by
-  ``4 * (Kmax + 1)`` rows.
+  product of requests and songs. Songs are cut to the first ``Kmax + 1`` per
+  year and years are taken from the peak outwards, by equi-join, only until they
+  hold ``Kmax + 1`` songs. From ``ZERO`` years on every score is exactly 0.0 in
+  double arithmetic, so only ids matter there: the tail is one list of songs
+  numbered by position (dated ones by id, then undated ones), and a birth year
+  whose near years hold too few songs joins its positions one by one. ``Kmax + 1``
+  dated and as many undated songs are enough: fewer than that of them are near ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from songgraph.functions.scalar import DEFAULT_BIRTH_YEAR, PEAK_AGE, nostalgia_score
+from songgraph.functions.scalar import DEFAULT_BIRTH_YEAR, PEAK_AGE, clean_key, nostalgia_score
 from songgraph.operators.graph import nearest
-from songgraph.session import materialize
+from songgraph.operators.ranks import positions
+from songgraph.session import materialize, scratch
 
 SIMILAR_N = 10          # similar artists read from the cache per anchor
-BAND = 200              # |year - peak| > BAND  ->  score == 0.0 exactly
-BUCKET = 2 * BAND + 1   # a band touches at most two buckets of this width
-_LIT_COLS = ("song_id", "artist_id", "title")
+ZERO = 194              # |year - peak| >= ZERO  ->  score == 0.0 exactly
+# The words that end a typed session.
+QUIT = ("quit", "exit", "q")
+
+
+def parse_typed(typed: DataFrame, songs: DataFrame) -> DataFrame:
+    """RC1/SC15: requests as typed by people, ``(req_id, song_id, top_k, birth_year)``
+    all text, as a request table with a ``typed`` status: ids are trimmed and take the
+    type of the song table's, numbers are parsed; ``quit`` (in any case) ends a session,
+    and what is no number or no possible id is ``invalid_input``."""
+    key = F.trim("song_id")
+    kinds = {f.name: f.dataType.simpleString() for f in songs.schema.fields}
+    number = {c: F.trim(c).try_cast("int") for c in ("top_k", "birth_year")}
+    song = key.try_cast(kinds["song_id"])
+    bad = song.isNull() | number["top_k"].isNull() | number["birth_year"].isNull()
+    return typed.select(
+        "req_id", song.alias("song_id"), F.lit(None).cast(kinds["artist_id"]).alias("artist_id"),
+        number["top_k"].alias("top_k"), number["birth_year"].alias("birth_year"),
+        F.when(F.coalesce(clean_key("song_id").isin(*QUIT), F.lit(False)), "quit")
+         .when(bad, "invalid_input").otherwise("ok").alias("typed"))
 
 
 def resolve(requests: DataFrame, songs: DataFrame) -> DataFrame:
@@ -103,109 +118,89 @@ def similar_ranked(ok: DataFrame, songs: DataFrame, paths: DataFrame, kf: int) -
 def fallback_ranked(birth_years: DataFrame, songs: DataFrame, kf: int) -> DataFrame:
     """RC4/TK6 per birth year: the first ``kf`` songs of the whole catalogue
     by (score desc, song id)."""
-    per_year = _cut(songs.select("song_id", "artist_id", "title", "year"), ["year"], kf)
-    known = per_year.where(F.col("year").isNotNull()) \
-        .withColumn("bucket", F.floor(F.col("year") / F.lit(BUCKET)))
-    by = birth_years.select("birth_year").distinct() \
-        .withColumn("peak", F.col("birth_year") + F.lit(PEAK_AGE))
+    per_year = materialize(_cut(songs.select("song_id", "artist_id", "title", "year"), ["year"], kf), "per-year")
+    known = per_year.where(F.col("year").isNotNull())
+    by = birth_years.select("birth_year").distinct()
+    peak = F.col("birth_year").cast("long") + F.lit(PEAK_AGE)
+
+    # years near the peak, nearest first, until they hold kf songs
+    sizes = known.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    nearer = Window.partitionBy("birth_year").orderBy("far").rangeBetween(Window.unboundedPreceding, -1)
+    near = (by.select("birth_year", F.explode(F.sequence(F.lit(1 - ZERO), F.lit(ZERO - 1))).alias("off"))
+              .select("birth_year", F.abs("off").alias("far"), (peak + F.col("off")).alias("year"))
+              .join(sizes, "year")
+              .withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0))))
+    near = materialize(near, "near-years")
     cols = ["birth_year", "song_id", "artist_id", "title", "year"]
-
-    # 1. years inside the band: scored exactly
-    band = (by.select("birth_year", F.explode(F.sequence(F.col("peak") - BAND,
-                                                           F.col("peak") + BAND)).alias("year"))
-              .join(known.drop("bucket"), "year")
-              .select(*cols).withColumn("score", _score()))
-
-    # 2. years outside the band but in one of the two buckets it touches: 0.0
-    edge_b = by.select("birth_year", "peak", F.explode(F.array_distinct(F.array(
-        F.floor((F.col("peak") - BAND) / F.lit(BUCKET)),
-        F.floor((F.col("peak") + BAND) / F.lit(BUCKET))))).alias("bucket"))
-    edge = (edge_b.join(known, "bucket")
-                  .where(F.abs(F.col("year") - F.col("peak")) > BAND)
-                  .select(*cols).withColumn("score", F.lit(0.0)))
-
-    # 3. all other buckets: 0.0; the smallest ids of per-bucket lists, a
-    #    bounded list (3 * kf rows) shipped to every birth year as a literal
-    far_rows = (_cut(known, ["bucket"], kf).orderBy("song_id").limit(3 * kf)
-                .select("bucket", "song_id", "artist_id", "title", "year").collect())
-    null_rows = (per_year.where(F.col("year").isNull()).orderBy("song_id").limit(kf)
-                 .select("song_id", "artist_id", "title").collect())
-    types = {f.name: f.dataType for f in songs.schema.fields}
-    parts = [band, edge]
-    if far_rows:
-        lit_far = F.array(*[F.struct(F.lit(r["bucket"]).cast("long").alias("bucket"),
-                                     *[F.lit(r[c]).cast(types[c]).alias(c) for c in _LIT_COLS],
-                                     F.lit(r["year"]).cast("int").alias("year"))
-                            for r in far_rows])
-        b1 = F.floor((F.col("peak") - BAND) / F.lit(BUCKET))
-        b2 = F.floor((F.col("peak") + BAND) / F.lit(BUCKET))
-        far = (by.select("birth_year", F.explode(F.filter(
-                   lit_far, lambda x: (x["bucket"] != b1) & (x["bucket"] != b2))).alias("s"))
-                 .select("birth_year", "s.song_id", "s.artist_id", "s.title", "s.year")
-                 .withColumn("score", F.lit(0.0)))
-        parts.append(far)
-    if null_rows:
-        lit_null = F.array(*[F.struct(*[F.lit(r[c]).cast(types[c]).alias(c)
-                                        for c in _LIT_COLS])
-                             for r in null_rows])
-        nul = (by.select("birth_year", F.explode(lit_null).alias("s"))
-                 .select("birth_year", "s.song_id", "s.artist_id", "s.title",
-                         F.lit(None).cast("int").alias("year"))
-                 .withColumn("score", _score()))
-        parts.append(nul)
-    allc = parts[0]
-    for p in parts[1:]:
-        allc = allc.unionByName(p)
-    return _rank(allc, ["birth_year"], kf)
+    found = near.where(F.col("before") < kf).select("birth_year", "year").join(known, "year").select(*cols)
+
+    # birth years whose near years hold fewer: positions of the tail
+    have = near.groupBy("birth_year").agg(F.sum("n").alias("have"))
+    short = materialize(by.join(have, "birth_year", "left").where(F.coalesce("have", F.lit(0)) < kf)
+                        .select("birth_year"), "short-years")
+    if not short.isEmpty():
+        tail = materialize(positions(per_year.withColumn("late", F.col("year").isNull().cast("int")), ["late"], ["song_id"])
+                           .where(F.col("pos") < kf), "tail")
+        dated, both = tail.agg(F.count_if(F.col("late") == 0), F.count(F.lit(1))).first()
+        slots = short.select("birth_year", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(both - 1).cast("long"))).alias("slot"))
+        rest = (slots.join(tail.withColumn("slot", F.col("pos") + dated * F.col("late")).hint("merge"), "slot")
+                .where(F.col("year").isNull() | (F.abs(F.col("year") - peak) >= ZERO)).select(*cols))
+        found = found.unionByName(rest) if both else found
+    return _rank(found.withColumn("score", _score()), ["birth_year"], kf)
 
 
 def recommend(requests: DataFrame, songs: DataFrame, paths: DataFrame,
               artists: DataFrame | None = None, exclude_anchor_in_fallback: bool = True,
-              score_digits: int | None = 9) -> DataFrame:
+              score_digits: int | None = 9, resolved: DataFrame | None = None) -> DataFrame:
     """RC5: one plan for a whole request table.
 
     ``songs``: ``song_id, artist_id, title, year`` (``artist_name`` too, unless
     ``artists`` gives it). ``paths``: the similar-artist cache ``(root, v,
-    degree)``. Returns ``(req_id, rank, song_id, title, artist_name, year,
-    score, source)`` with ``source`` in {similar, fallback}.
+    degree)``. ``resolved``: ``resolve(requests, songs)`` where the caller has it.
+    Returns ``(req_id, rank, song_id, title, artist_name, year,
+    score, source)`` with ``source`` in {similar, fallback}, a written table; the
+    tables it was made from are deleted.
     """
-    # resolved requests feed four branches: compute them once
-    resolved = materialize(resolve(requests, songs), "requests")
-    ok = resolved.where((F.col("status") == "ok") & F.col("anchor_artist").isNotNull()
-                        & (F.col("top_k") >= 1))
-    kmax = ok.agg(F.max("top_k")).first()[0] or 0
-    kf = int(kmax) + 1
-    # one row per song id (the least one), so that ids removed or named later are unique
-    base = (songs.groupBy("song_id").agg(F.min(F.struct("artist_id", "title", "year")).alias("_s"))
-                 .select("song_id", "_s.*"))
-
-    keyed = similar_ranked(ok, base, paths, kf)
-    sim = (ok.join(keyed.drop("rank"), ["anchor_artist", "birth_year"])
-             .where(F.col("anchor_song").isNull() | (F.col("song_id") != F.col("anchor_song"))))
-    sim = _rank(sim, ["req_id"], kf).where(F.col("rank") <= F.col("top_k")) \
-        .withColumn("source", F.lit("similar"))
-    sim = materialize(sim, "similar")
-    served = sim.select("req_id").distinct()       # top_k >= 1: a candidate -> a row
-
-    fb_req = materialize(ok.join(served, "req_id", "left_anti"), "fallback-requests")
-    fb_keyed = fallback_ranked(fb_req, base, kf)
-    fb = fb_req.join(fb_keyed.drop("rank"), "birth_year")
-    if exclude_anchor_in_fallback:
-        fb = fb.where(F.col("anchor_song").isNull() | (F.col("song_id") != F.col("anchor_song")))
-    fb = _rank(fb, ["req_id"], kf).where(F.col("rank") <= F.col("top_k")) \
-        .withColumn("source", F.lit("fallback"))
-
-    cols = ["req_id", "rank", "song_id", "artist_id", "title", "year", "score", "source"]
-    out = sim.select(*cols).unionByName(fb.select(*cols))
-    if artists is not None:
-        out = out.join(artists.select("artist_id", "artist_name"), "artist_id", "left")
-    else:
-        names = (songs.groupBy("song_id")
-                      .agg(F.min_by("artist_name", F.struct("artist_id", "title", "year")).alias("artist_name")))
-        out = out.join(names, "song_id", "left")
-    score = F.round("score", score_digits) if score_digits is not None else F.col("score")
-    return out.select("req_id", F.col("rank").cast("int").alias("rank"), "song_id", "title",
-                      "artist_name", "year", score.alias("score"), "source")
+    with scratch(songs.sparkSession) as own:
+        # resolved requests and the songs feed several branches: computed once
+        if resolved is None:
+            resolved = materialize(resolve(requests, songs), "requests")
+        ok = resolved.where((F.col("status") == "ok") & F.col("anchor_artist").isNotNull()
+                            & (F.col("top_k") >= 1))
+        kmax = ok.agg(F.max("top_k")).first()[0] or 0
+        kf = int(kmax) + 1
+        # one row per song id (the least one), so that ids removed or named later are unique
+        base = materialize(songs.groupBy("song_id").agg(F.min(F.struct("artist_id", "title", "year")).alias("_s"))
+                           .select("song_id", "_s.*"), "songs")
+        other = F.col("anchor_song").isNull() | (F.col("song_id") != F.col("anchor_song"))
+
+        def answers(asks, ranked, keys, without_anchor):
+            """The first ``top_k`` of each request's key, without its anchor: at most
+            ``top_k + 1`` rows of the key join."""
+            rows = asks.join(ranked.withColumnRenamed("rank", "_at"), keys).where(F.col("_at") <= F.col("top_k") + 1)
+            return _rank(rows.where(other) if without_anchor else rows, ["req_id"], kf) \
+                .where(F.col("rank") <= F.col("top_k"))
+
+        keyed = similar_ranked(ok, base, paths, kf)
+        sim = materialize(answers(ok, keyed, ["anchor_artist", "birth_year"], True)
+                          .withColumn("source", F.lit("similar")), "similar")
+        served = sim.select("req_id").distinct()       # top_k >= 1: a candidate -> a row
+
+        fb_req = materialize(ok.join(served, "req_id", "left_anti"), "fallback-requests")
+        fb = answers(fb_req, fallback_ranked(fb_req, base, kf), ["birth_year"], exclude_anchor_in_fallback) \
+            .withColumn("source", F.lit("fallback"))
+
+        cols = ["req_id", "rank", "song_id", "artist_id", "title", "year", "score", "source"]
+        out = sim.select(*cols).unionByName(fb.select(*cols))
+        if artists is not None:
+            out = out.join(artists.select("artist_id", "artist_name"), "artist_id", "left")
+        else:
+            names = (songs.groupBy("song_id")
+                          .agg(F.min_by("artist_name", F.struct("artist_id", "title", "year")).alias("artist_name")))
+            out = out.join(names, "song_id", "left")
+        score = F.round("score", score_digits) if score_digits is not None else F.col("score")
+        return own.keep(out.select("req_id", F.col("rank").cast("int").alias("rank"), "song_id", "title",
+                                   "artist_name", "year", score.alias("score"), "source"), "recommendations")
 
 
 def scores(songs: DataFrame, birth_year: int = 1990, digits: int = 9) -> DataFrame:
@@ -213,11 +208,3 @@ def scores(songs: DataFrame, birth_year: int = 1990, digits: int = 9) -> DataFra
     return songs.select("song_id", "year",
                         F.round(nostalgia_score("year", F.lit(birth_year)), digits)
                         .alias("score"))
-
-
-REC_SCHEMA = T.StructType([
-    T.StructField("req_id", T.LongType()), T.StructField("rank", T.IntegerType()),
-    T.StructField("song_id", T.LongType()), T.StructField("title", T.StringType()),
-    T.StructField("artist_name", T.StringType()), T.StructField("year", T.IntegerType()),
-    T.StructField("score", T.DoubleType()), T.StructField("source", T.StringType()),
-])

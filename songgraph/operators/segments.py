@@ -7,11 +7,9 @@ array index ``dim*6 + stat``) and the 78 sample covariances of the upper
 triangle (row-major) need no self-join and no pair explosion. Sums, min and
 max come from one hash aggregate that combines partially before the shuffle;
 std and covariance from a second one over the deviations from the song's
-means, so that nothing cancels where means dwarf the spread. The median runs
-as a pass of its own joined on the song key: a song with at most
-``HOT_SEGMENTS`` segments is sorted in one task (a proven bound on what one
-task holds); a larger song, up to a third of all rows, goes through the
-distributed order statistics of ``quantiles`` and is never gathered.
+means, so that nothing cancels where means dwarf the spread. Medians come from
+the narrow rows (song, dim, value) by the value brackets of ``quantiles``: no
+song's matrix is gathered, whatever its size.
 
 A song without segments gets 72 and 78 zeros; a song with one segment has
 covariance NaN (0/0), as computed by the original; features fill it with 0.
@@ -24,12 +22,7 @@ from pyspark.sql import functions as F
 
 from songgraph.operators.quantiles import exact_medians
 from songgraph.schema import N_COV, N_DIMS, N_STATS, STAT_NAMES
-from songgraph.session import materialize
-
-# A song with at most this many segments has its medians computed from its
-# gathered matrix: at most 100,000 x 24 doubles (~19 MB) in one task. Larger
-# songs take the distributed path.
-HOT_SEGMENTS = 100_000
+from songgraph.session import materialize, scratch
 
 PAIRS = [(i, j) for i in range(N_DIMS) for j in range(i, N_DIMS)]
 
@@ -76,58 +69,23 @@ def _moments(segs: DataFrame, sums: DataFrame, srcs: list[str]) -> DataFrame:
     return agg.select("_key.song_id", *[f"{src}_sp{i}_{j}" for src in srcs for i, j in PAIRS])
 
 
-def _pick(i: int):
-    return lambda r: r[i]
-
-
-def _medians(segs: DataFrame, srcs: list[str], hot_segments: int = HOT_SEGMENTS) -> DataFrame:
-    """Exact medians (mean of the middle two for an even count) per song and
-    dim. A pass over the key column alone finds the songs with more than
-    ``hot_segments`` segments (usually none; else written to the shared
-    folder);
-    the others are gathered and sorted, the hot ones take the distributed
-    order statistics. A separate pass from the sums, because an object
-    aggregate next to them would take the sums off the fast hash path."""
-    hot = (segs.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
-               .where(F.col("n") > hot_segments))
-    if hot.isEmpty():
-        return _gathered_medians(segs, srcs)
-    hot = materialize(hot, "hot-songs")
-    # the hot-song table is sized by the planner from its files: a broadcast
-    # only below the threshold, a sort-merge join beyond it
-    small = segs.join(hot.select("song_id"), "song_id", "left_anti")
-    big = segs.join(hot.select("song_id"), "song_id", "left_semi")
-    return _gathered_medians(small, srcs).unionByName(_ranked_medians(big, srcs, hot))
-
-
-def _gathered_medians(segs: DataFrame, srcs: list[str]) -> DataFrame:
-    """Each song's segment rows gathered once (the matrix of one song, as in
-    the source record, bounded by ``HOT_SEGMENTS``) and each dim sorted."""
-    rows = [F.array(*_xs(src)) for src in srcs]
-    g = segs.groupBy("song_id").agg(
-        *[F.collect_list(r).alias(f"_m{k}") for k, r in enumerate(rows)])
-    out = []
-    for k, src in enumerate(srcs):
-        m = F.col(f"_m{k}")
-        n = F.size(m)
-        half = (n / 2).cast("int")
-        for i in range(N_DIMS):
-            v = F.array_sort(F.transform(m, _pick(i)))
-            med = F.when(n % 2 == 1, F.get(v, half)) \
-                   .otherwise((F.get(v, half - 1) + F.get(v, half)) / 2.0)
-            out.append(med.alias(f"{src}_med{i}"))
-    return g.select("song_id", *out)
-
-
-def _ranked_medians(segs: DataFrame, srcs: list[str], hot: DataFrame) -> DataFrame:
-    """Medians of hot songs: one long row per (song, dim, value), exact order
-    statistics at the middle ranks, then one row per song again (at most
-    ``12 * len(srcs)`` rows per song are pivoted)."""
-    cells = [F.struct(F.lit(k * N_DIMS + i).alias("d"), x.alias("x"))
+def _medians(segs: DataFrame, sums: DataFrame, srcs: list[str]) -> DataFrame:
+    """Exact medians (mean of the middle two for an even count) per song and dim, one
+    row per song."""
+    cells = [F.struct(F.lit(k * N_DIMS + i).alias("d"), x.alias("x"), F.col(f"{src}_min{i}").alias("lo"),
+                      F.col(f"{src}_max{i}").alias("hi"))
              for k, src in enumerate(srcs) for i, x in enumerate(_xs(src))]
-    long = segs.select("song_id", F.explode(F.array(*cells)).alias("e")) \
-               .select("song_id", "e.d", "e.x")
-    med = exact_medians(long, ["song_id", "d"], "x", hot.select("song_id", "n"), out="m")
+    ends = sums.select("song_id", "n", *[f"{src}_{m}{i}" for src in srcs for i in range(N_DIMS) for m in ("min", "max")])
+    long = (segs.hint("merge").join(ends, "song_id").select("song_id", "n", F.explode(F.array(*cells)).alias("e"))
+                .select("song_id", "n", "e.*"))
+    plain = F.array(*[F.struct(F.lit(k * N_DIMS + i).alias("d"), x.alias("x"))
+                      for k, src in enumerate(srcs) for i, x in enumerate(_xs(src))])
+
+    def again(still):           # the segments of songs with a dim that is open yet
+        return segs.join(still.select("song_id").distinct(), "song_id", "left_semi") \
+            .select("song_id", F.explode(plain).alias("e")).select("song_id", "e.*")
+
+    med = exact_medians(long, ["song_id", "d"], "x", "m", again)
     return med.groupBy("song_id").agg(*[
         F.max(F.when(F.col("d") == k * N_DIMS + i, F.col("m"))).alias(f"{src}_med{i}")
         for k, src in enumerate(srcs) for i in range(N_DIMS)])
@@ -151,30 +109,28 @@ def _final(src: str, medians: bool = True) -> list:
     return out
 
 
-def _wide(segs: DataFrame, srcs: list[str], hot_segments: int = HOT_SEGMENTS,
-          medians: bool = True) -> DataFrame:
+def _wide(segs: DataFrame, srcs: list[str], medians: bool = True) -> DataFrame:
     finals = [c for src in srcs for c in _final(src, medians)]
-    # per-song sums feed the deviations and the result: computed once
-    sums = materialize(_sums(segs, srcs), "song-sums")
-    # One row per song on every side: sort-merge joins, pinned, so AQE never
-    # broadcasts a side whose compressed size looks small.
-    both = sums.hint("merge").join(_moments(segs, sums, srcs), "song_id")
-    if medians:
-        both = both.hint("merge").join(_medians(segs, srcs, hot_segments), "song_id")
-    return both.select("song_id", *finals)
-
-
-def segment_stats_wide(segs: DataFrame, hot_segments: int = HOT_SEGMENTS,
-                       medians: bool = True) -> DataFrame:
+    with scratch(segs.sparkSession) as own:
+        # per-song sums feed the deviations, the brackets and the result: computed once
+        sums = materialize(_sums(segs, srcs), "song-sums")
+        # One row per song on every side: sort-merge joins, pinned, so AQE never
+        # broadcasts a side whose compressed size looks small.
+        both = sums.hint("merge").join(_moments(segs, sums, srcs), "song_id")
+        if medians:
+            both = both.hint("merge").join(_medians(segs, sums, srcs), "song_id")
+        return own.keep(both.select("song_id", *finals), "song-statistics")
+
+
+def segment_stats_wide(segs: DataFrame, medians: bool = True) -> DataFrame:
     """One row per song: ``x_s{dim}_{stat}`` and ``x_c{i}_{j}`` columns
     (the medians null when ``medians`` is False)."""
-    return _wide(segs, ["x"], hot_segments, medians)
+    return _wide(segs, ["x"], medians)
 
 
-def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "cov",
-                   hot_segments: int = HOT_SEGMENTS) -> DataFrame:
+def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "cov") -> DataFrame:
     """AG10/AG13: ``(song_id, stats[72], cov[78])`` in the record layout."""
-    wide = segment_stats_wide(segs, hot_segments)
+    wide = segment_stats_wide(segs)
     return wide.select(
         "song_id",
         F.array(*[F.col(f"x_s{i}_{s}") for i in range(N_DIMS) for s in STAT_NAMES])
@@ -182,12 +138,11 @@ def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "co
         F.array(*[F.col(f"x_c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
 
 
-def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]],
-                  hot_segments: int = HOT_SEGMENTS) -> DataFrame:
+def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
     """Several matrices that share their segments (e.g. timbre ``x*`` and
     pitches ``p*`` of the same rows) in ONE grouped pass. ``kinds`` maps a
     column prefix to the (stats, cov) output names."""
-    wide = _wide(segs, list(kinds), hot_segments)
+    wide = _wide(segs, list(kinds))
     outs = []
     for src, (stats_col, cov_col) in kinds.items():
         outs.append(F.array(*[F.col(f"{src}_s{i}_{s}") for i in range(N_DIMS)
@@ -213,9 +168,9 @@ def _r(c, digits: int):
     return F.round(c, digits) + F.lit(0.0)
 
 
-def stats_long(segs: DataFrame, digits: int = 6, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
+def stats_long(segs: DataFrame, digits: int = 6) -> DataFrame:
     """AG9/AG10/AG11 one row per (song, dim)."""
-    wide = segment_stats_wide(segs, hot_segments)
+    wide = segment_stats_wide(segs)
     per_dim = F.explode(F.array(*[
         F.struct(F.lit(i).alias("dim"),
                  *[F.col(f"x_s{i}_{s}").alias(s) for s in STAT_NAMES])

@@ -13,21 +13,30 @@ The JSON value of the original cache (``[[id, degree], ...]`` ordered by
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from songgraph.operators.graph import nearest
-from songgraph.session import materialize
+from songgraph.operators.ranks import positions
+from songgraph.session import file_system
 
 N_BUCKETS = 64
 CHUNK = 1000        # entries of one JSON chunk
+MARKS = "_published"    # folder of the version markers
 
 
-def write_serving_table(paths: DataFrame, path: str, n_buckets: int = N_BUCKETS) -> None:
-    """SNK3: replace the whole table (overwrite), one directory per bucket.
+def write_serving_table(paths: DataFrame, path: str, n_buckets: int = N_BUCKETS, keep: int = 2) -> str:
+    """SNK3: publish a new version of the table, which replaces the one before.
+
+    The rows go to a folder of their own, one directory per bucket; when they are all
+    there, an empty marker file named after the version is created. Readers take the
+    newest marked version, so none ever sees half a table, and a writer that dies leaves
+    the old version in place. The ``keep`` newest versions stay (a reader may still be on
+    the one before), older ones and unmarked leftovers below them are removed. One
+    writer at a time. Returns the version's folder.
 
     Rows are spread over the write tasks by ``(bucket, second hash of the
     root)`` with ``k`` sub-parts per bucket, ``k`` chosen so that all buckets
@@ -41,15 +50,43 @@ def write_serving_table(paths: DataFrame, path: str, n_buckets: int = N_BUCKETS)
     k = max(1, math.ceil(tasks / n_buckets))
     b = F.pmod(F.xxhash64("root"), F.lit(n_buckets)).alias("bucket")
     part = F.pmod(F.xxhash64(F.col("root"), F.lit(7)), F.lit(k)).alias("_part")
+    done = versions(spark, path)
+    name = f"{(int(done[-1][1:].partition('-')[0]) if done else 0) + 1:010d}-{uuid.uuid4().hex}"
     (paths.select("root", "v", "degree", b, part)
           .hint("rebalance", "bucket", "_part")
           .drop("_part")
           .sortWithinPartitions("root", "degree", "v")
-          .write.mode("overwrite").partitionBy("bucket").parquet(path))
+          .write.partitionBy("bucket").parquet(f"{path}/v{name}"))
+    marker, fs = file_system(spark, f"{path}/{MARKS}/v{name}")
+    fs.mkdirs(marker.getParent())
+    fs.create(marker, False).close()
+    done = versions(spark, path)
+    for old in done[:-keep]:
+        fs.delete(file_system(spark, f"{path}/{MARKS}/{old}")[0], False)
+    first = done[-keep:][0]
+    for version in _names(spark, path):
+        if version.startswith("v") and version < first:
+            fs.delete(file_system(spark, f"{path}/{version}")[0], True)
+    return f"{path}/v{name}"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    where, fs = file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The published versions, oldest first."""
+    return [n for n in _names(spark, f"{path}/{MARKS}") if n.startswith("v")]
 
 
 def read_serving_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The newest published version. The frame stays on that version, whatever is
+    published later, until it has been superseded twice."""
+    done = versions(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no published version under {path}")
+    return spark.read.parquet(f"{path}/{done[-1]}")
 
 
 def lookup(table: DataFrame, artist_id, k: int, n_buckets: int = N_BUCKETS) -> DataFrame:
@@ -88,21 +125,8 @@ def dump(table: DataFrame) -> DataFrame:
 
 def numbered(paths: DataFrame) -> DataFrame:
     """``(root, v, degree, pos)``, ``pos`` counting a root's entries from 0 in
-    ``(degree, id)`` order. Rows are range-partitioned, counted per root and
-    partition, and numbered inside a partition from the rows before it, so a
-    root's list is never in one task."""
-    spark = paths.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(paths.select("root", "v", "degree")
-                         .repartitionByRange(parts, "root", "degree", "v")
-                         .withColumn("_pid", F.spark_partition_id()), "ranged")
-    before = Window.partitionBy("root").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (ranged.groupBy("root", "_pid").agg(F.count(F.lit(1)).alias("_n"))
-                  .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
-    inside = Window.partitionBy("root", "_pid").orderBy("degree", "v")
-    return (ranged.withColumn("_at", F.row_number().over(inside) - 1)
-                  .join(offs, ["root", "_pid"])
-                  .select("root", "v", "degree", (F.col("_off") + F.col("_at")).alias("pos")))
+    ``(degree, id)`` order; a root's list is never in one task."""
+    return positions(paths.select("root", "v", "degree"), ["root"], ["degree", "v"])
 
 
 def recs_json(paths: DataFrame, chunk: int = CHUNK) -> DataFrame:

@@ -1,23 +1,30 @@
-"""Release-year model: split, train, evaluate, impute (ML1-ML6, FLT1-FLT3,
-FLT9, SM3, AG8, AG14, JN2, ST2, SC2).
-
-Training and scoring use MLlib (``VectorAssembler`` + ``GBTRegressor``).
-The split is by a hash of the song id, so a row lands on the same side
-whatever columns the frame carries (``randomSplit`` does not promise that).
-Imputation scores rows in place: every row and every original column is
-kept, only a missing year is replaced.
+"""Release-year model: split, train, evaluate, impute, save (ML1-ML6, FLT1-FLT3,
+FLT9, SM3, AG8, AG14, JN2, ST2, SC2, SNK2).
+
+Training and scoring use MLlib's ``GBTRegressor`` on a vector that one expression
+builds straight from the four record arrays and the scalar inputs (no 313
+columns, whose generated code would exceed the JVM's method limit).
+The split is by a hash of the song id that other engines have too, so a row lands
+on the same side whatever columns the frame carries. Imputation scores rows in place:
+every row and every original column is kept, only a missing year is replaced.
+
+A saved model carries a manifest (feature order, settings, digest, training size);
+loading checks it, so a model is never fed features in another order.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+import hashlib
+import json
+
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from songgraph.functions.scalar import missing_year, round_year, valid_year
-from songgraph.operators.features import FEATURE_COLS, flatten
+from songgraph.operators.features import FEATURE_COLS, with_vector
+from songgraph.operators.graph import seeded_hash
+from songgraph.session import materialize, scratch
 
 # The regressor settings of the original training job.
 GBT_DEFAULTS = {"maxIter": 150, "maxDepth": 8, "stepSize": 0.05, "seed": 42}
@@ -38,34 +45,73 @@ def training_rows(songs: DataFrame) -> DataFrame:
 
 def hash_split(df: DataFrame, train_pct: int = 80, seed: int = 42,
                key: str = "song_id") -> tuple[DataFrame, DataFrame]:
-    """SM3: ``pmod(xxhash64(key, seed), 100) < train_pct`` is training."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
-    return df.where(bucket < train_pct), df.where(bucket >= train_pct)
-
-
-def build_pipeline(**gbt) -> Pipeline:
-    """ML1 + ML2: assemble the 313 features (skip invalid rows), GBT on year."""
-    params = {**GBT_DEFAULTS, **gbt}
-    asm = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features", handleInvalid="skip")
-    reg = GBTRegressor(featuresCol="features", labelCol="year", **params)
-    return Pipeline(stages=[asm, reg])
-
-
-def train(songs: DataFrame, **gbt) -> PipelineModel:
-    """ML3: fit on the training part of the valid rows."""
-    rows = flatten(training_rows(songs), keep=["song_id", "year"]) \
-        .withColumn("year", F.col("year").cast("double"))
-    tr, _ = hash_split(rows)
-    return build_pipeline(**gbt).fit(tr)
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    """SNK2."""
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """SM3: the first 8 digits of the seeded hash of the key, modulo 100, below
+    ``train_pct`` are training; a row without a key is held out."""
+    bucket = _bucket(key, seed, 100)
+    return df.where(bucket < train_pct), df.where(F.coalesce(bucket >= train_pct, F.lit(True)))
+
+
+def _bucket(key: str, seed: int, n: int):
+    return F.conv(F.substring(seeded_hash(key, seed), 1, 8), 16, 10).cast("long") % n
+
+
+# Rows that one fit reads at most, about: labelled rows beyond it are thinned by a
+# hash of the song id. Evaluation and imputation take all rows.
+FIT_ROWS = 20_000
+# Rows of one fitting partition: boosting runs some 1,400 short jobs over the cached
+# vectors, so few even partitions are cheapest for a fit of this size.
+FIT_PARTITION = 5_000
+
+
+def fitting_rows(songs: DataFrame, limit: int | None = FIT_ROWS) -> DataFrame:
+    """ML1: (song_id, year, features) of the training part, written; thinned by a hash
+    to about ``limit`` rows (None: all of them)."""
+    train_part, _ = hash_split(training_rows(songs))
+    if limit is not None:
+        share = int(min(1.0, limit / max(1, train_part.count())) * (1 << 20))
+        train_part = train_part.where(_bucket("song_id", 7, 1 << 20) < share)
+    return materialize(with_vector(train_part).select("song_id", F.col("year").cast("double").alias("year"), "features"),
+                       "fitting-rows")
+
+
+def train(songs: DataFrame, fit_rows: int | None = FIT_ROWS, **gbt) -> GBTRegressionModel:
+    """ML1-ML3: fit on the training part of the valid rows, at most about ``fit_rows``.
+    Row lineage is cut by the written vectors, the boosting lineage every ten trees by a
+    checkpoint in the shared folder."""
+    params = {**GBT_DEFAULTS, "checkpointInterval": 10, "cacheNodeIds": True, **gbt}
+    with scratch(songs.sparkSession):
+        rows = fitting_rows(songs, fit_rows)
+        parts = max(1, -(-rows.count() // FIT_PARTITION))
+        return GBTRegressor(featuresCol="features", labelCol="year", **params).fit(
+            rows.select("year", "features").coalesce(parts))
+
+
+def _manifest(model: GBTRegressionModel) -> dict[str, str]:
+    settings = {p: str(model.getOrDefault(p)) for p in ("maxIter", "maxDepth", "stepSize", "seed", "maxBins")}
+    trees = hashlib.sha256(model.toDebugString.encode()).hexdigest()
+    return {"features": json.dumps(FEATURE_COLS), "settings": json.dumps(settings, sort_keys=True),
+            "n_features": str(model.numFeatures), "n_trees": str(model.getNumTrees), "trees_sha256": trees}
+
+
+def save_model(model: GBTRegressionModel, path: str) -> None:
+    """SNK2: the model, then its manifest, written last: a folder without one is not a
+    finished model."""
+    spark = SparkSession.getActiveSession()
+    model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(k, v) for k, v in _manifest(model).items()], "name string, value string") \
+        .coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+
+
+def load_model(path: str) -> GBTRegressionModel:
+    """SNK2: a saved model whose manifest agrees with it and with this feature order."""
+    spark = SparkSession.getActiveSession()
+    said = {r["name"]: r["value"] for r in spark.read.schema("name string, value string").json(f"{path}/manifest").collect()}
+    model = GBTRegressionModel.load(f"{path}/model")
+    found = _manifest(model) | {"features": json.dumps(FEATURE_COLS)}
+    wrong = sorted(k for k in found if said.get(k) != found[k])
+    if wrong:
+        raise ValueError(f"the model at {path} does not match its manifest: {', '.join(wrong)}")
+    return model
 
 
 def metrics(pred: DataFrame, label: str = "year", prediction: str = "prediction") -> DataFrame:
@@ -80,27 +126,28 @@ def metrics(pred: DataFrame, label: str = "year", prediction: str = "prediction"
         F.avg(F.abs(e)).alias("mae"))
 
 
-def evaluate(model: PipelineModel, songs: DataFrame) -> DataFrame:
+def held_out(songs: DataFrame) -> DataFrame:
+    """The valid rows that no fit reads."""
+    return hash_split(training_rows(songs))[1]
+
+
+def evaluate(model: GBTRegressionModel, songs: DataFrame) -> DataFrame:
     """ML6: score the held-out part with the same features as training."""
-    rows = flatten(training_rows(songs), keep=["song_id", "year"]) \
-        .withColumn("year", F.col("year").cast("double"))
-    _, te = hash_split(rows)
-    return metrics(model.transform(te))
+    return metrics(model.transform(with_vector(held_out(songs)).select("year", "features")))
 
 
-def impute(songs: DataFrame, model: PipelineModel) -> DataFrame:
+def impute(songs: DataFrame, model: GBTRegressionModel) -> DataFrame:
     """ML4 + ML5, the default: missing years (null or 0) get the rounded
     prediction; every row and every original column is kept. Only the missing
     rows are scored, and ``transform`` carries their columns along, so no
     join back is needed (a duplicate or null song id is harmless). Features
-    are filled first, so the assembler skips no row; a prediction that does
+    are filled first, so no row is invalid; a prediction that does
     not fit an int leaves the year as it was."""
-    cols = songs.columns
+    cols = [F.col(f"`{c}`") for c in songs.columns if c != "year"]
     valid = songs.where(valid_year("year"))
-    scored = model.transform(flatten(songs.where(missing_year("year"))))
-    fixed = scored.withColumn(
-        "year", F.coalesce(round_year(F.col("prediction")), F.col("year"))).select(*cols)
-    return valid.unionByName(fixed)
+    scored = model.transform(with_vector(songs.where(missing_year("year"))))
+    fixed = scored.select(*cols, F.coalesce(round_year(F.col("prediction")), F.col("year")).alias("year"))
+    return valid.unionByName(fixed.select(*songs.columns))
 
 
 def merge_predictions(songs: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -7,14 +7,12 @@ pair is the length of its shortest walk, so ``min(d)`` over walks of length
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from songgraph.operators import graph as G
 from songgraph.operators import serving as S
 from songgraph.plans.base import cte, register
-from songgraph.session import ensure_checkpoint_dir, materialize
+from songgraph.session import materialize, new_folder, scratch
 from songgraph.sources import adapters as A
 
 DEPTH = 3
@@ -28,14 +26,16 @@ def sym_edges(spark, sf_dir):
 
 def run_bfs(spark, sf_dir, roots_of, **kw):
     """BFS with the symmetric edges written once for the roots and every level."""
-    sym = G.prepare_edges(sym_edges(spark, sf_dir))
-    return G.bfs(sym, roots_of(sym), DEPTH, **kw)
+    with scratch(spark) as own:
+        sym = G.prepare_edges(sym_edges(spark, sf_dir))
+        return own.keep(G.bfs(sym, roots_of(sym), DEPTH, **kw))
 
 
 def run_nearest(spark, sf_dir, roots_of, n):
     """The ``n`` nearest artists of every root, by the cut adjacency."""
-    sym = materialize(sym_edges(spark, sf_dir), "edges")
-    return G.nearest_bfs(sym, roots_of(sym), n, DEPTH)
+    with scratch(spark) as own:
+        sym = materialize(sym_edges(spark, sf_dir), "edges")
+        return own.keep(G.nearest_bfs(sym, roots_of(sym), n, DEPTH))
 
 
 def _all_roots(sym):
@@ -190,19 +190,15 @@ def q_cache_json_roundtrip(spark, sf_dir):
     return S.parse_recs(S.recs_json(run_bfs(spark, sf_dir, _cache_roots)))
 
 
-def _serving_path(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/serving-{uuid.uuid4().hex}"
-
-
 @register("cache_dump", _E + _CACHE_ROOTS + _WALKS_FROM + """
 SELECT 'artist:' || CAST(root AS VARCHAR) || ':recs' AS "key",
        CAST(root AS VARCHAR) AS artist, v, degree FROM bfs""")
 def q_cache_dump(spark, sf_dir):
     """SNK3 SRC10 SC14: write the serving table (overwrite, bucketed by
     artist), read it back, list every key with its entries"""
-    paths = run_bfs(spark, sf_dir, _cache_roots)
-    path = _serving_path(spark)
-    S.write_serving_table(paths, path)
+    path = new_folder(spark, "serving")
+    with scratch(spark):
+        S.write_serving_table(run_bfs(spark, sf_dir, _cache_roots), path)
     return S.dump(S.read_serving_table(spark, path))
 
 
@@ -220,7 +216,8 @@ def q_cache_lookup(spark, sf_dir):
     cached neighbours; BFS roots are the requested artists only"""
     req = A.requests(spark, sf_dir).where(F.col("artist_id").isNotNull())
     n = req.agg(F.max("top_k")).first()[0] or 1
-    paths = run_nearest(spark, sf_dir, lambda sym: req.select(F.col("artist_id").alias("root")), n)
-    path = _serving_path(spark)
-    S.write_serving_table(paths, path)
+    path = new_folder(spark, "serving")
+    with scratch(spark):
+        S.write_serving_table(run_nearest(spark, sf_dir, lambda sym: req.select(F.col("artist_id").alias("root")), n),
+                              path)
     return S.lookup_many(S.read_serving_table(spark, path), req)

@@ -15,7 +15,7 @@ from songgraph.operators import recommend as R
 from songgraph.operators import years as Y
 from songgraph.plans.base import cte, register
 from songgraph.plans.graph_queries import _E, _WALKS_FROM, run_nearest
-from songgraph.session import materialize
+from songgraph.session import materialize, scratch
 from songgraph.sources import adapters as A
 
 
@@ -82,10 +82,11 @@ _REC_SQL = _rec_sql(A.SQL_SONGS)
 def recommend_batch(spark, sf_dir, tracks=None):
     req = A.requests(spark, sf_dir)
     tracks = A.tracks(spark, sf_dir) if tracks is None else tracks
-    resolved = R.resolve(req, tracks)
-    roots = resolved.where(F.col("status") == "ok").select(F.col("anchor_artist").alias("root"))
-    paths = run_nearest(spark, sf_dir, lambda sym: roots, R.SIMILAR_N)
-    return R.recommend(req, tracks, paths, artists=A.artists(spark, sf_dir))
+    with scratch(spark) as own:
+        resolved = materialize(R.resolve(req, tracks), "requests")
+        roots = resolved.where(F.col("status") == "ok").select(F.col("anchor_artist").alias("root"))
+        paths = run_nearest(spark, sf_dir, lambda sym: roots, R.SIMILAR_N)
+        return own.keep(R.recommend(req, tracks, paths, artists=A.artists(spark, sf_dir), resolved=resolved))
 
 
 @register("recommend_batch", _REC_SQL)
@@ -111,7 +112,8 @@ def q_recommend_imputed(spark, sf_dir):
     year, merged as by impute_merge), BFS, then recommendations scored on them"""
     tracks = A.tracks(spark, sf_dir)
     merged = Y.merge_predictions(tracks, Y.artist_mean_predictions(tracks))
-    return recommend_batch(spark, sf_dir, materialize(merged, "imputed"))
+    with scratch(spark) as own:
+        return own.keep(recommend_batch(spark, sf_dir, materialize(merged, "imputed")))
 
 
 _FB_ONLY = (cte(songs=A.SQL_SONGS, req=A.SQL_REQUESTS)
@@ -143,3 +145,36 @@ def q_recommend_fallback(spark, sf_dir):
     tracks = A.tracks(spark, sf_dir)
     empty = spark.createDataFrame([], "root long, v long, degree int")
     return R.recommend(req, tracks, empty, artists=A.artists(spark, sf_dir))
+
+
+_TYPED = """
+SELECT event_id AS req_id,
+  CASE WHEN event_id % 17 = 0 THEN ' Quit ' WHEN event_id % 19 = 0 THEN 'no such id'
+       ELSE '  ' || CAST(event_id AS VARCHAR) || ' ' END AS song_id,
+  CASE WHEN event_id % 13 = 0 THEN 'ten' ELSE ' ' || CAST(event_id % 10 AS VARCHAR) END AS top_k,
+  CAST(1970 + user_id % 30 AS VARCHAR) AS birth_year
+FROM events"""
+
+
+@register("request_typed", cte(songs=A.SQL_TRACKS, typed=_TYPED) + """,
+p AS (SELECT req_id, lower(trim(song_id)) IN ('quit', 'exit', 'q') AS quits, TRY_CAST(trim(song_id) AS BIGINT) AS song_id,
+             TRY_CAST(trim(top_k) AS INTEGER) AS top_k, TRY_CAST(trim(birth_year) AS INTEGER) AS birth_year FROM typed)
+SELECT req_id, p.song_id AS anchor_song, s.artist_id AS anchor_artist, top_k, birth_year,
+       CASE WHEN quits THEN 'quit' WHEN p.song_id IS NULL OR top_k IS NULL OR birth_year IS NULL THEN 'invalid_input'
+            WHEN s.song_id IS NULL THEN 'unknown_song' WHEN top_k < 1 THEN 'bad_top_k' ELSE 'ok' END AS status
+FROM p LEFT JOIN (SELECT song_id, min(artist_id) AS artist_id FROM songs GROUP BY song_id) s ON p.song_id = s.song_id""")
+def q_request_typed(spark, sf_dir):
+    """RC1 SC15 FLT6: requests as typed text: padded ids, words for numbers, quit"""
+    e = A.table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    typed = e.select(
+        k.alias("req_id"),
+        F.when(k % 17 == 0, " Quit ").when(k % 19 == 0, "no such id")
+         .otherwise(F.concat(F.lit("  "), k.cast("string"), F.lit(" "))).alias("song_id"),
+        F.when(k % 13 == 0, "ten").otherwise(F.concat(F.lit(" "), (k % 10).cast("string"))).alias("top_k"),
+        (1970 + F.col("user_id") % 30).cast("string").alias("birth_year"))
+    tracks = A.tracks(spark, sf_dir)
+    parsed = R.parse_typed(typed, tracks)
+    status = F.when(F.col("typed") == "ok", F.col("status")).otherwise(F.col("typed"))
+    return R.resolve(parsed, tracks).join(parsed.select("req_id", "typed"), "req_id").select(
+        "req_id", "anchor_song", "anchor_artist", "top_k", "birth_year", status.alias("status"))

@@ -60,14 +60,6 @@ def q_segment_stats(spark, sf_dir):
     return SG.stats_long(A.embedding_segments(spark, sf_dir))
 
 
-@register("segment_stats_split", _stats_sql(A.SQL_EMBEDDING_SEGMENTS))
-def q_segment_stats_split(spark, sf_dir):
-    """AG9 AG10 AG11 with every label above 32 rows taken as a hot song: the
-    medians of those come from the distributed order statistics (range
-    partitioned, no label gathered in one task) over the whole table"""
-    return SG.stats_long(A.embedding_segments(spark, sf_dir), hot_segments=32)
-
-
 @register("segment_cov", _cov_sql(A.SQL_EMBEDDING_SEGMENTS))
 def q_segment_cov(spark, sf_dir):
     """AG12 AG13: sample covariance, upper triangle"""

@@ -46,8 +46,6 @@ SCALAR_FEATURES = [
     "time_signature", "key_confidence", "mode_confidence",
 ]
 
-EDGE = T.StructType([T.StructField("target", _S), T.StructField("similar", _S)])
-
 REQUEST = T.StructType([
     T.StructField("req_id", T.LongType()), T.StructField("song_id", T.LongType()),
     T.StructField("artist_id", T.LongType()), T.StructField("top_k", _I),
@@ -63,13 +61,3 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         (F.col(f.name).cast(f.dataType) if f.name in have
          else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields])
-
-
-def check_schema(df: DataFrame, schema: T.StructType) -> None:
-    """Raise if a field of ``schema`` is missing or has a different type."""
-    got = {f.name: f.dataType for f in df.schema.fields}
-    bad = [f"{f.name}: want {f.dataType.simpleString()}, got "
-           f"{got[f.name].simpleString() if f.name in got else 'absent'}"
-           for f in schema.fields if got.get(f.name) != f.dataType]
-    if bad:
-        raise ValueError("schema mismatch: " + "; ".join(bad))

@@ -9,7 +9,8 @@ a CTE). Both must stay in step; ``tests/test_oracle.py`` checks them.
 The driver's tables hold no nulls, NaN or year-0 sentinels, so the views plant
 them deterministically from the key (every 101st track has no year, every
 second even one has the sentinel 0, ...). These are value rules, not filters:
-every row of every table is kept.
+every row of every table is kept. A track's loudness follows from the year of its
+order (also where the view hides the year), the one signal for the year model.
 """
 
 from __future__ import annotations
@@ -51,7 +52,8 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         (60 + k % 140).cast("double").alias("tempo"),
         (k % 12).cast("int").alias("key"),
         (_k("o_custkey") % 2).cast("int").alias("mode"),
-        (-(k % 60)).cast("double").alias("loudness"),
+        # louder from year to year, so that a year model has something to learn
+        (7 * (F.year("o_orderdate") - 2000) - k % 7).cast("double").alias("loudness"),
         (3 + k % 5).cast("int").alias("time_signature"),
         ((k % 97).cast("double") / 97).alias("key_confidence"),
         ((_k("o_custkey") % 89).cast("double") / 89).alias("mode_confidence"),
@@ -70,7 +72,7 @@ SELECT o_orderkey AS song_id, o_custkey AS artist_id,
   CAST(60 + o_orderkey % 140 AS DOUBLE) AS tempo,
   CAST(o_orderkey % 12 AS INTEGER) AS "key",
   CAST(o_custkey % 2 AS INTEGER) AS "mode",
-  CAST(-(o_orderkey % 60) AS DOUBLE) AS loudness,
+  CAST(7 * (year(o_orderdate) - 2000) - o_orderkey % 7 AS DOUBLE) AS loudness,
   CAST(3 + o_orderkey % 5 AS INTEGER) AS time_signature,
   CAST(o_orderkey % 97 AS DOUBLE) / 97 AS key_confidence,
   CAST(o_custkey % 89 AS DOUBLE) / 89 AS mode_confidence

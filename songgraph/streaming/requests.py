@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from songgraph.operators.recommend import recommend
 from songgraph.schema import REQUEST
+from songgraph.session import scratch
 
 
 def serve(spark: SparkSession, requests_dir: str, songs: DataFrame, paths: DataFrame,
@@ -27,8 +28,9 @@ def serve(spark: SparkSession, requests_dir: str, songs: DataFrame, paths: DataF
     stream = reader.parquet(requests_dir)
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        recs = recommend(batch, songs, paths, artists=artists)
-        recs.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
+        with scratch(spark):        # the batch's tables go with the batch
+            recs = recommend(batch, songs, paths, artists=artists)
+            recs.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
 
     writer = (stream.writeStream.foreachBatch(answer)
               .option("checkpointLocation", checkpoint_dir))

@@ -247,6 +247,37 @@ def test_fallback_matches_brute_force(spark):
     assert fast == brute
 
 
+def test_fallback_tail_and_large_top_k(spark):
+    """Birth years far from every song, more songs asked for than there are, and a
+    mixture of dated, undated and equally far songs."""
+    import random
+    rnd = random.Random(5)
+    rows = [(i, f"a{i % 5}", f"t{i}", rnd.choice([None, 0, 1200, 1500, 1693, 1694, 1695, 1999, 2006, 2007, 2200, 2201]))
+            for i in rnd.sample(range(1000), 120)]
+    songs = spark.createDataFrame(rows, "song_id long, artist_id string, title string, year int")
+    births = (1990, 1484, 2184, 900, 5000)
+    by = spark.createDataFrame([(b,) for b in births], "birth_year int")
+    score = {b: {r["song_id"]: r["score"] for r in songs.select(
+        "song_id", nostalgia_score("year", F.lit(b)).alias("score")).collect()} for b in births}
+    for kf in (1, 7, 60, 119, 500, 1_000_000):
+        got = {}
+        for r in R.fallback_ranked(by, songs, kf).collect():
+            got.setdefault(r["birth_year"], {})[r["rank"]] = r["song_id"]
+        for b in births:
+            want = sorted(score[b], key=lambda i: (-score[b][i], i))[:kf]
+            assert [got[b][k + 1] for k in range(len(got[b]))] == want, (kf, b)
+
+
+def test_typed_requests(spark):
+    typed = spark.createDataFrame([(1, " 1 ", "2", "1990"), (2, "QUIT", "x", None), (3, "1", "two", "1990"),
+                                   (4, "song", "2", "1990"), (5, None, "2", "1990"), (6, "1", " 3", " 1985 ")],
+                                  "req_id long, song_id string, top_k string, birth_year string")
+    got = {r["req_id"]: r for r in R.parse_typed(typed, _songs(spark)).collect()}
+    assert {k: r["typed"] for k, r in got.items()} == {1: "ok", 2: "quit", 3: "invalid_input", 4: "invalid_input",
+                                                       5: "invalid_input", 6: "ok"}
+    assert (got[1]["song_id"], got[6]["top_k"], got[6]["birth_year"]) == (1, 3, 1985)
+
+
 def test_impute_keeps_rows_and_valid_years(spark):
     rows = [(i, "a", 1990 + i % 5 if i % 3 else 0, 200.0 + i) for i in range(30)]
     songs = spark.createDataFrame(rows, "song_id long, artist_id string, year int, duration double")
@@ -265,6 +296,10 @@ def test_hash_split_stable_under_column_order(spark):
     b, _ = Y.hash_split(df.select("x", "song_id"))
     assert {r[0] for r in a.select("song_id").collect()} == \
            {r[0] for r in b.select("song_id").collect()}
+    assert 700 < a.count() < 900
+    null = df.limit(1).withColumn("song_id", F.lit(None).cast("long"))
+    parts = Y.hash_split(null)
+    assert (parts[0].count(), parts[1].count()) == (0, 1)
 
 
 def test_scan_dir_suffix_and_corrupt_files(spark, tmp_path):
@@ -287,15 +322,147 @@ def test_rejects_keep_bad_records(spark, tmp_path):
     assert [r["raw_record"] for r in bad.collect()] == ["{broken"]
 
 
-def test_compact_sizes_output(spark, tmp_path):
+def test_compact_packs_files_without_a_shuffle(spark, tmp_path):
     from songgraph.sources import files as FS
     src = str(tmp_path / "src")
     spark.range(1000).repartition(20).write.parquet(src)
-    df = spark.read.parquet(src)
-    assert FS.compact(df, str(tmp_path / "o1"), size_hint=10) == 1
-    assert FS.compact(df, str(tmp_path / "o2"), size_hint=3000, target_file_bytes=1000) == 3
-    assert FS.compact(df, str(tmp_path / "o3"), single_file=True) == 1
-    assert spark.read.parquet(str(tmp_path / "o2")).count() == 1000
+    (tmp_path / "src" / "broken.parquet").write_bytes(b"not parquet at all")
+    files = FS.listing(spark, src, ".parquet").collect()
+    assert len(files) == 21
+    total = sum(f["length"] for f in files)
+
+    def written(**kw):
+        out = str(tmp_path / f"o{len(kw)}-{kw.get('target_file_bytes', 0)}")
+        n = FS.compact(spark, src, out, schema="id long", **kw).count()
+        assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(1000))
+        return n
+    assert written() == 1 and written(single_file=True, target_file_bytes=1000) == 1
+    assert 4 <= written(target_file_bytes=total // 4) <= 8
+    assert written(target_file_bytes=1000) >= 15
+    plan = FS.scan_dir(FS.packing_session(spark, total), src, ".parquet", schema="id long")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != "1"      # the caller's session is as it was
+
+
+def test_audit_names_every_unreadable_file(spark, tmp_path):
+    from songgraph.sources import files as FS
+    root = tmp_path / "la nd+1"
+    spark.range(10).repartition(2).write.parquet(str(root / "a b" / "k=x%y"))
+    (root / "broken.parquet").write_bytes(b"not parquet at all")
+    (root / "empty.parquet").write_bytes(b"")
+    good = sorted((root / "a b" / "k=x%y").glob("*.parquet"))
+    cut = good[0].read_bytes()
+    (root / "cut.parquet").write_bytes(cut[: len(cut) // 2])
+    (root / "note.txt").write_text("no part of the scan")
+    got = {r["path"].rsplit("/", 1)[-1]: r for r in FS.audit(spark, str(root), ".parquet", schema="id long").collect()}
+    assert {k: r["reason"] for k, r in got.items() if r["reason"]} == {
+        "broken.parquet": "no readable rows", "cut.parquet": "no readable rows"}
+    assert sum(r["n_rows"] for r in got.values()) == 10 and len(got) == 2 + len(good)
+    assert all(got[f.name]["length"] == f.stat().st_size and got[f.name]["checksum"] is not None for f in good)
+    bad = FS.rejects(FS.audit(spark, str(root), ".parquet", schema="id long"))
+    assert bad.count() == 2 and bad.columns == ["path", "length", "reason"]
+
+
+def test_workspace_reads_by_extension(spark, tmp_path):
+    from songgraph.operators.explore_sql import Workspace, query
+    spark.range(5).selectExpr("id", "id * 1.5 as x").coalesce(1).write.option("header", "true").csv(str(tmp_path / "w" / "t.csv"))
+    spark.range(5).selectExpr("id", "concat('n', id) as name").write.json(str(tmp_path / "w" / "plain"))
+    spark.range(3).write.parquet(str(tmp_path / "p.parquet"))
+    space = Workspace(spark, {"w": str(tmp_path / "w")}, {"w": "json"}, schemas={"w:t.csv": "id long, x double"})
+    got = space.query("select name, x from {a} join {b} using (id) where id > 2", a="w:t.csv", b="w:plain")
+    assert sorted(tuple(r) for r in got.collect()) == [("n3", 4.5), ("n4", 6.0)]
+    assert query(spark, "select count(*) as n from {p}", p=str(tmp_path / "p.parquet")).first()["n"] == 3
+    assert dict(Workspace(spark, {"w": str(tmp_path / "w")}).table("w:t.csv").dtypes) == {"id": "string", "x": "string"}
+    for bad in ("w:t.hdf5", "nowhere/t"):
+        with pytest.raises(ValueError, match="no format"):
+            Workspace(spark, {"w": "x"}).table(bad)
+
+
+def test_range_predicates_cover_every_key_once():
+    import sqlite3
+    from songgraph.sources.jdbc import bounds_query, literal, range_predicates
+    con = sqlite3.connect(":memory:")
+    keys = [f"AR{i * 37 % 101:03d}'x" for i in range(400)] + [None] * 7 + ["hot"] * 300
+    con.execute("create table similarity (target text)")
+    con.executemany("insert into similarity values (?)", [(k,) for k in keys])
+    for parts in (1, 2, 5, 16):
+        shares = con.execute("select * from " + bounds_query("similarity", "target", parts)).fetchall()
+        where = range_predicates("target", [b for _, b in sorted(shares)])
+        counts = [con.execute(f"select count(*) from similarity where {w}").fetchone()[0] for w in where]
+        assert sum(counts) == len(keys) and len(where) <= parts
+        assert max(counts) <= 300 + len(keys) // parts + 7       # a share and at most one hot key
+    assert range_predicates("k", []) == ["1 = 1"] and literal("O'Neil") == "'O''Neil'" and literal(7) == "7"
+
+
+def test_scratch_tables_go_and_kept_ones_stay(spark):
+    import os
+    from songgraph.session import ensure_checkpoint_dir, materialize, scratch
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+
+    def left():
+        return {n for n in os.listdir(base) if n.split("-")[0] in ("one", "two", "three", "out")}
+    before = left()
+    with scratch(spark) as outer:
+        with scratch(spark) as own:
+            one = materialize(spark.range(3), "one")
+            two = materialize(one.selectExpr("id + 1 as id"), "two")
+            own.free(one)
+            assert {n.split("-")[0] for n in left() - before} == {"two"}
+            kept = own.keep(two)                         # handed over, not written again
+            lazy = own.keep(two.where("id > 1"), "three")
+        assert sorted(r["id"] for r in kept.collect()) == [1, 2, 3] and lazy.count() == 2
+        out = outer.keep(lazy.union(kept), "out")
+    assert {n.split("-")[0] for n in left() - before} == {"out"} and out.count() == 5
+    with pytest.raises(RuntimeError), scratch(spark):
+        materialize(spark.range(3), "one")
+        raise RuntimeError
+    assert {n.split("-")[0] for n in left() - before} == {"out"}
+
+
+def test_queries_leave_one_folder(spark):
+    """Every intermediate table of a query is gone when it returns."""
+    import os
+    from songgraph.plans.registry import QUERIES
+    from songgraph.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+    for name in ("recommend_batch", "recommend_fallback", "recommend_stream", "cache_lookup", "segment_stats",
+                 "compact_songs", "ingest_rejects", "bfs_multi", "sql_by_path"):
+        before = set(os.listdir(base))
+        QUERIES[name](spark, "/root/testdata/sf0.001").count()
+        assert len(set(os.listdir(base)) - before) == 1, (name, set(os.listdir(base)) - before)
+
+
+def test_readers_never_see_half_a_table(spark, tmp_path):
+    import threading
+    path = str(tmp_path / "served")
+    spark.range(100).selectExpr("id % 7 as root", "id as v", "1 as degree").createOrReplaceTempView("first_paths")
+    with pytest.raises(FileNotFoundError):
+        S.read_serving_table(spark, path)
+    S.write_serving_table(spark.table("first_paths"), path, n_buckets=4)
+    old = S.read_serving_table(spark, path)
+    seen, stop = set(), threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.add(S.read_serving_table(spark, path).count())
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in (200, 300):
+            S.write_serving_table(spark.range(n).selectExpr("id % 7 as root", "id as v", "1 as degree"), path, n_buckets=4)
+            if n == 200:
+                assert old.count() == 100        # a reader on the version before is undisturbed
+    finally:
+        stop.set()
+        reader.join()
+    assert seen <= {100, 200, 300} and S.read_serving_table(spark, path).count() == 300
+    # a writer that died: its folder is not read, and goes with the next version
+    spark.range(5).selectExpr("id as root", "id as v", "1 as degree", "0 as bucket").write.parquet(f"{path}/v0000000002-dead")
+    assert S.read_serving_table(spark, path).count() == 300
+    S.write_serving_table(spark.table("first_paths"), path, n_buckets=4)
+    S.write_serving_table(spark.table("first_paths"), path, n_buckets=4)
+    left = [n.name for n in tmp_path.joinpath("served").iterdir() if n.name.startswith("v")]
+    assert len(left) == 2 == len(S.versions(spark, path))
 
 
 def test_read_songs_conforms_schema(spark, tmp_path):
@@ -306,23 +473,64 @@ def test_read_songs_conforms_schema(spark, tmp_path):
     df = FS.read_songs(spark, str(tmp_path / "s"))
     assert df.schema == SONG
     assert df.first()["song_id"] == "s1" and df.first()["artist_id"] is None
+    # a record table that keeps its scalars as one-element arrays
+    spark.createDataFrame([("s1", [1999], [121.5, 7.0], [])], "song_id string, year array<int>, tempo array<double>, "
+                          "loudness array<double>").write.parquet(str(tmp_path / "r"))
+    one = FS.read_songs(spark, str(tmp_path / "r"))
+    assert one.schema == SONG and tuple(one.select("song_id", "year", "tempo", "loudness").first()) == ("s1", 1999, 121.5, None)
 
 
 def test_model_save_load_and_impute_invariants(spark, tmp_path):
+    import json
     from songgraph.functions.scalar import valid_year
     from songgraph.operators import features as FT
     recs = FT.song_records(spark, "/root/testdata/sf0.001").cache()
-    model = Y.train(recs, maxIter=2, maxDepth=2)
-    Y.save_model(model, str(tmp_path / "m"))
-    loaded = Y.load_model(str(tmp_path / "m"))
+    model = Y.train(recs, maxIter=12, maxDepth=3, stepSize=0.3)
+    path = str(tmp_path / "m")
+    Y.save_model(model, path)
+    loaded = Y.load_model(path)
     out = Y.impute(recs, loaded)
-    assert out.count() == recs.count()
+    assert out.count() == recs.count() and out.columns == recs.columns
     before = {r["song_id"]: r["year"] for r in recs.where(valid_year("year")).collect()}
     after = {r["song_id"]: r["year"] for r in out.collect()}
     assert all(after[k] == v for k, v in before.items())
     assert sum(1 for v in after.values() if v is None or v == 0) == 0
+    # the line items' dates give the year away: far better than the mean
     m = Y.evaluate(loaded, recs).first()
-    assert m["n"] > 0 and m["rmse"] >= 0
+    years = [r["year"] for r in Y.held_out(recs).select("year").collect()]
+    mean = sum(years) / len(years)
+    assert m["n"] == len(years) and m["rmse"] < 0.7 * math.sqrt(sum((y - mean) ** 2 for y in years) / len(years))
+    # a manifest of another feature order is refused
+    lines = [json.loads(x) for f in (tmp_path / "m" / "manifest").glob("*.json") for x in f.read_text().splitlines()]
+    for r in lines:
+        if r["name"] == "features":
+            r["value"] = json.dumps(json.loads(r["value"])[::-1])
+    spark.createDataFrame([(r["name"], r["value"]) for r in lines], "name string, value string") \
+        .write.mode("overwrite").json(path + "/manifest")
+    with pytest.raises(ValueError, match="features"):
+        Y.load_model(path)
+
+
+def test_feature_vector_equals_flattened_columns(spark):
+    from songgraph.operators import features as FT
+    recs = FT.song_records(spark, "/root/testdata/sf0.001").limit(40)
+    odd = recs.limit(1).select("*").withColumns({
+        "song_id": F.lit(-1).cast("long"), "segments_timbre": F.array(F.lit(1.0), F.lit(None).cast("double")),
+        "timbre_cov": F.lit(None).cast("array<double>"), "duration": F.lit(-5.0), "tempo": F.lit(float("nan"))})
+    df = recs.unionByName(odd)
+    flat = {r["song_id"]: [r[c] for c in FT.FEATURE_COLS] for r in FT.flatten(df, ["song_id"]).collect()}
+    vecs = {r["song_id"]: list(r["features"].toArray()) for r in FT.with_vector(df).select("song_id", "features").collect()}
+    assert vecs == flat and len(vecs) == 41
+
+
+def test_fitting_rows_are_thinned_by_hash(spark):
+    from songgraph.operators import features as FT
+    recs = FT.song_records(spark, "/root/testdata/sf0.001").cache()
+    whole = {r["song_id"] for r in Y.fitting_rows(recs, None).collect()}
+    some = {r["song_id"] for r in Y.fitting_rows(recs, 100).collect()}
+    tests = {r["song_id"] for r in Y.held_out(recs).collect()}
+    assert some < whole and 50 < len(some) < 150 and not whole & tests
+    assert whole | tests == {r["song_id"] for r in Y.training_rows(recs).collect()}
 
 
 def _star(spark):
@@ -353,43 +561,41 @@ def test_nearest_bfs_equals_nearest_of_whole_bfs(spark, n):
     assert full == cut
 
 
-def test_order_statistics_match_sorting(spark):
-    import random
-    from songgraph.operators.quantiles import order_statistics
-    rnd = random.Random(7)
-    rows = []
-    for g in range(4):
-        size = [1, 2, 57, 400][g]
-        pool = [float(rnd.randint(-5, 5)) for _ in range(3)] + [rnd.random() for _ in range(5)]
-        rows += [(g, rnd.choice(pool) if rnd.random() < 0.5 else rnd.gauss(0, 3))
-                 for _ in range(size)]
-    vals = spark.createDataFrame(rows, "g long, x double")
-    want = {}
-    for g in range(4):
-        xs = sorted(x for k, x in rows if k == g)
-        for r in {1, (len(xs) + 1) // 2, len(xs) // 2 + 1, len(xs)}:
-            want[(g, r)] = xs[r - 1]
-    ranks = spark.createDataFrame(list(want), "g long, r long")
-    got = {(r["g"], r["r"]): r["x"]
-           for r in order_statistics(vals, ["g"], "x", ranks, parts=7).collect()}
-    assert got == want
+def _bracketed(spark, groups):
+    """(g, x) rows with the ends and size of their group, as ``exact_medians`` reads them."""
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs]
+    vals = spark.createDataFrame(rows, "g long, x double").repartition(7)
+    ends = vals.groupBy("g").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("n"))
+    return vals.join(ends, "g")
 
 
-@pytest.mark.parametrize("hot", [0, 3])
-def test_hot_song_medians_equal_gathered(spark, hot):
+def test_medians_by_brackets_equal_sorting(spark):
     import random
-    rnd = random.Random(hot)
-    rows = [(sid, k, [float(rnd.randint(0, 6)) for _ in range(12)])
-            for sid, n in [(1, 1), (2, 2), (3, 5), (4, 40), (5, 41)] for k in range(n)]
-    segs = _segs(spark, rows)
-    base = {(r["song_id"], r["dim"]): r for r in SG.stats_long(segs).collect()}
-    split = {(r["song_id"], r["dim"]): r
-             for r in SG.stats_long(segs, hot_segments=hot).collect()}
-    assert split == base
-    arr = {r["song_id"]: r["stats"] for r in
-           SG.record_arrays(segs, {"x": ("stats", "cov")}, hot_segments=hot)
-             .select("song_id", "stats").collect()}
-    assert arr == {r["song_id"]: r["stats"] for r in SG.segment_arrays(segs).collect()}
+    import statistics
+    from songgraph.operators.quantiles import exact_medians, order_statistics
+    rnd = random.Random(7)
+    groups = {0: [3.5], 1: [2.0, -1.0], 2: [rnd.gauss(0, 3) for _ in range(57)],
+              3: [rnd.choice([1.0, 2.0, 7.0]) for _ in range(400)],
+              4: [rnd.gauss(0, 1) for _ in range(5000)],
+              5: [10.0 ** rnd.uniform(-300, 300) for _ in range(301)],     # far from evenly spread
+              6: [1e9 + 1e-6 * i for i in range(1000)], 7: [5.0] * 999 + [6.0],
+              8: [-1.7e308, 1.7e308, 1.0, 2.0], 9: [0.0, -0.0, 0.0]}
+    rows = _bracketed(spark, groups)
+    got = {r["g"]: r["m"] for r in exact_medians(rows, ["g"], "x", out="m").collect()}
+    assert got == {g: statistics.median(xs) for g, xs in groups.items()}
+    for r in (1, 2, 57, 400):
+        ranks = rows.where(F.col("n") >= r).withColumns({"r": F.lit(r).cast("long"), "two": F.lit(False)})
+        got = {x["g"]: x["first"] for x in order_statistics(ranks.select("g", "x", "lo", "hi", "r", "two"), ["g"], "x").collect()}
+        assert got == {g: sorted(xs)[r - 1] for g, xs in groups.items() if len(xs) >= r}
+
+
+def test_medians_with_infinities_and_nan(spark):
+    from songgraph.operators.quantiles import exact_medians
+    inf, nan = float("inf"), float("nan")
+    groups = {1: [-inf, 1.0, 2.0, 3.0, inf], 2: [nan, nan, 4.0], 3: [1.0, 2.0, nan], 4: [-inf, -inf, 5.0],
+              5: [float(i) for i in range(200)] + [nan, inf, -inf]}
+    got = {r["g"]: r["m"] for r in exact_medians(_bracketed(spark, groups), ["g"], "x", out="m").collect()}
+    assert (got[1], got[3], got[4]) == (2.0, 2.0, -inf) and math.isnan(got[2]) and got[5] == 100.0
 
 
 def test_serving_hot_root_long_ids(spark, tmp_path):
@@ -407,19 +613,11 @@ def test_serving_hot_root_long_ids(spark, tmp_path):
     assert got == want
 
 
-def test_hot_song_medians_with_nan_and_signed_zero(spark):
+def test_song_medians_with_nan_and_signed_zero(spark):
     nan = float("nan")
     rows = [(1, k, [v, -0.0 if k % 2 else 0.0]) for k, v in
             enumerate([3.0, nan, 1.0, nan, 2.0, 5.0])] + \
            [(2, k, [v]) for k, v in enumerate([nan, 4.0, nan])]
-    segs = _segs(spark, rows)
-
-    def meds(**kw):
-        out = {}
-        for r in SG.stats_long(segs, **kw).collect():
-            m = r["median_v"]
-            out[(r["song_id"], r["dim"])] = "nan" if m is not None and math.isnan(m) else m
-        return out
-    base = meds()
-    assert base[(1, 0)] == 4.0 and base[(2, 0)] == "nan"
-    assert meds(hot_segments=0) == base
+    got = {(r["song_id"], r["dim"]): r["median_v"] for r in SG.stats_long(_segs(spark, rows)).collect()}
+    assert got[(1, 0)] == 4.0 and got[(1, 1)] == 0.0 and math.isnan(got[(2, 0)])
+
