@@ -53,7 +53,7 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 12).cast("int").alias("key"),
         (_k("o_custkey") % 2).cast("int").alias("mode"),
         # louder from year to year, so that a year model has something to learn
-        (7 * (F.year("o_orderdate") - 2000) - k % 7).cast("double").alias("loudness"),
+        (7 * (F.year("o_orderdate") - 2000) - k % 4).cast("double").alias("loudness"),
         (3 + k % 5).cast("int").alias("time_signature"),
         ((k % 97).cast("double") / 97).alias("key_confidence"),
         ((_k("o_custkey") % 89).cast("double") / 89).alias("mode_confidence"),
@@ -72,7 +72,7 @@ SELECT o_orderkey AS song_id, o_custkey AS artist_id,
   CAST(60 + o_orderkey % 140 AS DOUBLE) AS tempo,
   CAST(o_orderkey % 12 AS INTEGER) AS "key",
   CAST(o_custkey % 2 AS INTEGER) AS "mode",
-  CAST(7 * (year(o_orderdate) - 2000) - o_orderkey % 7 AS DOUBLE) AS loudness,
+  CAST(7 * (year(o_orderdate) - 2000) - o_orderkey % 4 AS DOUBLE) AS loudness,
   CAST(3 + o_orderkey % 5 AS INTEGER) AS time_signature,
   CAST(o_orderkey % 97 AS DOUBLE) / 97 AS key_confidence,
   CAST(o_custkey % 89 AS DOUBLE) / 89 AS mode_confidence
