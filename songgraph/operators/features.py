@@ -27,14 +27,16 @@ SCALAR_COLS = SCALAR_FEATURES + ["log_duration", "tempo_norm"]
 FEATURE_COLS = STAT_COLS + COV_COLS + SCALAR_COLS        # 313
 
 
-def song_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def song_records(spark: SparkSession, sf_dir: str, songs: DataFrame | None = None) -> DataFrame:
     """The full song table: songs plus the four segment arrays of each track,
     computed from its line items (timbre and pitches share the rows, so one
-    grouped pass makes all four)."""
-    songs = A.songs(spark, sf_dir)
-    both = _both(A.segments(spark, sf_dir, "timbre"))
-    arrays = SG.record_arrays(both, {"x": ("segments_timbre", "timbre_cov"),
-                                     "p": ("segments_pitches", "pitch_cov")})
+    pass makes all four; pitches are the timbre dims folded onto 12 semitones).
+    ``songs``: only the records of these songs of the table."""
+    wanted = None if songs is None else songs.select("song_id").distinct()
+    songs = A.songs(spark, sf_dir) if songs is None else songs
+    arrays = SG.record_arrays(A.segments(spark, sf_dir, "timbre"),
+                              {"x": ("segments_timbre", "timbre_cov"), "p": ("segments_pitches", "pitch_cov")},
+                              derived={"p": lambda x: x % 12.0}, wanted=wanted)
     # one row per song on both sides: never broadcast the arrays (their
     # compressed shuffle size understates the in-memory table many times)
     j = songs.join(arrays.hint("merge"), "song_id", "left")
@@ -43,13 +45,6 @@ def song_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *SG.zero_fill("segments_pitches", "pitch_cov"))
 
 
-def _both(t: DataFrame) -> DataFrame:
-    """Pitches are the timbre dims folded onto 12 semitones: derive them from
-    the same rows instead of reading the line items twice."""
-    return t.select("song_id", "seg", *[F.col(f"x{i}") for i in range(N_DIMS)],
-                    *[(F.col(f"x{i}") % 12.0).alias(f"p{i}") for i in range(N_DIMS)])
-
-
 def _fill0(c) -> F.Column:
     c = c.cast("double")
     return F.coalesce(F.nanvl(c, F.lit(0.0)), F.lit(0.0))

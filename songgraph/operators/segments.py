@@ -4,12 +4,16 @@ Input is long form, one row per segment: ``(song_id, seg, x0..x11)``; a
 value missing from a short segment is 0.0, as in the original ingest. The 72
 statistics (mean, median, min, max, population std, count for each dim,
 array index ``dim*6 + stat``) and the 78 sample covariances of the upper
-triangle (row-major) need no self-join and no pair explosion. Sums, min and
-max come from one hash aggregate that combines partially before the shuffle;
-std and covariance from a second one over the deviations from the song's
-means, so that nothing cancels where means dwarf the spread. Medians come from
-the narrow rows (song, dim, value) by the value brackets of ``quantiles``: no
-song's matrix is gathered, whatever its size.
+triangle (row-major) need no self-join and no pair explosion.
+
+Songs of up to ``SONG_ROWS`` segments cross the network once, as their 12 plain values:
+windows over the song give its sums, ends and medians, windows over the same sorted rows
+the products of deviations from its means (so that nothing cancels where means dwarf the
+spread), and nothing is written. Longer songs are never in one task: sums, min and max
+come from one hash aggregate that combines partially before the shuffle; std and
+covariance from a second one over the deviations; medians from the narrow rows (song,
+dim, value) by the value brackets of ``quantiles``. Values that follow from others
+(pitches from timbre) are derived after the shuffle.
 
 A song without segments gets 72 and 78 zeros; a song with one segment has
 covariance NaN (0/0), as computed by the original; features fill it with 0.
@@ -17,13 +21,20 @@ covariance NaN (0/0), as computed by the original; features fill it with 0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from songgraph.operators.quantiles import exact_medians
 from songgraph.schema import N_COV, N_DIMS, N_STATS, STAT_NAMES
 from songgraph.session import materialize, scratch
 
+# Segments of the longest song that one task may hold (13 MB of values at most).
+SONG_ROWS = 1 << 14
+# How a matrix follows from the stored one, by column prefix.
+Derived = dict[str, Callable[[Column], Column]]
+
 PAIRS = [(i, j) for i in range(N_DIMS) for j in range(i, N_DIMS)]
 
 
@@ -109,8 +120,8 @@ def _final(src: str, medians: bool = True) -> list:
     return out
 
 
-def _wide(segs: DataFrame, srcs: list[str], medians: bool = True) -> DataFrame:
-    finals = [c for src in srcs for c in _final(src, medians)]
+def _long(segs: DataFrame, srcs: list[str], medians: bool) -> DataFrame:
+    """The statistics of songs of any length, each spread over many tasks, written."""
     with scratch(segs.sparkSession) as own:
         # per-song sums feed the deviations, the brackets and the result: computed once
         sums = materialize(_sums(segs, srcs), "song-sums")
@@ -119,7 +130,59 @@ def _wide(segs: DataFrame, srcs: list[str], medians: bool = True) -> DataFrame:
         both = sums.hint("merge").join(_moments(segs, sums, srcs), "song_id")
         if medians:
             both = both.hint("merge").join(_medians(segs, sums, srcs), "song_id")
-        return own.keep(both.select("song_id", *finals), "song-statistics")
+        return own.keep(both.select("song_id", *[c for src in srcs for c in _final(src, medians)]),
+                        "song-statistics")
+
+
+def _short(segs: DataFrame, srcs: list[str], medians: bool) -> DataFrame:
+    """The same for songs that one task can hold: windows over rows that lie together.
+    Partitioned and sorted by song, so a join by song moves nothing again."""
+    song = Window.partitionBy("song_id")
+    xs = [f"{src}{i}" for src in srcs for i in range(N_DIMS)]
+    rows = segs.select("song_id", *[x.alias(f"{src}{i}") for src in srcs for i, x in enumerate(_xs(src))]) \
+        .withColumn("_at", F.row_number().over(song.orderBy(xs[0])))
+    one = [F.count(F.lit(1)).over(song).alias("n")]
+    for src in srcs:
+        for i in range(N_DIMS):
+            x = f"{src}{i}"
+            one += [F.sum(x).over(song).alias(f"{src}_sum{i}"), F.min(x).over(song).alias(f"{src}_min{i}"),
+                    F.max(x).over(song).alias(f"{src}_max{i}")]
+            if medians:
+                one.append(F.median(x).over(song).alias(f"{src}_med{i}"))
+    known = rows.select("song_id", "_at", *xs, *one)
+    stats = [c for c in known.columns if c not in ("song_id", "_at", *xs)]
+    dev = known.select("song_id", "_at", *stats, *[(F.col(f"{src}{i}") - F.col(f"{src}_sum{i}") / F.col("n")).alias(f"_{src}{i}")
+                                                   for src in srcs for i in range(N_DIMS)])
+    both = dev.select("song_id", "_at", *stats, *[F.sum(F.col(f"_{src}{i}") * F.col(f"_{src}{j}")).over(song).alias(f"{src}_sp{i}_{j}")
+                                                  for src in srcs for i, j in PAIRS])
+    return both.where(F.col("_at") == 1).select("song_id", *[c for src in srcs for c in _final(src, medians)])
+
+
+def _wide(segs: DataFrame, srcs: list[str], medians: bool = True, derived: Derived | None = None,
+          wanted: DataFrame | None = None) -> DataFrame:
+    """One row per song (of ``wanted``, if given: ``song_id``). Lazy but for long songs."""
+    stored = [src for src in srcs if src not in (derived or {})]
+    segs = segs.where(F.col("song_id").isNotNull()) \
+        .select("song_id", *[f"{src}{i}" for src in stored for i in range(N_DIMS)])
+
+    def whole(rows):
+        return rows.select("*", *[f(F.col(f"{stored[0]}{i}")).alias(f"{src}{i}")
+                                  for src, f in (derived or {}).items() for i in range(N_DIMS)])
+
+    def asked(rows):
+        return rows if wanted is None else rows.join(wanted, "song_id", "left_semi")
+
+    with scratch(segs.sparkSession) as own:
+        long = materialize(segs.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
+                           .where(F.col("n") > SONG_ROWS).select("song_id"), "long-songs")
+        if long.isEmpty():
+            rest = asked(segs) if wanted is not None else segs.repartition("song_id")
+            return _short(whole(rest), srcs, medians)
+        rest = asked(segs.join(long, "song_id", "left_anti"))
+        rest = _short(whole(rest if wanted is not None else rest.repartition("song_id")), srcs, medians)
+        spread = _long(whole(asked(segs.join(long, "song_id", "left_semi"))), srcs, medians)
+        own.keep(long)              # the lazy rest reads it
+        return rest.unionByName(own.keep(spread))
 
 
 def segment_stats_wide(segs: DataFrame, medians: bool = True) -> DataFrame:
@@ -138,11 +201,13 @@ def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "co
         F.array(*[F.col(f"x_c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
 
 
-def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
+def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]], derived: Derived | None = None,
+                  wanted: DataFrame | None = None) -> DataFrame:
     """Several matrices that share their segments (e.g. timbre ``x*`` and
-    pitches ``p*`` of the same rows) in ONE grouped pass. ``kinds`` maps a
-    column prefix to the (stats, cov) output names."""
-    wide = _wide(segs, list(kinds))
+    pitches ``p*`` of the same rows) in ONE pass. ``kinds`` maps a column prefix
+    to the (stats, cov) output names; ``derived`` tells how the columns of a prefix
+    follow from those of the first; ``wanted`` (``song_id``) restricts the songs."""
+    wide = _wide(segs, list(kinds), derived=derived, wanted=wanted)
     outs = []
     for src, (stats_col, cov_col) in kinds.items():
         outs.append(F.array(*[F.col(f"{src}_s{i}_{s}") for i in range(N_DIMS)

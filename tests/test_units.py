@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from songgraph.functions.scalar import nostalgia_score
 from songgraph.operators import explore, graph as G, recommend as R, segments as SG
 from songgraph.operators import serving as S, years as Y
+from songgraph.sources import adapters as A
 
 
 def _segs(spark, rows):
@@ -54,6 +55,62 @@ def test_empty_matrix_gives_zeros(spark):
     assert rows[2]["stats"] == [0.0] * 72 and rows[2]["cov"] == [0.0] * 78
 
 
+def _random_segs(spark):
+    import random
+    rng = random.Random(3)
+    return {sid: [[float(rng.randint(-9, 9)) for _ in range(12)] for _ in range(n)]
+            for sid, n in [(1, 1), (2, 2), (3, 7), (4, 40), (5, 41)]}
+
+
+def test_segment_statistics_whatever_the_song_length(spark, monkeypatch):
+    # songs over the limit are spread over tasks, the others stay together: same numbers
+    import statistics
+    monkeypatch.setattr(SG, "SONG_ROWS", 10)
+    songs = _random_segs(spark)
+    segs = _segs(spark, [(sid, k, v) for sid, vs in songs.items() for k, v in enumerate(vs)]
+                 + [(None, 0, [1.0])])
+    wanted = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 9, 9)], "song_id long")
+    both = SG.record_arrays(segs, {"x": ("s", "c"), "p": ("ps", "pc")}, {"p": lambda x: x % 12.0}, wanted)
+    got = {r["song_id"]: r for r in both.collect()}
+    assert songs.pop(5) and set(got) == set(songs)
+    for sid, vs in songs.items():
+        for st, cv, dims in [("s", "c", list(zip(*vs))), ("ps", "pc", [[math.fmod(v, 12) for v in d] for d in zip(*vs)])]:
+            for i, d in enumerate(dims):
+                want = [statistics.fmean(d), statistics.median(d), min(d), max(d), statistics.pstdev(d), len(d)]
+                assert got[sid][st][6 * i:6 * i + 6] == pytest.approx(want)
+            if len(vs) > 1:
+                assert got[sid][cv] == pytest.approx([statistics.covariance(dims[i], dims[j]) for i, j in SG.PAIRS])
+
+
+def test_segments_are_shuffled_once_and_never_by_value(spark):
+    segs = _segs(spark, [(sid, k, v) for sid, vs in _random_segs(spark).items() for k, v in enumerate(vs)])
+    ids = spark.createDataFrame([(1,), (9,)], "song_id long")
+    plan = SG.with_empty(ids, SG.segment_arrays(segs))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2         # the segments, the ids
+    assert "Generate" not in plan
+
+
+def test_year_model_reads_records_of_scored_songs_only(spark):
+    from songgraph.operators import features as FT
+    sf = "/root/testdata/sf0.001"
+    songs, asked = A.songs(spark, sf), []
+
+    def records(some):
+        asked.append({r["song_id"] for r in some.select("song_id").collect()})
+        return FT.song_records(spark, sf, some)
+
+    whole = {r["song_id"]: r for r in FT.song_records(spark, sf).select("song_id", "segments_pitches", "pitch_cov").collect()}
+    model = Y.train(songs, 300, records, maxIter=3, maxDepth=2)
+    Y.evaluate(model, songs, records)
+    Y.impute(songs, model, records)
+    held = {r["song_id"] for r in Y.held_out(songs).collect()}
+    missing = {r["song_id"] for r in songs.where("year is null or year = 0").collect()}
+    assert asked[1:] == [held, missing] and not asked[0] & (held | missing)
+    some = FT.song_records(spark, sf, songs.where("song_id < 20")).select("song_id", "segments_pitches", "pitch_cov").collect()
+    assert len(some) == len([i for i in whole if i < 20])
+    assert all(str(r) == str(whole[r["song_id"]]) for r in some)
+
+
 def test_matrix_form_pads_short_and_null_rows(spark):
     df = spark.createDataFrame([(1, [[1.0, 2.0], None, [3.0]])],
                                "id long, m array<array<double>>")
