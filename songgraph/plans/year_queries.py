@@ -11,7 +11,7 @@ from songgraph.operators import years as Y
 from songgraph.plans.base import cte, register
 from songgraph.plans.segment_queries import _SQL_AGG, _cov
 from songgraph.schema import N_DIMS, SCALAR_FEATURES, STAT_NAMES
-from songgraph.session import materialize, new_folder, scratch
+from songgraph.session import new_folder, scratch
 from songgraph.sources import adapters as A
 
 # Saved models by application and data folder: one training job, then evaluation and
@@ -19,13 +19,13 @@ from songgraph.sources import adapters as A
 _SAVED: dict[tuple[str, str], str] = {}
 
 
-def saved_model(spark, sf_dir, recs) -> str:
+def saved_model(spark, sf_dir) -> str:
     """ML1-ML3 SNK2: where the year model of these songs is saved; trained with the
     original settings (150 trees of depth 8) the first time it is asked for."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _SAVED:
         path = new_folder(spark, "year-model")
-        Y.save_model(Y.train(recs), path)
+        Y.save_model(Y.train(A.songs(spark, sf_dir), records=records(spark, sf_dir)), path)
         _SAVED[at] = path
     return _SAVED[at]
 
@@ -156,7 +156,9 @@ def q_split_years(spark, sf_dir):
 
 
 def records(spark, sf_dir):
-    return materialize(FT.song_records(spark, sf_dir), "song-records")
+    """The records of some songs: arrays are made for rows that are fitted or scored, and
+    handed to the model as they come."""
+    return lambda songs: FT.song_records(spark, sf_dir, songs)
 
 
 @register("impute_years", cte(songs=A.SQL_SONGS) + """
@@ -168,9 +170,9 @@ def q_impute_years(spark, sf_dir):
     every missing year imputed in place. All rows are kept, known years are as they
     were, every imputed one is at most a year from the one that the loudness tells"""
     with scratch(spark) as own:
-        recs = records(spark, sf_dir)
-        out = Y.impute(recs, Y.load_model(saved_model(spark, sf_dir, recs)))
-        before = recs.select("song_id", missing_year("year").alias("was_missing"))
+        songs = A.songs(spark, sf_dir)
+        out = Y.impute(songs, Y.load_model(saved_model(spark, sf_dir)), records(spark, sf_dir))
+        before = songs.select("song_id", missing_year("year").alias("was_missing"))
         told = 2000 + F.ceil(F.col("loudness") / 7)
         return own.keep(out.join(before.hint("merge"), "song_id").select(
             "song_id", "artist_id", "was_missing", F.when(~F.col("was_missing"), F.col("year")).alias("known_year"),
@@ -185,8 +187,7 @@ def q_evaluate_years(spark, sf_dir):
     """ML6 SM3 AG14: the saved model scored on the held-out 20%: how many rows, whether
     its RMSE beats that of the held-out mean, whether it is below one year"""
     with scratch(spark) as own:
-        recs = records(spark, sf_dir)
-        got = Y.evaluate(Y.load_model(saved_model(spark, sf_dir, recs)), recs)
+        got = Y.evaluate(Y.load_model(saved_model(spark, sf_dir)), A.songs(spark, sf_dir), records(spark, sf_dir))
         return own.keep(got.select("n", (F.col("r2") > 0).alias("beats_mean"), (F.col("rmse") < 1).alias("within_a_year")),
                         "metrics")
 
@@ -197,10 +198,10 @@ def q_model_roundtrip(spark, sf_dir):
     """SNK2 ML4: a model saved, loaded with its manifest checked, saved again and loaded
     again predicts the same year for every song without one"""
     with scratch(spark) as own:
-        recs = records(spark, sf_dir)
-        first = Y.load_model(saved_model(spark, sf_dir, recs))
+        first = Y.load_model(saved_model(spark, sf_dir))
         again = own.folder("model-copy")
         Y.save_model(first, again)
-        rows = FT.with_vector(recs.where(missing_year("year"))).select("song_id", "features")
+        missing = A.songs(spark, sf_dir).where(missing_year("year"))
+        rows = FT.with_vector(records(spark, sf_dir)(missing)).select("song_id", "features")
         both = Y.load_model(again).setPredictionCol("again").transform(first.transform(rows))
         return own.keep(both.select("song_id", (F.col("prediction") == F.col("again")).alias("same")), "same")
