@@ -678,3 +678,25 @@ def test_song_medians_with_nan_and_signed_zero(spark):
     got = {(r["song_id"], r["dim"]): r["median_v"] for r in SG.stats_long(_segs(spark, rows)).collect()}
     assert got[(1, 0)] == 4.0 and got[(1, 1)] == 0.0 and math.isnan(got[(2, 0)])
 
+
+def test_similar_candidates_stay_with_their_anchor(spark):
+    # a key's candidates are cut by year where they lie: nothing is shuffled by birth year after the join
+    rng = range(60)
+    songs = spark.createDataFrame([(i, i % 5, f"t{i}", [None, 0, 1994, 1999, 2004, 2014][i % 6]) for i in rng],
+                                  "song_id long, artist_id long, title string, year int")
+    paths = spark.createDataFrame([(r, v, 1) for r in range(5) for v in range(5) if r != v], "root long, v long, degree int")
+    ok = spark.createDataFrame([(r, b) for r in (0, 1, 1, 9) for b in (1988, 1993, 1500)], "anchor_artist long, birth_year int")
+    ranked = R.similar_ranked(ok, songs, paths, 17)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in next(line for line in plan.splitlines() if "Exchange" in line)
+    got = {}
+    for r in ranked.orderBy("rank").collect():
+        got.setdefault((r["anchor_artist"], r["birth_year"]), []).append(r["song_id"])
+
+    def score(y, b):
+        return -1e9 if y is None else math.exp(-0.5 * ((y - b - 16) / 5.0) ** 2)
+
+    rows = [tuple(r) for r in songs.collect()]
+    want = {(a, b): [i for _, i in sorted((-score(y, b), i) for i, v, _, y in rows if v != a)[:17]]
+            for a in (0, 1) for b in (1988, 1993, 1500)}
+    assert got == want
