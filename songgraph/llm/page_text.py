@@ -4,11 +4,13 @@ Markup is stripped so that every block-level element gives one line. Lines of pa
 furniture (menus, footers, forms, adverts, notices, reader comments; told by element or
 class name) and lines outside the article element, where the page has one, keep their
 place but count no text. The text lengths of sliding windows of lines then show the
-main text: a window that reaches the threshold is a surge, an empty window after it a
-dive, and all lines between the two are kept. With an article element any text in it
-reaches the threshold; without one a window must hold a paragraph's worth of text that
-is not link text. There adverts, notices and the like do not part the text, and short
-lines of text after a surge belong to it up to the page's footer.
+main text: a window that reaches the threshold, a paragraph's worth of text that is not link
+text, is a surge, an empty window after it a dive, and all lines between the two are kept.
+An article element is a stretch without a dive, whatever furniture lies in it, so a surge in
+it keeps all its lines; without a surge it stays unless most of its text is links (a list of
+teasers). If no article element stays and the rest of the page has a surge, that is the main
+text. Outside article elements adverts, notices and the like do not part the text, and
+short lines of text after a surge belong to it up to the page's footer.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from songgraph.llm.common import map_rows
 
 WINDOW = 3          # lines of a block window
-SURGE = 60          # characters in a window that begin main text on pages without an article
+SURGE = 60          # characters in a window that begin main text
 
 # Elements and class words of page furniture.
 RAW = "script style noscript template iframe svg textarea title select object canvas video audio"
@@ -93,17 +95,18 @@ def _mark(tag: str, attrs: str) -> int:
 
 def lines(page: str) -> list[tuple[str, int, int]]:
     """(text, characters, characters in links) of each line; furniture is one line with
-    an empty text and a negative count (``_mark``). A third kind of mark, the article, is given by
-    negative link counts: see ``main_text``."""
+    an empty text and a negative count (``_mark``) in the second place. There lines outside the
+    article elements have 0, others the number of their element (from 1; one in another counts
+    as part of it)."""
     out: list[tuple[str, int, int]] = []
     parts: list[str] = []
-    state = {"article": 0, "link": 0, "links": 0}
+    state = {"article": 0, "number": 0, "link": 0, "links": 0}
 
     def flush():
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append((text, state["article"], min(state["links"], len(text))))
+                out.append((text, state["number"] if state["article"] else 0, min(state["links"], len(text))))
             parts.clear()
         state["links"] = 0
 
@@ -155,6 +158,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
             skip = tag not in _VOID and not attrs.rstrip().endswith("/") \
                 and _is_furniture(tag, attrs, state["article"] > 0)
             if not skip and tag in ("article", "main"):
+                state["number"] += not state["article"]
                 state["article"] += 1
         if skip:
             at = _past(page, at, tag)
@@ -208,45 +212,28 @@ def _past_unclosed(page: str, at: int, tag: str) -> int:
     return len(page)
 
 
+def _blocks(length: list[int]) -> list[int]:
+    return [sum(length[i:i + WINDOW]) for i in range(len(length))]
+
+
 def main_text(page: str | None) -> str:
     """The main text; empty for a null page or one without text."""
     rows = lines(page or "")
-    has_article = any(inside > 0 for _, inside, _ in rows)
-    if not has_article:
+    inside: dict[int, list[tuple[int, int]]] = {}
+    rest: list[int] = []
+    for text, mark, links in rows:
+        if mark > 0:
+            inside.setdefault(mark, []).append((len(text), links))
+        if mark != -1:                              # adverts and notices do not part the text
+            rest += [0] * WINDOW if mark else [len(text) - links]
+    if not inside:
         return _loose_text(rows)
-    length = []
-    for text, inside, links in rows:
-        if inside <= 0:
-            length += [0] * WINDOW              # furniture empties every window over it
-        else:
-            length.append(len(text))
-    blocks = [sum(length[i:i + WINDOW]) for i in range(len(length))]
-    spans, i = [], 0
-    while i < len(blocks):
-        if blocks[i] < 1:
-            i += 1
-            continue
-        end = i
-        while end < len(blocks) and blocks[end] > 0:        # until the dive
-            end += 1
-        start = i
-        while start < end and length[start] <= 0:           # the window began before the text
-            start += 1
-        while start and length[start - 1] > 0:              # back over the surge's slope
-            start -= 1
-        spans.append((start, end))
-        i = end
-    kept, at, spot = [], 0, 0
-    for text, inside, _ in rows:
-        if inside <= 0:
-            spot += WINDOW
-            continue
-        while at < len(spans) and spans[at][1] <= spot:
-            at += 1
-        if at < len(spans) and spans[at][0] <= spot:
-            kept.append(text)
-        spot += 1
-    return " ".join(kept)
+    kept = {mark for mark, part in inside.items()
+            if max(_blocks([size - links for size, links in part])) >= SURGE
+            or 2 * sum(links for _, links in part) <= sum(size for size, _ in part)}
+    if not kept and max(_blocks(rest), default=0) >= SURGE:
+        return _loose_text([("", -2, 0) if r[1] > 0 else r for r in rows])
+    return " ".join(text for text, mark, _ in rows if mark > 0 and (mark in kept or not kept))
 
 
 def _loose_text(rows: list[tuple[str, int, int]]) -> str:
@@ -264,8 +251,7 @@ def _loose_text(rows: list[tuple[str, int, int]]) -> str:
         else:
             length.append(len(t) - links)
             text.append(t)
-    blocks = [sum(length[i:i + WINDOW]) for i in range(len(length))]
-    surges = [i for i, b in enumerate(blocks) if b >= SURGE]
+    surges = [i for i, b in enumerate(_blocks(length)) if b >= SURGE]
     if not surges:                                          # the longest run
         run, best, start = 0, (0, 0, 0), 0
         for j, n in enumerate([*length, 0]):

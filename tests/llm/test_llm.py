@@ -546,6 +546,18 @@ def test_page_text_without_article_keeps_short_paragraphs():
     assert main(f"<ul>{menu}</ul><p>{b}</p><ul>{menu}</ul><p>{c}</p>") == f"{b} {c}"
 
 
+def test_page_text_is_where_the_blocks_surge_also_with_article_elements():
+    main, long = page_text.main_text, "a paragraph of plain words " * 5
+    text = long.strip()
+    teaser = "<article><h3><a href='/x'>Another story of the day</a></h3><p>by me</p></article>"
+    assert main(f"<article><h1>T</h1><nav>n</nav><p>{text}</p></article>{teaser}{teaser}") == f"T {text}"
+    assert main(f"{teaser}<div><p>{text}</p><p>{text}</p></div>{teaser}<footer>f</footer>") == f"{text} {text}"
+    assert main(f"<article><p>{text}</p></article><article><p>short</p></article>") == f"{text} short"
+    assert main("<p>x</p><article><p><a href='/x'>only a link</a></p></article>") == "only a link"
+    assert main(f"<article><ul>{'<li><a>a source</a>' * 5}</ul><aside>x</aside><p>{text}</p><p>end</p></article>") \
+        == " ".join(["a source"] * 5 + [text, "end"])
+
+
 @pytest.mark.parametrize("page, want", [
     # a slug, a heading or a word of a sentence is no furniture, whatever words it holds
     ('<article><p>a</p><section id="search-algorithms"><p>b</p></section><p class="notice-of-award">c</p>'
