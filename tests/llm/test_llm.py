@@ -394,6 +394,48 @@ def test_edit_distance():
         assert linededup.edits(a, b) == slow(a, b)
 
 
+def test_few_edits_equals_the_edit_distance():
+    r = random.Random(4)
+    x, y, most = [], [], []
+    for n in range(1500):
+        a = "".join(r.choice("abcdé") for _ in range(r.choice((0, 1, 3, 10, 40, 100, 300))))
+        x.append(a)
+        y.append(edited(r, a, r.randint(0, 1 + len(a) // 4), "m") if a and n % 5 else a[::-1][:r.randint(0, 300)])
+        most.append(r.choice((0, 1, 5, len(a) // 10, len(a) // 5, len(a) * 2 // 3)))
+    x += ["word " * 1500, "word " * 1500]                       # wider than the band's words
+    y += ["word " * 1400 + "x" * 40, "else " * 1500]
+    most += [700, 700]
+    want = [linededup.edits(a, b) <= m for a, b, m in zip(x, y, most)]
+    assert 100 < sum(want) < 1400 and linededup.few_edits(x, y, np.array(most)).tolist() == want
+    assert linededup.few_edits([], [], np.zeros(0, int)).tolist() == []
+
+
+def test_lines_places_of_blocks():
+    lines = [linededup.normal(x) for x in ("a" * 300, "the first gram and the first gram again", "x" * 9 + "yz" * 40)]
+    lines += ["".join(random.Random(n).choice("abcdefgh ") for _ in range(30 * n)) for n in range(2, 30)]
+    row, key, place, marks = linededup.blocks(lines, .9)
+    assert len(marks) == len(lines) and (place < np.array([len(x) for x in lines])[row]).all()
+    letters, every = linededup.Letters(lines), np.arange(len(lines))
+    for width in (linededup.GRAM_SHORT, linededup.GRAM):        # the least hashes, as sorting all of them gives
+        keep = np.full(len(lines), 12)
+        some, whole = (linededup.least_grams(letters, every, width, keep, w) for w in (False, True))
+        assert set(zip(*map(np.ndarray.tolist, some))) == set(zip(*map(np.ndarray.tolist, whole)))
+        for n, _, at in zip(*map(np.ndarray.tolist, whole)):
+            gram = lines[n][at:at + width]
+            assert at < 0 or sum(lines[n].startswith(gram, i) for i in range(len(lines[n]))) == 1
+
+
+def test_lines_in_shares(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "PAIRS", 1)
+    r, texts = random.Random(8), []
+    for _ in range(30):
+        x = "".join(r.choice("abcdefghijklmnop ") for _ in range(80))
+        texts += [x, x[:40] + "q" + x[41:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {x["doc_id"]: x["kept"] for x in linededup.mark(docs).collect()}
+    assert kept == {n: n % 2 == 0 for n in range(60)}
+
+
 def test_lines_awkward(spark):
     docs = awkward(spark, [(20, "A line\n\nA  LINE\nanother")])
     got = linededup.drop_repeats(docs)
