@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ import corpus_pipeline
 from songgraph.llm import (bpe, components, hamming, linededup, minhash, packing, page_text, pii,
                            quality, search, toxicity)
 from songgraph.llm import queries as Q
+from songgraph.llm.common import map_runs
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -425,6 +427,78 @@ def test_lines_places_of_blocks():
             assert at < 0 or sum(lines[n].startswith(gram, i) for i in range(len(lines[n]))) == 1
 
 
+def rows_of_blocks(lines):
+    row, key, place, marks = linededup.blocks(lines, .9)
+    node = linededup.line_ids(lines)
+    order = np.lexsort((node[row], key))
+    row, cols = row[order], {"band": key[order], "place": place[order]}
+    return cols | {"node": node[row], "part": node[row], **{c: marks[row, k] for k, c in enumerate(linededup.MARKS)}}
+
+
+def pairs_of(made):
+    return {p for cols in made for p in zip(cols["a"].tolist(), pa.array(cols["b"]).to_pylist())}
+
+
+def test_lines_short_pairs_that_share_a_half_are_told_apart():
+    """Lines of 10 to 22 letters with a common half: links are proposed, most others are not."""
+    r, lines = random.Random(6), set()
+    for size in (10, 11, 14, 18, 19, 20, 22):
+        half = "".join(r.choice("abcdefghij") for _ in range(size // 2))
+        for _ in range(40):
+            x = half + "".join(r.choice("klmnopqrst") for _ in range(size - len(half)))
+            lines |= {x, linededup.normal(edited(r, x, 1, "sm"[r.randrange(2)]))}
+    lines = sorted(x for x in lines if len(x) >= 10)
+    rows, node = rows_of_blocks(lines), linededup.line_ids(lines).tolist()
+    got = {p for p in pairs_of(linededup.first_pairs(rows, .9)) if p[1] is not None} | pairs_of(linededup.further_pairs(rows, .9))
+    links = {(min(node[a], node[b]), max(node[a], node[b])) for a, b in near_lines(lines)}
+    brief = {(min(node[a], node[b]), max(node[a], node[b])) for a, b in near_lines(lines)
+             if max(len(lines[a]), len(lines[b])) < linededup.TINY}
+    bands = defaultdict(set)
+    for band, n in zip(rows["band"].tolist(), rows["node"].tolist()):
+        bands[band].add(n)
+    shared = {(a, b) for v in bands.values() for a in v for b in v if a < b}
+    assert len(brief) > 100 and brief <= got and len(got - links) < len(shared - links) / 10
+
+
+def test_lines_pairs_of_blocks(monkeypatch):
+    """Whatever the size of a block, its pairs of two parts are proposed, by either way."""
+    r = random.Random(7)
+    base = "".join(r.choice("abcdefghijklmnop ") for _ in range(90))
+    rows = rows_of_blocks(sorted({linededup.normal(edited(r, base, n % 5, "s")) for n in range(60)}))
+    first = pairs_of(linededup.first_pairs(rows, .9))
+    deep = {a for a, b in first if b is None}
+    bands = defaultdict(list)
+    for n, band in enumerate(rows["band"].tolist()):
+        bands[band].append(n)
+    assert deep == {k for k, v in bands.items() if len(v) > linededup.LEADERS + 1}
+    i, j = np.array([(a, b) for v in bands.values() for a in v for b in v if a < b]).T
+    rows["part"] = rows["node"] % 3
+    hit = linededup.near_enough(rows, i, j, .9) & (rows["part"][i] != rows["part"][j])
+    want = set(zip(rows["node"][i[hit]].tolist(), rows["node"][j[hit]].tolist()))
+    assert len(want) > 100 and pairs_of(linededup.further_pairs(rows, .9)) == want
+    monkeypatch.setattr(linededup, "SMALL", 2)
+    monkeypatch.setattr(linededup, "CELLS", 100)
+    assert pairs_of(linededup.further_pairs(rows, .9)) == want
+
+
+def test_runs_over_batches(spark):
+    """A value's rows are seen together, however they are cut into batches."""
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(500).select((F.col("id") % 3 + F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(0)).alias("k"), "id")
+
+        def seen(rows):
+            start, many = linededup._runs(rows["k"])
+            yield {"k": rows["k"][start], "n": many, "least": rows["id"][start]}
+
+        got = map_runs(df, "k", "id", seen, "k long, n long, least long").collect()
+        want = df.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("least")).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+
+
 def test_lines_in_shares(spark, monkeypatch):
     monkeypatch.setattr(linededup, "PAIRS", 1)
     r, texts = random.Random(8), []
