@@ -590,6 +590,21 @@ def test_fitting_rows_are_thinned_by_hash(spark):
     assert whole | tests == {r["song_id"] for r in Y.training_rows(recs).collect()}
 
 
+def test_year_model_is_fitted_on_the_whole_training_part(spark, monkeypatch):
+    from songgraph.operators import features as FT
+    many = spark.range(30_000).select(F.col("id").alias("song_id"), (1970 + F.col("id") % 40).cast("int").alias("year"),
+                                      F.array(F.lit(0.0)).alias("segments_timbre"), F.array(F.lit(0.0)).alias("segments_pitches"),
+                                      F.array(F.lit(0.0)).alias("timbre_cov"), F.array(F.lit(0.0)).alias("pitch_cov"),
+                                      F.lit(1.0).alias("duration"), F.lit(1.0).alias("tempo"))
+    monkeypatch.setattr(Y, "with_vector", lambda df: df.withColumn("features", FT.array_to_vector(F.array("duration"))))
+    wanted = Y.hash_split(Y.training_rows(many))[0].count()
+    assert wanted > 23_000 and Y.fitting_rows(many).count() == wanted
+    fitted = []
+    monkeypatch.setattr(Y.GBTRegressor, "fit", lambda self, df: fitted.append(df.count()))
+    Y.train(many)
+    assert fitted == [wanted]
+
+
 def _star(spark):
     # hub h linked to 40 leaves, leaves linked in a ring, a self-loop at the hub
     edges = [("h", f"l{i}") for i in range(40)] + [(f"l{i}", f"l{(i + 1) % 40}") for i in range(40)] + [("h", "h")]
