@@ -605,6 +605,11 @@ def test_year_model_is_fitted_on_the_whole_training_part(spark, monkeypatch):
     assert fitted == [wanted]
 
 
+def test_fitting_partitions_do_not_outnumber_the_tasks_run_at_once():
+    # each sends the histograms of all nodes in every pass, and is kept or dropped as a whole
+    assert [Y.fitting_partitions(n, 6) for n in (0, 5_000, 12_000, 60_000, 290_000, 3_600_000)] == [1, 1, 3, 6, 6, 72]
+
+
 def _star(spark):
     # hub h linked to 40 leaves, leaves linked in a ring, a self-loop at the hub
     edges = [("h", f"l{i}") for i in range(40)] + [(f"l{i}", f"l{(i + 1) % 40}") for i in range(40)] + [("h", "h")]
