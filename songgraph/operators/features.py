@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from songgraph.functions.scalar import log_duration, tempo_norm
 from songgraph.operators import segments as SG
@@ -32,17 +33,12 @@ def song_records(spark: SparkSession, sf_dir: str, songs: DataFrame | None = Non
     computed from its line items (timbre and pitches share the rows, so one
     pass makes all four; pitches are the timbre dims folded onto 12 semitones).
     ``songs``: only the records of these songs of the table."""
-    wanted = None if songs is None else songs.select("song_id").distinct()
     songs = A.songs(spark, sf_dir) if songs is None else songs
-    arrays = SG.record_arrays(A.segments(spark, sf_dir, "timbre"),
-                              {"x": ("segments_timbre", "timbre_cov"), "p": ("segments_pitches", "pitch_cov")},
-                              derived={"p": lambda x: x % 12.0}, wanted=wanted)
-    # one row per song on both sides: never broadcast the arrays (their
-    # compressed shuffle size understates the in-memory table many times)
-    j = songs.join(arrays.hint("merge"), "song_id", "left")
-    return j.select(*songs.columns,
-                    *SG.zero_fill("segments_timbre", "timbre_cov"),
-                    *SG.zero_fill("segments_pitches", "pitch_cov"))
+    # the rows of the songs go to their segments: the arrays never cross the network
+    return SG.song_arrays(A.segments(spark, sf_dir, "timbre"),
+                          {"x": ("segments_timbre", "timbre_cov"), "p": ("segments_pitches", "pitch_cov")},
+                          derived={"p": lambda x: x % 12.0}, songs=songs) \
+        .select(*songs.columns, "segments_timbre", "timbre_cov", "segments_pitches", "pitch_cov")
 
 
 def _fill0(c) -> F.Column:
@@ -87,21 +83,59 @@ def with_vector(df: DataFrame, name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(feature_array(df)))
 
 
+def _totals(width: int):
+    """A function over Arrow batches, whose first column has ``width`` values a row: one row a task and
+    place, with the place, the rows, and the sum, least and greatest of its values as Spark has them
+    (null without any, NaN above every number). Workers get the function itself, so they
+    need not have this package."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        n, total, lo, hi = 0, None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n += batch.num_rows
+            cells = batch.column(0).flatten()
+            values = cells.to_numpy(zero_copy_only=False).reshape(-1, width)
+            with np.errstate(all="ignore"):
+                if cells.null_count:
+                    known = cells.is_valid().to_numpy(zero_copy_only=False).reshape(-1, width)
+                    got = [[f(x[k]) if k.any() else None for x, k in zip(values.T, known.T)]
+                           for f in (np.sum, np.fmin.reduce, np.max)]
+                else:
+                    got = [values.sum(0).tolist(), np.fmin.reduce(values, 0).tolist(), values.max(0).tolist()]
+                if total is None:
+                    total, lo, hi = got
+                else:
+                    total, lo, hi = ([b if a is None else a if b is None else f(a, b) for a, b in zip(old, new)]
+                                     for f, old, new in zip((np.add, np.fmin, np.maximum), (total, lo, hi), got))
+        if n:
+            cells = [pa.array(np.arange(width, dtype=np.int32)), pa.array(np.full(width, n))]
+            cells += [pa.array(v, pa.float64()) for v in (total, lo, hi)]
+            yield pa.RecordBatch.from_arrays(cells, ["idx", "n", "s", "lo", "hi"])
+
+    return run
+
+
 def feature_profile(feats: DataFrame, digits: int = 3) -> DataFrame:
     """One row per feature: count, sum, min, max (a whole-table check of the
-    flatten and fill rules), computed in one aggregation pass."""
-    aggs = []
-    for c in FEATURE_COLS:
-        aggs += [F.sum(c).alias(f"{c}__sum"), F.min(c).alias(f"{c}__min"),
-                 F.max(c).alias(f"{c}__max")]
-    wide = feats.agg(F.count(F.lit(1)).alias("n"), *aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("idx"), F.lit(c).alias("feature"),
-                 F.col(f"{c}__sum").alias("s"), F.col(f"{c}__min").alias("lo"),
-                 F.col(f"{c}__max").alias("hi"))
-        for k, c in enumerate(FEATURE_COLS)])).alias("r")
-    return wide.select("n", rows).select(
-        "r.idx", "r.feature", "n",
-        (F.round("r.s", digits) + 0.0).alias("total"),
-        (F.round("r.lo", digits) + 0.0).alias("lo"),
-        (F.round("r.hi", digits) + 0.0).alias("hi"))
+    flatten and fill rules), in one pass: each task gives one row a feature."""
+    # One column, as Spark weighs every column of a batch at every row. The other one is not read: a
+    # ``transform`` keeps the projection out of whole-stage code, whose one method would be
+    # too long to be compiled.
+    cells = F.array(*[F.col(c).cast("double") for c in FEATURE_COLS])
+    apart = F.transform(F.array(F.col(FEATURE_COLS[0])), lambda x: x)
+    parts = feats.select(cells.alias("cells"), apart.alias("apart")).mapInArrow(
+        _totals(len(FEATURE_COLS)), "idx int, n long, s double, lo double, hi double")
+    none = feats.sparkSession.range(len(FEATURE_COLS)).select(       # a table without rows has a profile too
+        F.col("id").cast("int").alias("idx"), F.lit(0).cast("long").alias("n"),
+        *[F.lit(None).cast("double").alias(c) for c in ("s", "lo", "hi")])
+    names = F.array(*[F.lit(c) for c in FEATURE_COLS])
+    return parts.unionByName(none).groupBy("idx").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).select(
+        "idx", F.get(names, F.col("idx")).alias("feature"), "n",
+        (F.round("s", digits) + 0.0).alias("total"),
+        (F.round("lo", digits) + 0.0).alias("lo"),
+        (F.round("hi", digits) + 0.0).alias("hi"))

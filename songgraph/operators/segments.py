@@ -6,10 +6,12 @@ statistics (mean, median, min, max, population std, count for each dim,
 array index ``dim*6 + stat``) and the 78 sample covariances of the upper
 triangle (row-major) need no self-join and no pair explosion.
 
-Songs of up to ``SONG_ROWS`` segments cross the network once, as their 12 plain values:
-windows over the song give its sums, ends and medians, windows over the same sorted rows
-the products of deviations from its means (so that nothing cancels where means dwarf the
-spread), and nothing is written. Longer songs are never in one task: sums, min and max
+Songs of up to ``SONG_ROWS`` segments cross the network once, as their 12 plain values, and
+nothing is written. For whole song records (``song_arrays``) they meet the rows of their
+songs there, sorted by song, and stream through Arrow batches: numpy makes the statistics of
+all songs of one length together. ``segment_arrays`` stays in windows over the song, whose result
+is joined by song without another shuffle. Both take the products of deviations from
+the means, so nothing cancels where means dwarf the spread. Longer songs are never in one task: sums, min and max
 come from one hash aggregate that combines partially before the shuffle; std and
 covariance from a second one over the deviations; medians from the narrow rows (song,
 dim, value) by the value brackets of ``quantiles``. Values that follow from others
@@ -25,6 +27,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from songgraph.operators.quantiles import exact_medians
 from songgraph.schema import N_COV, N_DIMS, N_STATS, STAT_NAMES
@@ -158,33 +161,172 @@ def _short(segs: DataFrame, srcs: list[str], medians: bool) -> DataFrame:
     return both.where(F.col("_at") == 1).select("song_id", *[c for src in srcs for c in _final(src, medians)])
 
 
-def _wide(segs: DataFrame, srcs: list[str], medians: bool = True, derived: Derived | None = None,
-          wanted: DataFrame | None = None) -> DataFrame:
-    """One row per song (of ``wanted``, if given: ``song_id``). Lazy but for long songs."""
-    stored = [src for src in srcs if src not in (derived or {})]
-    segs = segs.where(F.col("song_id").isNotNull()) \
-        .select("song_id", *[f"{src}{i}" for src in stored for i in range(N_DIMS)])
+def _long_songs(segs: DataFrame) -> DataFrame:
+    return materialize(segs.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
+                       .where(F.col("n") > SONG_ROWS).select("song_id"), "long-songs")
+
 
-    def whole(rows):
-        return rows.select("*", *[f(F.col(f"{stored[0]}{i}")).alias(f"{src}{i}")
-                                  for src, f in (derived or {}).items() for i in range(N_DIMS)])
+def _derive(rows: DataFrame, stored: list[str], derived: Derived | None) -> DataFrame:
+    return rows.select("*", *[f(F.col(f"{stored[0]}{i}")).alias(f"{src}{i}")
+                              for src, f in (derived or {}).items() for i in range(N_DIMS)])
 
-    def asked(rows):
-        return rows if wanted is None else rows.join(wanted, "song_id", "left_semi")
 
+def _wide(segs: DataFrame, srcs: list[str], medians: bool = True) -> DataFrame:
+    """One row per song. Lazy but for long songs."""
+    segs = segs.where(F.col("song_id").isNotNull()) \
+        .select("song_id", *[f"{src}{i}" for src in srcs for i in range(N_DIMS)])
     with scratch(segs.sparkSession) as own:
-        long = materialize(segs.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
-                           .where(F.col("n") > SONG_ROWS).select("song_id"), "long-songs")
+        long = _long_songs(segs)
         if long.isEmpty():
-            rest = asked(segs) if wanted is not None else segs.repartition("song_id")
-            return _short(whole(rest), srcs, medians)
-        rest = asked(segs.join(long, "song_id", "left_anti"))
-        rest = _short(whole(rest if wanted is not None else rest.repartition("song_id")), srcs, medians)
-        spread = _long(whole(asked(segs.join(long, "song_id", "left_semi"))), srcs, medians)
+            return _short(segs.repartition("song_id"), srcs, medians)
+        rest = _short(segs.join(long, "song_id", "left_anti").repartition("song_id"), srcs, medians)
+        spread = _long(segs.join(long, "song_id", "left_semi"), srcs, medians)
         own.keep(long)              # the lazy rest reads it
         return rest.unionByName(own.keep(spread))
 
 
+def _matrix_statistics(width: int, whole: bool):
+    """A function over Arrow batches of rows that lie together by song, its segments before
+    the rows that ask for them: (song id, asks, ``width`` values, the row that asks). Each row that
+    asks is given back with the two arrays of every 12 columns, zeros without segments; if the
+    songs are the segments' own (not ``whole``), each song is given once, by its id. Songs of equal
+    length are done together; the last song's segments wait for the next batch. Workers
+    get the function itself, so they need not have this package."""
+    dims, n_stats, n_cov = N_DIMS, N_STATS, N_COV
+
+    def tables(rows, start, size):
+        """Per matrix the (songs, 72) statistics and the (songs, 78) covariances."""
+        import numpy as np
+        upper = np.triu_indices(dims)
+        out = [(np.zeros((len(size), n_stats)), np.zeros((len(size), n_cov))) for _ in range(width // dims)]
+        for n in np.unique(size[size > 0]).tolist():
+            songs = np.flatnonzero(size == n)
+            own = rows[start[songs][:, None] + np.arange(n)]                # songs, segments, columns
+            mean = own.sum(1) / n
+            least, most = np.fmin.reduce(own, 1), own.max(1)                # NaN above every number
+            order = np.sort(own, 1)
+            low, high = order[:, (n - 1) // 2], order[:, n // 2]
+            middle = np.where(low == high, low, 0.5 * low + 0.5 * high)
+            own -= mean[:, None]
+            for k, (stats, cov) in enumerate(out):
+                at = slice(k * dims, (k + 1) * dims)
+                products = np.matmul(own[:, :, at].transpose(0, 2, 1), own[:, :, at])
+                spread = np.sqrt(products[:, np.arange(dims), np.arange(dims)] / n)
+                stats[songs] = np.stack([mean[:, at], middle[:, at], least[:, at], most[:, at], spread,
+                                         np.full((len(songs), dims), float(n))], 2).reshape(len(songs), n_stats)
+                cov[songs] = products[:, upper[0], upper[1]] / (n - 1) if n > 1 else np.nan
+        return out
+
+    def made(ids, rows, first, asked):
+        """The rows of ``asked`` (Arrow) with the arrays of the songs that start at ``first``;
+        each of them has a number in ``ids``."""
+        import numpy as np
+        import pyarrow as pa
+        some, ids = np.unique(ids, return_inverse=True)
+        with np.errstate(all="ignore"):
+            arrays = tables(rows, first[some], np.diff(np.r_[first, len(rows)])[some])
+        cols = [asked]
+        for pair in arrays:
+            for cells in pair:
+                ends = np.arange(len(ids) + 1, dtype=np.int32) * cells.shape[1]
+                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(cells[ids].ravel())))
+        return pa.RecordBatch.from_arrays(cols, [f"c{n}" for n in range(len(cols))])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        held = None                         # the segments of the last song
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch]).combine_chunks()
+            key = rows.column(0).combine_chunks()
+            new = pc.fill_null(pc.not_equal(key[1:], key[:-1]), pc.xor(pc.is_null(key[1:]), pc.is_null(key[:-1])))
+            song = np.r_[0, np.cumsum(new.to_numpy(zero_copy_only=False))].astype(np.int64)
+            asks = rows.column(1).to_numpy()
+            ready = np.ones(len(song), bool) if whole else song < song[-1]
+            cells = rows.column(2).combine_chunks().flatten().to_numpy().reshape(-1, width)[ready[~asks]]
+            if whole:
+                of, asked = song[asks], rows.column(3).filter(pa.array(asks))
+            else:
+                of = np.arange(song[-1])
+                asked = key.take(pa.array(np.searchsorted(song, of)))
+            if len(of):
+                yield made(of, cells, np.searchsorted(song[~asks & ready], np.arange(song[-1] + 1)),
+                           asked.combine_chunks() if isinstance(asked, pa.ChunkedArray) else asked)
+            held = rows.filter(pa.array(~asks & (song == song[-1])))
+        if held is not None and not whole and held.num_rows:
+            cells = held.column(2).combine_chunks().flatten().to_numpy().reshape(-1, width)
+            yield made(np.zeros(1, np.int64), cells, np.zeros(1, np.int64), held.column(0).combine_chunks()[:1])
+
+    return run
+
+
+def _streamed(segs: DataFrame, srcs: list[str], derived: Derived | None, songs: DataFrame | None) -> DataFrame:
+    """The arrays of songs that one task can hold, ``x_stats`` and ``x_cov`` of each prefix, after
+    ``song_id``, or after the columns of ``songs`` for each of its rows."""
+    stored = [c for c in segs.columns if c != "song_id"]
+    arrays = [f"{src}_{kind}" for src in srcs for kind in ("stats", "cov")]
+    rows = segs.select("song_id", F.lit(False).alias("_asks"), *stored)
+    if songs is None:
+        lead = segs.schema["song_id"].dataType
+    else:
+        lead = T.StructType([T.StructField(f"c{n}", f.dataType) for n, f in enumerate(songs.schema)])
+        row = F.struct(*[F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(songs.columns)])
+        rows = rows.withColumn("_row", F.lit(None).cast(lead)).union(songs.select(
+            "song_id", F.lit(True), *[F.lit(None).cast(segs.schema[c].dataType) for c in stored], row))
+    rows = _derive(rows.repartition("song_id"), srcs, derived)
+    # one column of values, as Spark weighs every column of a batch at every row
+    values = F.when(~F.col("_asks"), F.array(*[x for src in srcs for x in _xs(src)]))
+    rows = rows.sortWithinPartitions("song_id", "_asks").select(
+        "song_id", "_asks", values.alias("_values"), *(["_row"] if songs is not None else []))
+    cells = T.ArrayType(T.DoubleType())
+    out = T.StructType([T.StructField("_lead", lead)] + [T.StructField(c, cells) for c in arrays])
+    got = rows.toDF(*[f"c{n}" for n in range(len(rows.columns))]).mapInArrow(
+        _matrix_statistics(N_DIMS * len(srcs), songs is not None), out)
+    if songs is None:
+        return got.withColumnRenamed("_lead", "song_id")
+    return got.select(*[F.col(f"_lead.c{n}").alias(c) for n, c in enumerate(songs.columns)], *arrays)
+
+
+def song_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]], derived: Derived | None = None,
+                songs: DataFrame | None = None) -> DataFrame:
+    """The rows of ``songs`` with the arrays of their segments, zeros for those without any; without
+    ``songs``, (song_id, arrays) of the songs that the segments name. ``kinds`` and ``derived`` as in
+    ``record_arrays``. Lazy but for long songs."""
+    srcs = list(kinds)
+    stored = [src for src in srcs if src not in (derived or {})]
+    segs = segs.where(F.col("song_id").isNotNull()) \
+        .select("song_id", *[f"{src}{i}" for src in stored for i in range(N_DIMS)])
+    with scratch(segs.sparkSession) as own:
+        long = _long_songs(segs)
+        if long.isEmpty():
+            got = _streamed(segs, srcs, derived, songs)
+        else:
+            got = _streamed(segs.join(long, "song_id", "left_anti"), srcs, derived,
+                            None if songs is None else songs.join(long, "song_id", "left_anti").select(*songs.columns))
+            asked = long if songs is None else long.join(songs, "song_id", "left_semi")
+            spread = _long(_derive(segs.join(asked, "song_id", "left_semi"), stored, derived), srcs, True)
+            own.keep(long)              # the lazy rest reads it
+            spread = own.keep(_as_arrays(spread, srcs), "song-arrays")
+            if songs is not None:
+                spread = songs.join(spread.hint("merge"), "song_id").select(*songs.columns, *spread.columns[1:])
+            got = got.unionByName(spread)
+    lead = ["song_id"] if songs is None else songs.columns
+    return got.select(*lead, *[F.col(f"{src}_{kind}").alias(name) for src, names in kinds.items()
+                               for kind, name in zip(("stats", "cov"), names)])
+
+
+def _as_arrays(wide: DataFrame, srcs: list[str]) -> DataFrame:
+    out = []
+    for src in srcs:
+        out.append(F.array(*[F.col(f"{src}_s{i}_{s}") for i in range(N_DIMS) for s in STAT_NAMES]).alias(f"{src}_stats"))
+        out.append(F.array(*[F.col(f"{src}_c{i}_{j}") for i, j in PAIRS]).alias(f"{src}_cov"))
+    return wide.select("song_id", *out)
+
+
 def segment_stats_wide(segs: DataFrame, medians: bool = True) -> DataFrame:
     """One row per song: ``x_s{dim}_{stat}`` and ``x_c{i}_{j}`` columns
     (the medians null when ``medians`` is False)."""
@@ -193,12 +335,7 @@ def segment_stats_wide(segs: DataFrame, medians: bool = True) -> DataFrame:
 
 def segment_arrays(segs: DataFrame, stats_col: str = "stats", cov_col: str = "cov") -> DataFrame:
     """AG10/AG13: ``(song_id, stats[72], cov[78])`` in the record layout."""
-    wide = segment_stats_wide(segs)
-    return wide.select(
-        "song_id",
-        F.array(*[F.col(f"x_s{i}_{s}") for i in range(N_DIMS) for s in STAT_NAMES])
-         .alias(stats_col),
-        F.array(*[F.col(f"x_c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
+    return _as_arrays(segment_stats_wide(segs), ["x"]).toDF("song_id", stats_col, cov_col)
 
 
 def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]], derived: Derived | None = None,
@@ -207,13 +344,9 @@ def record_arrays(segs: DataFrame, kinds: dict[str, tuple[str, str]], derived: D
     pitches ``p*`` of the same rows) in ONE pass. ``kinds`` maps a column prefix
     to the (stats, cov) output names; ``derived`` tells how the columns of a prefix
     follow from those of the first; ``wanted`` (``song_id``) restricts the songs."""
-    wide = _wide(segs, list(kinds), derived=derived, wanted=wanted)
-    outs = []
-    for src, (stats_col, cov_col) in kinds.items():
-        outs.append(F.array(*[F.col(f"{src}_s{i}_{s}") for i in range(N_DIMS)
-                              for s in STAT_NAMES]).alias(stats_col))
-        outs.append(F.array(*[F.col(f"{src}_c{i}_{j}") for i, j in PAIRS]).alias(cov_col))
-    return wide.select("song_id", *outs)
+    if wanted is not None:
+        return song_arrays(segs.join(wanted.select("song_id").distinct(), "song_id", "left_semi"), kinds, derived)
+    return song_arrays(segs, kinds, derived)
 
 
 def with_empty(ids: DataFrame, arrays: DataFrame, stats_col: str = "stats",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from songgraph.operators import segments as SG
 from songgraph.plans.base import cte, register
 from songgraph.schema import N_DIMS, STAT_NAMES
+from songgraph.session import scratch
 from songgraph.sources import adapters as A
 
 _SQL_AGG = {"mean": "avg({x})", "median": "median({x})", "min": "min({x})", "max": "max({x})",
@@ -57,7 +58,8 @@ FROM arr CROSS JOIN range(78) r(i)
 def q_segment_stats(spark, sf_dir):
     """AG9 AG10 AG11: six statistics per dim; embeddings grouped by label are
     the songs, each row a segment"""
-    return SG.stats_long(A.embedding_segments(spark, sf_dir))
+    with scratch(spark) as own:
+        return own.keep(SG.stats_long(A.embedding_segments(spark, sf_dir)), "segment-stats")
 
 
 @register("segment_cov", _cov_sql(A.SQL_EMBEDDING_SEGMENTS))

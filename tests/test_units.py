@@ -90,6 +90,61 @@ def test_segments_are_shuffled_once_and_never_by_value(spark):
     assert "Generate" not in plan
 
 
+@pytest.mark.parametrize("limit", [1 << 14, 10])
+def test_song_rows_get_the_arrays_of_their_segments(spark, monkeypatch, limit):
+    # batches of three rows cut the songs; rows of songs that come twice, have no id or no segment
+    import statistics
+    monkeypatch.setattr(SG, "SONG_ROWS", limit)
+    songs = _random_segs(spark)
+    segs = _segs(spark, [(sid, k, v) for sid, vs in songs.items() for k, v in enumerate(vs)] + [(None, 0, [1.0])])
+    asked = [(1, "a"), (3, "b"), (3, "b"), (4, None), (9, "c"), (None, "d"), (5, "e"), (5, "f")]
+    rows = spark.createDataFrame(asked, "song_id long, `a name` string")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        out = SG.song_arrays(segs, {"x": ("s", "c"), "p": ("ps", "pc")}, {"p": lambda x: x % 12.0}, rows)
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert out.columns == ["song_id", "a name", "s", "c", "ps", "pc"]
+    assert sorted(map(str, [tuple(r)[:2] for r in got])) == sorted(map(str, asked))
+    for r in got:
+        vs = songs.get(r["song_id"])
+        if vs is None:
+            assert r["s"] == [0.0] * 72 == r["ps"] and r["c"] == [0.0] * 78 == r["pc"]
+            continue
+        for st, cv, dims in [("s", "c", list(zip(*vs))), ("ps", "pc", [[math.fmod(v, 12) for v in d] for d in zip(*vs)])]:
+            for i, d in enumerate(dims):
+                want = [statistics.fmean(d), statistics.median(d), min(d), max(d), statistics.pstdev(d), len(d)]
+                assert r[st][6 * i:6 * i + 6] == pytest.approx(want)
+            want = [statistics.covariance(dims[i], dims[j]) if len(vs) > 1 else math.nan for i, j in SG.PAIRS]
+            assert r[cv] == pytest.approx(want, nan_ok=True)
+
+
+def test_record_arrays_are_never_shuffled_or_made_by_windows(spark):
+    from songgraph.operators import features as FT
+    plan = FT.song_records(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("REPARTITION_BY_COL") == 1
+    assert plan.index("MapInArrow") < plan.index("Exchange")            # nothing moves after it
+
+
+def test_feature_profile_is_that_of_plain_aggregates(spark):
+    from songgraph.operators import features as FT
+    nan, inf = math.nan, math.inf
+    odd = [[1.0, nan, None], [None, None, None], [nan, nan, nan], [inf, -1.0, 2.5], [-0.5, None, 4.0]]
+    cols = [F.lit(float(k)).alias(c) for k, c in enumerate(FT.FEATURE_COLS[5:])]
+    df = spark.createDataFrame([(k, *v) for k, v in enumerate(zip(*odd))], "id int, " + ", ".join(f"{c} double" for c in FT.FEATURE_COLS[:5])) \
+        .repartition(2).select("*", *cols)
+    got = {r["feature"]: r for r in FT.feature_profile(df).collect()}
+    assert [got[c]["idx"] for c in FT.FEATURE_COLS] == list(range(313))
+    want = df.agg(*[f(c).alias(f"{c}_{k}") for c in FT.FEATURE_COLS[:8] for k, f in enumerate((F.sum, F.min, F.max))]).first()
+    for c in FT.FEATURE_COLS[:8]:
+        assert got[c]["n"] == 3
+        assert str([got[c][x] for x in ("total", "lo", "hi")]) == str([want[f"{c}_{k}"] for k in range(3)])
+    none = FT.feature_profile(df.limit(0)).collect()
+    assert len(none) == 313 and {(r["n"], r["total"], r["lo"], r["hi"]) for r in none} == {(0, None, None, None)}
+
+
 def test_year_model_reads_records_of_scored_songs_only(spark):
     from songgraph.operators import features as FT
     sf = "/root/testdata/sf0.001"
